@@ -136,3 +136,24 @@ def multiset_except(left: DataFrame, right: DataFrame) -> DataFrame:
 def multiset_intersect(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows present on both sides, min multiplicity (INTERSECT ALL)."""
     return left.intersectAll(right)
+
+
+def relaxed_report(local_sig: DataFrame, reference_sig: DataFrame) -> DataFrame:
+    """A2r on its own: multiplicity per (base, month, summary), status ignored."""
+    keys = ("base", "month", "summary")
+    flagged = local_sig.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        reference_sig.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    per = flagged.groupBy(*keys).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    l, r = F.col("l"), F.col("r")
+    return (
+        per.groupBy("base", "month")
+        .agg(
+            F.sum(l).cast("bigint").alias("local_count"),
+            F.sum(r).cast("bigint").alias("reference_count"),
+            F.sum(_matched(l, r)).cast("bigint").alias("relaxed_matched_count"),
+            F.sum(_missing(l, r)).cast("bigint").alias("relaxed_missing_count"),
+            F.sum(_extra(l, r)).cast("bigint").alias("relaxed_extra_count"),
+        )
+        .where(F.col("local_count") > 0)
+    )

@@ -11,8 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snaprecon.functions import dates as dt
+from snaprecon.functions import text as tx
 from snaprecon.operators import reconcile as rc
 from snaprecon.plans import fixtures as fx
+from snaprecon.plans.spec import LARGE_TEXT_CHARS
+from snaprecon.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,3 +38,146 @@ def _recon_counts(spark: SparkSession, sf: str) -> DataFrame:
 def reconcile_month(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: monthly strict + relaxed reconciliation report over all bases."""
     return rc.monthly_report(_recon_counts(spark, sf), scope="local")
+
+
+@query
+def signature_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: multiplicity of each canonical signature on both sides."""
+    return _recon_counts(spark, sf)
+
+
+@query
+def reconcile_relaxed(spark: SparkSession, sf: str) -> DataFrame:
+    """A2r: relaxed (status-blind) totals aggregated from the rows themselves."""
+    local = rc.signatures(fx.recon_local(spark, sf), "base", "summary", "status", "data_referencia")
+    ref = rc.signatures(fx.recon_reference(spark, sf), "Base", "Resumo", "Status", "Data")
+    return rc.relaxed_report(local, ref)
+
+
+@query
+def reconcile_scope(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshot window ends 1998; reference-only months appear with scope 'all'."""
+    local_rows = fx.recon_local(spark, sf).where(F.col("data_referencia") < "1998-01-01")
+    local = rc.signatures(local_rows, "base", "summary", "status", "data_referencia")
+    ref = rc.signatures(fx.recon_reference(spark, sf), "Base", "Resumo", "Status", "Data")
+    report = rc.monthly_report(rc.signature_counts(local, ref), scope="all")
+    return report.select(
+        "base", "month", "local_count", "reference_count", "matched_count",
+        (F.col("local_count") > 0).alias("in_default_scope"),
+    )
+
+
+@query
+def reconcile_examples(spark: SparkSession, sf: str) -> DataFrame:
+    """Top-10 missing / extra signatures per (base, month), one row per example."""
+    return rc.top_examples(_recon_counts(spark, sf), k=10)
+
+
+def _sig_rows(spark: SparkSession, sf: str):
+    local = rc.signatures(fx.recon_local(spark, sf), "base", "summary", "status", "data_referencia")
+    ref = rc.signatures(fx.recon_reference(spark, sf), "Base", "Resumo", "Status", "Data")
+    return local, ref
+
+
+@query
+def multiset_except(spark: SparkSession, sf: str) -> DataFrame:
+    """Reference signatures missing locally, multiplicity kept (EXCEPT ALL)."""
+    local, ref = _sig_rows(spark, sf)
+    return rc.multiset_except(ref, local)
+
+
+@query
+def multiset_intersect(spark: SparkSession, sf: str) -> DataFrame:
+    """Signatures on both sides with min multiplicity (INTERSECT ALL)."""
+    local, ref = _sig_rows(spark, sf)
+    return rc.multiset_intersect(local, ref)
+
+
+# ---------------------------------------------------------------- scalar expressions
+
+@query
+def canonical_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct canonical texts of documents and turns, with counts."""
+    c = tx.canonical_text("text")
+    return (
+        fx.texts(spark, sf)
+        .select("origin", c.alias("canon"))
+        .groupBy("origin", "canon")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select("origin", F.md5("canon").alias("canon_md5"), F.length("canon").cast("bigint").alias("canon_chars"), "n_rows")
+    )
+
+
+@query
+def canonical_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Canonical forms shared by more than one distinct raw text."""
+    return (
+        fx.texts(spark, sf)
+        .select(tx.canonical_text("text").alias("canon"), F.md5("text").alias("raw_md5"))
+        .groupBy("canon")
+        .agg(F.count_distinct("raw_md5").alias("n_variants"), F.count(F.lit(1)).alias("n_rows"))
+        .where(F.col("n_variants") > 1)
+        .select(F.md5("canon").alias("canon_md5"), "n_variants", "n_rows")
+    )
+
+
+@query
+def canonical_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Display name -> column-safe key, per distinct display name."""
+    return (
+        fx.display_names(spark, sf)
+        .groupBy("display_name")
+        .agg(F.count(F.lit(1)).alias("n_parts"))
+        .select("display_name", tx.canonical_column("display_name").alias("column_name"), "n_parts")
+    )
+
+
+@query
+def comparison_scalar(spark: SparkSession, sf: str) -> DataFrame:
+    """Comparison text of export cells."""
+    return fx.scalar_values(spark, sf).select("o_orderkey", tx.comparison_scalar("raw").alias("value"))
+
+
+@query
+def timestamp_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """Timestamp text -> UTC instant (shown as UTC wall time); bad -> null."""
+    return fx.timestamp_texts(spark, sf).select(
+        "o_orderkey", dt.parse_timestamp("raw").cast("timestamp_ntz").alias("ts_utc")
+    )
+
+
+@query
+def date_local_vs_utc(spark: SparkSession, sf: str) -> DataFrame:
+    """X6 vs X7: written (local) date against UTC date of the same text."""
+    return fx.offset_texts(spark, sf).select(
+        "o_orderkey", dt.local_date("raw").alias("local_date"), dt.utc_date("raw").alias("utc_date")
+    )
+
+
+@query
+def excel_serial_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Excel serials and ISO text to dates; out-of-range numbers -> null."""
+    return fx.serial_texts(spark, sf).select("o_orderkey", dt.comparison_date("raw").alias("d"))
+
+
+@query
+def month_volume(spark: SparkSession, sf: str) -> DataFrame:
+    """Tickets per (base, month of reference date)."""
+    return (
+        fx.recon_local(spark, sf)
+        .select("base", dt.month_token(dt.local_date("data_referencia")).alias("month"))
+        .groupBy("base", "month")
+        .agg(F.count(F.lit(1)).alias("n_tickets"))
+    )
+
+
+@query
+def large_text_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts over 4000 characters per language (rows that need the slow insert path)."""
+    d = table(spark, sf, "documents")
+    n = F.length("text")
+    return d.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.sum((n > LARGE_TEXT_CHARS).cast("bigint")).alias("n_large"),
+        F.max(n).cast("bigint").alias("max_chars"),
+    )

@@ -86,3 +86,71 @@ def recon_reference(spark: SparkSession, sf: str) -> DataFrame:
         F.when(k % 19 == 0, 2).otherwise(1).alias("copies"),
     )
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")
+
+
+def scalar_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Text cells as an export would hold them: numbers as float text, padding, blanks."""
+    t = tickets(spark, sf)
+    k = F.col("o_orderkey")
+    value = (
+        F.when(k % 4 == 0, F.col("o_totalprice").cast("string"))
+        .when(k % 4 == 1, F.concat(F.lit("  "), F.col("o_custkey").cast("string"), F.lit(".0 ")))
+        .when(k % 4 == 2, F.lit(None).cast("string"))
+        .otherwise(F.col("c_name"))
+    )
+    return t.select("o_orderkey", value.alias("raw"))
+
+
+def timestamp_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Timestamp text in the shapes seen in exports, plus junk."""
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    hh = F.lpad((k % 24).cast("string"), 2, "0")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = (
+        F.when(k % 5 == 0, F.concat(day, F.lit("T"), hh, F.lit(":15:00.000+0000")))
+        .when(k % 5 == 1, F.concat(day, F.lit("T"), hh, F.lit(":30:00-03:00")))
+        .when(k % 5 == 2, day)
+        .when(k % 5 == 3, F.lit("n/a"))
+        .otherwise(F.col("o_custkey").cast("string"))
+    )
+    return o.select("o_orderkey", text.alias("raw"))
+
+
+def offset_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """``yyyy-MM-ddTHH:30:00-03:00``: late hours fall on the next UTC day."""
+    o = table(spark, sf, "orders")
+    hh = F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0")
+    text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T"), hh, F.lit(":30:00-03:00"))
+    return o.select("o_orderkey", text.alias("raw"))
+
+
+def serial_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Reference-workbook date cells: Excel serials (with fractions), ISO text, out-of-range numbers."""
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    serial = F.datediff(F.col("o_orderdate"), F.lit("1899-12-30").cast("date")).cast("string")
+    text = (
+        F.when(k % 4 == 0, serial)
+        .when(k % 4 == 1, F.concat(serial, F.lit(".75")))
+        .when(k % 4 == 2, F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise((k % 1000).cast("string"))
+    )
+    return o.select("o_orderkey", text.alias("raw"))
+
+
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Free text of documents and conversation turns, with its origin."""
+    d = table(spark, sf, "documents").select(F.lit("documents").alias("origin"), "text")
+    c = table(spark, sf, "conversations").select(F.lit("conversations").alias("origin"), "text")
+    return d.unionByName(c)
+
+
+def display_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Field display names with accents, camelCase, punctuation (from parts)."""
+    p = table(spark, sf, "part")
+    name = F.concat(
+        F.col("p_brand"), F.lit(" ÁREA "), F.lower("p_type"), F.lit("Size"), F.col("p_size").cast("string"),
+        F.lit("/ ("), F.col("p_name"), F.lit(")"),
+    )
+    return p.select("p_partkey", name.alias("display_name"))

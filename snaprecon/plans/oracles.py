@@ -78,3 +78,109 @@ FROM (
 ) x USING (base, month)
 WHERE s.local_count > 0
 """
+
+ORACLES["signature_counts"] = RECON_SIDES + """
+SELECT base, month, summary, status, CAST(l AS BIGINT) AS local_qty, CAST(r AS BIGINT) AS reference_qty FROM sig
+"""
+
+ORACLES["reconcile_relaxed"] = RECON_SIDES + """
+SELECT base, month, CAST(sum(l) AS BIGINT) AS local_count, CAST(sum(r) AS BIGINT) AS reference_count,
+       CAST(sum(least(l, r)) AS BIGINT) AS relaxed_matched_count,
+       CAST(sum(greatest(r - l, 0)) AS BIGINT) AS relaxed_missing_count,
+       CAST(sum(greatest(l - r, 0)) AS BIGINT) AS relaxed_extra_count
+FROM rel GROUP BY ALL HAVING sum(l) > 0
+"""
+
+ORACLES["reconcile_scope"] = (
+    RECON_SIDES.replace("  FROM t\n),\nref AS", "  FROM t WHERE o_orderdate < DATE '1998-01-01'\n),\nref AS")
+    + """
+SELECT base, month, CAST(sum(l) AS BIGINT) AS local_count, CAST(sum(r) AS BIGINT) AS reference_count,
+       CAST(sum(least(l, r)) AS BIGINT) AS matched_count, sum(l) > 0 AS in_default_scope
+FROM sig GROUP BY ALL
+"""
+)
+
+ORACLES["reconcile_examples"] = RECON_SIDES + """
+, sided AS (
+  SELECT base, month, summary, status, 'missing' AS side, r - l AS qty FROM sig WHERE r > l
+  UNION ALL
+  SELECT base, month, summary, status, 'extra' AS side, l - r AS qty FROM sig WHERE l > r
+)
+SELECT base, month, summary, status, side, CAST(qty AS BIGINT) AS qty, CAST(rank AS BIGINT) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY base, month, side ORDER BY qty DESC, summary, status) AS rank FROM sided
+) WHERE rank <= 10
+"""
+
+ORACLES["multiset_except"] = RECON_SIDES + """
+SELECT base, month, summary, status FROM ref
+EXCEPT ALL
+SELECT base, month, summary, status FROM loc
+"""
+
+ORACLES["multiset_intersect"] = RECON_SIDES + """
+SELECT base, month, summary, status FROM loc
+INTERSECT ALL
+SELECT base, month, summary, status FROM ref
+"""
+
+TEXTS = """
+  SELECT 'documents' AS origin, text FROM documents
+  UNION ALL
+  SELECT 'conversations' AS origin, text FROM conversations
+"""
+
+ORACLES["canonical_text"] = f"""
+SELECT origin, md5(canon) AS canon_md5, CAST(length(canon) AS BIGINT) AS canon_chars, count(*) AS n_rows
+FROM (SELECT origin, {canon('text')} AS canon FROM ({TEXTS})) GROUP BY origin, canon
+"""
+
+ORACLES["canonical_collisions"] = f"""
+SELECT md5(canon) AS canon_md5, count(DISTINCT md5(text)) AS n_variants, count(*) AS n_rows
+FROM (SELECT text, {canon('text')} AS canon FROM ({TEXTS})) GROUP BY canon HAVING count(DISTINCT md5(text)) > 1
+"""
+
+_DISPLAY = "p_brand || ' ÁREA ' || lower(p_type) || 'Size' || CAST(p_size AS VARCHAR) || '/ (' || p_name || ')'"
+ORACLES["canonical_names"] = f"""
+SELECT display_name,
+       trim(regexp_replace({canon("regexp_replace(display_name, '([a-z0-9])([A-Z])', '\\1 \\2', 'g')")}, '[^a-z0-9]+', '_', 'g'), '_') AS column_name,
+       count(*) AS n_parts
+FROM (SELECT {_DISPLAY} AS display_name FROM part) GROUP BY display_name
+"""
+
+ORACLES["comparison_scalar"] = f"""
+SELECT o.o_orderkey,
+  {scalar('''CASE WHEN o.o_orderkey % 4 = 0 THEN CAST(o.o_totalprice AS VARCHAR)
+            WHEN o.o_orderkey % 4 = 1 THEN '  ' || CAST(o.o_custkey AS VARCHAR) || '.0 '
+            WHEN o.o_orderkey % 4 = 2 THEN NULL ELSE c.c_name END''')} AS value
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+"""
+
+ORACLES["timestamp_parse"] = """
+SELECT o_orderkey,
+  CASE o_orderkey % 5
+    WHEN 0 THEN CAST(o_orderdate AS DATE) + to_hours(o_orderkey % 24) + INTERVAL 15 MINUTE
+    WHEN 1 THEN CAST(o_orderdate AS DATE) + to_hours(o_orderkey % 24 + 3) + INTERVAL 30 MINUTE
+    WHEN 2 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)
+  END AS ts_utc
+FROM orders
+"""
+
+ORACLES["date_local_vs_utc"] = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS local_date,
+       CAST(CAST(o_orderdate AS DATE) + to_hours(o_orderkey % 24 + 3) + INTERVAL 30 MINUTE AS DATE) AS utc_date
+FROM orders
+"""
+
+ORACLES["excel_serial_dates"] = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 1, 2) THEN CAST(o_orderdate AS DATE) END AS d FROM orders
+"""
+
+ORACLES["month_volume"] = f"""
+SELECT base, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n_tickets FROM ({TICKETS}) GROUP BY ALL
+"""
+
+ORACLES["large_text_profile"] = """
+SELECT lang, count(*) AS n_docs, CAST(sum(CASE WHEN length(text) > 4000 THEN 1 ELSE 0 END) AS BIGINT) AS n_large,
+       CAST(max(length(text)) AS BIGINT) AS max_chars
+FROM documents GROUP BY lang
+"""

@@ -181,3 +181,151 @@ def large_text_profile(spark: SparkSession, sf: str) -> DataFrame:
         F.sum((n > LARGE_TEXT_CHARS).cast("bigint")).alias("n_large"),
         F.max(n).cast("bigint").alias("max_chars"),
     )
+
+
+# ---------------------------------------------------------------- field catalogue, JSON ingest
+
+from snaprecon.functions import variant as vx  # noqa: E402
+from snaprecon.operators import normalize as nz  # noqa: E402
+from snaprecon.plans.spec import CORE_API_FIELDS, CORE_COLUMNS, SPECS  # noqa: E402
+from snaprecon.session import fresh_path  # noqa: E402
+from snaprecon.sinks import files as sk  # noqa: E402
+
+# run literals of the fixture run (fixed on the driver, once per run)
+RUN = nz.Run(extracted_at="2026-03-03T20:26:35.558569+00:00", period_from="2026-02-02", period_to="2026-03-02")
+
+
+def _resolved(spark: SparkSession, sf: str) -> DataFrame:
+    return nz.resolve_fields(fx.field_catalog_rows(spark, sf), nz.required_frame(spark))
+
+
+def _id_map(spark: SparkSession, sf: str) -> dict[str, str]:
+    return nz.field_id_map(_resolved(spark, sf))
+
+
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    parsed = nz.parse_raw(fx.issue_json(spark, sf), "json")
+    good, _ = nz.split_malformed(parsed)
+    return good
+
+
+def _normalized(spark: SparkSession, sf: str, ids: dict[str, str] | None = None) -> DataFrame:
+    """Text contract of all three bases (wide: union of their custom columns)."""
+    ids = _id_map(spark, sf) if ids is None else ids
+    good = _records(spark, sf)
+    out = None
+    for base, spec in SPECS.items():
+        part = nz.normalize_api(good.where(F.col("base") == base), spec, ids, RUN)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+@query
+def field_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: catalogue entries after blank drop and keep-last per canonical name."""
+    return nz.catalog_entries(fx.field_catalog_rows(spark, sf))
+
+
+@query
+def field_resolution(spark: SparkSession, sf: str) -> DataFrame:
+    """Required display names -> field ids (null when unresolved)."""
+    return _resolved(spark, sf)
+
+
+@query
+def field_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """Unresolved names per base."""
+    return nz.missing_fields(nz.required_frame(spark), _resolved(spark, sf))
+
+
+@query
+def required_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Ordered distinct fields requested per base (core, then resolved ids)."""
+    return nz.requested_fields(spark, _resolved(spark, sf), CORE_API_FIELDS)
+
+
+@query
+def normalize_core(spark: SparkSession, sf: str) -> DataFrame:
+    """The 11 core contract columns of every well-formed issue."""
+    return _normalized(spark, sf).select(*CORE_COLUMNS)
+
+
+@query
+def normalize_custom(spark: SparkSession, sf: str) -> DataFrame:
+    """Custom columns per base from resolved ids (null where the base lacks them)."""
+    df = _normalized(spark, sf)
+    custom = [c for c in df.columns if c not in CORE_COLUMNS]
+    return df.select("issue_key", "base_origem", *custom)
+
+
+@query
+def pick_scalar(spark: SparkSession, sf: str) -> DataFrame:
+    """Scalar text of a field whose JSON shape rotates over 12 forms."""
+    fid = fx.custom_ids()[1][1]
+    good = _records(spark, sf)
+    f = vx.path(F.col("v"), "$.fields")
+    return good.select(
+        F.try_variant_get("v", "$.key", "string").alias("issue_key"),
+        (F.col("o_orderkey") % 12).alias("shape"),
+        vx.pick_scalar(vx.field(f, fid)).alias("value"),
+    )
+
+
+@query
+def status_name(spark: SparkSession, sf: str) -> DataFrame:
+    """P4 vs P3 on the status object (P4 takes only ``name``)."""
+    good = _records(spark, sf)
+    st = vx.field(vx.path(F.col("v"), "$.fields"), "status")
+    return good.select(
+        F.try_variant_get("v", "$.key", "string").alias("issue_key"),
+        vx.status_name(st).alias("status"),
+        vx.pick_scalar(st).alias("status_any"),
+    )
+
+
+@query
+def malformed_split(spark: SparkSession, sf: str) -> DataFrame:
+    """every raw issue with its verdict (record / rejected)."""
+    parsed = nz.parse_raw(fx.issue_json(spark, sf), "json")
+    good, bad = nz.split_malformed(parsed)
+    key = F.try_variant_get("v", "$.key", "string").alias("issue_key")
+    has_fields = vx.path(F.col("v"), "$.fields").isNotNull().alias("has_fields")
+    return good.select(key, has_fields, F.lit("record").alias("verdict")).unionByName(
+        bad.select(key, has_fields, F.lit("rejected").alias("verdict"))
+    )
+
+
+def _landed_raw(spark: SparkSession, sf: str) -> str:
+    """K1: land the raw issues by base and yearly window; returns the landing path."""
+    issues = fx.issue_json(spark, sf).select(
+        F.col("base").alias("base_origem"),
+        sk.period_token(F.trunc("o_orderdate", "year"), F.date_sub(F.add_months(F.trunc("o_orderdate", "year"), 12), 1)).alias("periodo"),
+        "json",
+    )
+    path = fresh_path(spark, "raw")
+    sk.write_raw(issues, path)
+    return path
+
+
+@query
+def raw_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 round trip: every issue lands once, under its base and window."""
+    raw = sk.read_raw(spark, _landed_raw(spark, sf))
+    return raw.select(
+        F.get_json_object("value", "$.key").alias("issue_key"), "base_origem", F.col("periodo").cast("string").alias("periodo")
+    )
+
+
+@query
+def raw_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Scan the raw landing as text, parse once, project core fields."""
+    raw = nz.parse_raw(sk.read_raw(spark, _landed_raw(spark, sf)), "value")
+    good, _ = nz.split_malformed(raw)
+    f = vx.path(F.col("v"), "$.fields")
+    return good.select(
+        F.try_variant_get("v", "$.key", "string").alias("issue_key"),
+        "base_origem",
+        vx.pick_scalar(vx.field(f, "summary")).alias("summary"),
+        vx.status_name(vx.field(f, "status")).alias("status"),
+        vx.pick_scalar(vx.field(f, "updated")).alias("updated"),
+    )

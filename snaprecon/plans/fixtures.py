@@ -154,3 +154,122 @@ def display_names(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("/ ("), F.col("p_name"), F.lit(")"),
     )
     return p.select("p_partkey", name.alias("display_name"))
+
+
+# ------------------------------------------------------------------ issues as JSON
+
+from snaprecon.plans.spec import all_custom_columns  # noqa: E402
+
+CUSTOM_ID_BASE = 10100
+# the one spec name absent from the catalogue, and the one whose id is overridden later in it
+CATALOG_GAP = "RELATO"
+CATALOG_OVERRIDE = "TEMA"
+
+
+def custom_ids() -> list[tuple[str, str, bool]]:
+    """(display name, id the issues carry, is_date) for every distinct custom field."""
+    return [(f.display_name, f"customfield_{CUSTOM_ID_BASE + i}", f.is_date) for i, f in enumerate(all_custom_columns())]
+
+
+def js(c: Column) -> Column:
+    """JSON literal of a string column ("null" for null)."""
+    a = F.to_json(F.array(c.cast("string")))
+    return F.substr(a, F.lit(2), F.length(a) - 2)
+
+
+def mixed_value(k: Column) -> Column:
+    """A custom-field value whose JSON shape rotates with the key (12 shapes)."""
+    m = k % 12
+    return (
+        F.when(m == 0, js(F.col("o_orderpriority")))
+        .when(m == 1, F.col("o_totalprice").cast("string"))
+        .when(m == 2, F.col("o_custkey").cast("string"))
+        .when(m == 3, F.when(F.col("o_totalprice") > 250000, F.lit("true")).otherwise(F.lit("false")))
+        .when(m == 4, F.lit("null"))
+        .when(m == 5, F.concat(F.lit('{"value":'), js(F.col("c_mktsegment")), F.lit("}")))
+        .when(m == 6, F.concat(F.lit('{"name":'), F.col("o_custkey").cast("string"), F.lit("}")))
+        .when(m == 7, F.concat(F.lit('{"displayName":'), js(F.col("c_name")), F.lit(',"value":null}')))
+        .when(m == 8, F.concat(F.lit('{"id":'), F.col("o_custkey").cast("string"), F.lit("}")))
+        .when(m == 9, F.lit("[]"))
+        .when(m == 10, F.concat(F.lit("[null,"), js(F.col("c_name")), F.lit("]")))
+        .otherwise(F.concat(F.lit('[{"value":'), js(F.col("o_orderpriority")), F.lit('},"x"]')))
+    )
+
+
+def issue_json(spark: SparkSession, sf: str) -> DataFrame:
+    """One API issue per order: (o_orderkey, base, o_orderdate, json).
+
+    Every 11th status lacks ``name``; every 89th issue has no ``fields``;
+    every 97th has ``fields`` as a string (malformed). Date fields carry the
+    order date, even-numbered text fields the customer name, odd-numbered
+    ones a value whose JSON shape rotates with the key.
+    """
+    t = tickets(spark, sf)
+    k = F.col("o_orderkey")
+    ts_fmt = "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'"
+    updated = F.expr("timestampadd(HOUR, CAST(o_orderkey % 48 AS INT), o_orderdate)")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    uniform = [
+        F.col("c_name").alias("summary"),
+        F.date_format("o_orderdate", ts_fmt).alias("created"),
+        F.date_format(updated, ts_fmt).alias("updated"),
+        F.struct(F.lit("PRJ").alias("key"), F.col("c_mktsegment").alias("name")).alias("project"),
+        F.struct(F.lit("1").alias("id"), F.col("o_orderstatus").alias("name")).alias("issuetype"),
+    ]
+    odd = []
+    for i, (_, fid, is_date) in enumerate(custom_ids()):
+        if is_date:
+            uniform.append(day.alias(fid))
+        elif i % 2 == 0:
+            uniform.append(F.col("c_name").alias(fid))
+        else:
+            odd.append(fid)
+    status = (
+        F.when(k % 11 == 0, F.to_json(F.struct(F.col("o_orderpriority").alias("value"))))
+        .otherwise(F.to_json(F.struct(F.lit("3").alias("id"), F.col("o_orderpriority").alias("name"))))
+    )
+    staged = t.select(
+        "o_orderkey", "base", "o_orderdate",
+        F.to_json(F.struct(*uniform)).alias("u"), status.alias("st"), mixed_value(k).alias("mx"),
+    )
+    head = F.regexp_replace(F.col("u"), r"\}$", "")
+    odd_part = F.array_join(
+        F.transform(F.array(*[F.lit(fid) for fid in odd]), lambda f: F.concat(F.lit(',"'), f, F.lit('":'), F.col("mx"))), ""
+    )
+    parts = [head, F.lit(',"status":'), F.col("st"), odd_part, F.lit("}")]
+    fields = F.concat(*parts)
+    body = (
+        F.when(k % 97 == 0, F.lit(',"fields":"broken"}'))
+        .when(k % 89 == 0, F.lit("}"))
+        .otherwise(F.concat(F.lit(',"fields":'), fields, F.lit("}")))
+    )
+    doc = F.concat(F.lit('{"key":"TCK-'), k.cast("string"), F.lit('"'), body)
+    return staged.select("o_orderkey", "base", "o_orderdate", doc.alias("json"))
+
+
+def field_catalog_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The remote field catalogue as (name, id, ordinal).
+
+    Spec names come first (one left out, case / accent variants for the rest);
+    then one entry per part (``type brand`` in varying case; blank name at
+    size 1, blank id at size 2); then, for parts 7, 507, ..., a later entry
+    that re-uses a spec name with another id (the last one wins).
+    """
+    spec_rows = [
+        (n if i % 3 == 0 else (n.lower() if i % 3 == 1 else n.replace("A", "Á")), fid, i)
+        for i, (n, fid, _) in enumerate(custom_ids())
+        if n != CATALOG_GAP
+    ]
+    spec_df = spark.createDataFrame(spec_rows, "name string, id string, ordinal bigint")
+    p = table(spark, sf, "part")
+    noise_name = F.when(F.col("p_size") == 1, F.lit("  ")).otherwise(
+        F.when(F.col("p_partkey") % 2 == 0, F.concat_ws(" ", "p_type", "p_brand")).otherwise(F.lower(F.concat_ws("  ", "p_type", "p_brand")))
+    )
+    noise_id = F.when(F.col("p_size") == 2, F.lit("")).otherwise(F.concat(F.lit("customfield_"), (F.col("p_partkey") + 20000).cast("string")))
+    noise = p.select(noise_name.alias("name"), noise_id.alias("id"), (F.col("p_partkey") + 1000).alias("ordinal"))
+    override = p.where(F.col("p_partkey") % 500 == 7).select(
+        F.lit(CATALOG_OVERRIDE.lower()).alias("name"),
+        F.concat(F.lit("customfield_"), (F.col("p_partkey") + 30000).cast("string")).alias("id"),
+        (F.col("p_partkey") + 1000).alias("ordinal"),
+    )
+    return spec_df.unionByName(noise).unionByName(override)

@@ -184,3 +184,177 @@ SELECT lang, count(*) AS n_docs, CAST(sum(CASE WHEN length(text) > 4000 THEN 1 E
        CAST(max(length(text)) AS BIGINT) AS max_chars
 FROM documents GROUP BY lang
 """
+
+
+# ---------------------------------------------------------------- JSON ingest family
+
+from snaprecon.plans.fixtures import CATALOG_GAP, CATALOG_OVERRIDE, custom_ids  # noqa: E402
+from snaprecon.plans.spec import CORE_API_FIELDS, SPECS  # noqa: E402
+
+RUN_EXTRACTED_AT = "2026-03-03T20:26:35.558569+00:00"
+
+
+def q(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+MIXED = """CASE o_orderkey % 12
+      WHEN 0 THEN o_orderpriority WHEN 1 THEN CAST(o_totalprice AS VARCHAR) WHEN 2 THEN CAST(o_custkey AS VARCHAR)
+      WHEN 3 THEN CASE WHEN o_totalprice > 250000 THEN 'True' ELSE 'False' END WHEN 4 THEN NULL
+      WHEN 5 THEN c_mktsegment WHEN 6 THEN CAST(o_custkey AS VARCHAR) WHEN 7 THEN c_name
+      WHEN 8 THEN '{"id":' || CAST(o_custkey AS VARCHAR) || '}' WHEN 9 THEN NULL WHEN 10 THEN NULL
+      ELSE o_orderpriority END"""
+
+NOFIELDS = "o_orderkey % 89 = 0"
+GOOD = "o_orderkey % 97 <> 0"
+TS = "'%Y-%m-%dT%H:%M:%S.000+0000'"
+
+
+def _nf(expr: str) -> str:
+    return f"CASE WHEN {NOFIELDS} THEN NULL ELSE {expr} END"
+
+
+CORE_SELECT = f"""
+  'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key,
+  {_nf('c_name')} AS summary,
+  CASE WHEN {NOFIELDS} OR o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS status,
+  {_nf(f"strftime(o_orderdate, {TS})")} AS created,
+  {_nf(f"strftime(o_orderdate + to_hours(CAST(o_orderkey % 48 AS INT)), {TS})")} AS updated,
+  base AS base_origem,
+  {_nf("strftime(o_orderdate, '%Y-%m-%d')")} AS data_referencia,
+  {_nf('c_mktsegment')} AS espaco,
+  {_nf('o_orderstatus')} AS tipo_ticket,
+  {lit(RUN_EXTRACTED_AT)} AS extracted_at,
+  'api' AS source_mode
+"""
+
+ORACLES["normalize_core"] = f"SELECT {CORE_SELECT} FROM ({TICKETS}) WHERE {GOOD}"
+
+
+def _custom_value(i: int, name: str, is_date: bool) -> str:
+    if name in (CATALOG_GAP, CATALOG_OVERRIDE):
+        return "NULL"
+    if is_date:
+        return "strftime(o_orderdate, '%Y-%m-%d')"
+    return "c_name" if i % 2 == 0 else MIXED
+
+
+def _custom_columns() -> list[str]:
+    cols = []
+    for i, (name, _fid, is_date) in enumerate(custom_ids()):
+        bases = [b for b, s in SPECS.items() if any(f.display_name == name for f in s.custom_fields)]
+        column = next(f.column for s in SPECS.values() for f in s.custom_fields if f.display_name == name)
+        in_base = " OR ".join(f"base = {lit(b)}" for b in bases)
+        cols.append(f"CASE WHEN NOT ({in_base}) OR {NOFIELDS} THEN NULL ELSE {_custom_value(i, name, is_date)} END AS {q(column)}")
+    return cols
+
+
+ORACLES["normalize_custom"] = (
+    "SELECT 'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key, base AS base_origem,\n  "
+    + ",\n  ".join(_custom_columns())
+    + f"\nFROM ({TICKETS}) WHERE {GOOD}"
+)
+
+ORACLES["pick_scalar"] = f"""
+SELECT 'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key, o_orderkey % 12 AS shape, {_nf(MIXED)} AS value
+FROM ({TICKETS}) WHERE {GOOD}
+"""
+
+ORACLES["status_name"] = f"""
+SELECT 'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key,
+       CASE WHEN {NOFIELDS} OR o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS status,
+       {_nf('o_orderpriority')} AS status_any
+FROM ({TICKETS}) WHERE {GOOD}
+"""
+
+ORACLES["malformed_split"] = f"""
+SELECT 'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key,
+       (o_orderkey % 97 = 0 OR NOT ({NOFIELDS})) AS has_fields,
+       CASE WHEN o_orderkey % 97 = 0 THEN 'rejected' ELSE 'record' END AS verdict
+FROM ({TICKETS})
+"""
+
+_PERIOD = "strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') || '__' || strftime(o_orderdate, '%Y') || '-12-31'"
+ORACLES["raw_roundtrip"] = f"""
+SELECT 'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key, base AS base_origem, {_PERIOD} AS periodo FROM ({TICKETS})
+"""
+
+ORACLES["raw_scan"] = f"""
+SELECT 'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key, base AS base_origem, {_nf('c_name')} AS summary,
+       CASE WHEN {NOFIELDS} OR o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS status,
+       {_nf(f"strftime(o_orderdate + to_hours(CAST(o_orderkey % 48 AS INT)), {TS})")} AS updated
+FROM ({TICKETS}) WHERE {GOOD}
+"""
+
+
+def _spec_catalog_values() -> str:
+    rows = []
+    for i, (n, fid, _) in enumerate(custom_ids()):
+        if n == CATALOG_GAP:
+            continue
+        shown = n if i % 3 == 0 else (n.lower() if i % 3 == 1 else n.replace("A", "Á"))
+        rows.append(f"({lit(shown)}, {lit(fid)}, {i})")
+    return "VALUES " + ", ".join(rows)
+
+
+CATALOG = f"""
+  SELECT * FROM ({_spec_catalog_values()}) AS s(name, id, ordinal)
+  UNION ALL
+  SELECT CASE WHEN p_size = 1 THEN '  '
+              WHEN p_partkey % 2 = 0 THEN p_type || ' ' || p_brand
+              ELSE lower(p_type || '  ' || p_brand) END,
+         CASE WHEN p_size = 2 THEN '' ELSE 'customfield_' || CAST(p_partkey + 20000 AS VARCHAR) END,
+         p_partkey + 1000
+  FROM part
+  UNION ALL
+  SELECT {lit(CATALOG_OVERRIDE.lower())}, 'customfield_' || CAST(p_partkey + 30000 AS VARCHAR), p_partkey + 1000
+  FROM part WHERE p_partkey % 500 = 7
+"""
+
+CATALOG_CLEAN = f"""
+  SELECT trim(name) AS display_name, trim(id) AS field_id, ordinal, {canon('trim(name)')} AS canon
+  FROM ({CATALOG}) WHERE trim(name) <> '' AND trim(id) <> ''
+"""
+
+ORACLES["field_catalog"] = f"""
+SELECT canon, arg_max(field_id, ordinal) AS field_id, arg_max(display_name, ordinal) AS display_name
+FROM ({CATALOG_CLEAN}) GROUP BY canon
+"""
+
+_REQUIRED = "VALUES " + ", ".join(
+    f"({lit(s.base)}, {pos}, {lit(f.display_name)})" for s in SPECS.values() for pos, f in enumerate(s.custom_fields)
+)
+RESOLVED = f"""
+  SELECT r.display_name, {canon('r.display_name')} AS canon, w.field_id
+  FROM (SELECT DISTINCT display_name FROM ({_REQUIRED}) AS x(base, position, display_name)) r
+  LEFT JOIN (SELECT canon, arg_max(field_id, ordinal) AS field_id FROM ({CATALOG_CLEAN}) GROUP BY canon) w
+    ON w.canon = {canon('r.display_name')}
+"""
+
+ORACLES["field_resolution"] = f"SELECT display_name, canon, field_id FROM ({RESOLVED})"
+
+ORACLES["field_missing"] = f"""
+SELECT x.base, string_agg(DISTINCT x.display_name, ',' ORDER BY x.display_name) AS missing_names,
+       count(DISTINCT x.display_name) AS n_missing
+FROM ({_REQUIRED}) AS x(base, position, display_name)
+JOIN ({RESOLVED}) r USING (display_name)
+WHERE r.field_id IS NULL
+GROUP BY x.base
+"""
+
+_CORE_FIELDS = " UNION ALL ".join(
+    f"SELECT b AS base, {i} AS position, {lit(f)} AS field FROM (VALUES ('encerradas'), ('analisadas'), ('ingressadas')) t(b)"
+    for i, f in enumerate(CORE_API_FIELDS)
+)
+ORACLES["required_fields"] = f"""
+SELECT base, CAST(position AS BIGINT) AS position, field FROM ({_CORE_FIELDS})
+UNION ALL
+SELECT base, CAST({len(CORE_API_FIELDS)} + row_number() OVER (PARTITION BY base ORDER BY x.position) - 1 AS BIGINT) AS position,
+       r.field_id AS field
+FROM ({_REQUIRED}) AS x(base, position, display_name) JOIN ({RESOLVED}) r USING (display_name)
+WHERE r.field_id IS NOT NULL
+"""

@@ -176,6 +176,58 @@ def normalize_api(records: DataFrame, spec: BaseSpec, ids: dict[str, str], run:
     return staged.select(*keep, *cols)
 
 
+def normalize_api_bases(records: DataFrame, base_col: str, specs: dict[str, BaseSpec], ids: dict[str, str], run: Run,
+                        keep: tuple[str, ...] = (), source_mode: str = SOURCE_API) -> DataFrame:
+    """All bases in one pass: one parse, one P3 stage, columns nulled where a base lacks them.
+
+    Output columns: core contract + the union of the bases' custom columns
+    (in first-seen order). Cheaper than one filtered pass per base.
+    """
+    v = F.col("v")
+    f = vx.path(v, "$.fields")
+    picks: dict[str, Column] = {
+        "summary": vx.field(f, "summary"),
+        "created": vx.field(f, "created"),
+        "updated": vx.field(f, "updated"),
+        "espaco": vx.field(f, "project"),
+        "tipo_ticket": vx.field(f, "issuetype"),
+    }
+    owners: dict[str, list[str]] = {}
+    ref_by_base = {}
+    for b, spec in specs.items():
+        date_id = ids.get(spec.date_field)
+        if date_id:
+            key = f"__ref_{date_id}"
+            picks.setdefault(key, vx.field(f, date_id))
+            ref_by_base[b] = key
+        for cf in spec.custom_fields:
+            fid = ids.get(cf.display_name)
+            owners.setdefault(cf.column, [])
+            if b not in owners[cf.column]:
+                owners[cf.column].append(b)
+            if fid:
+                picks.setdefault(cf.column, vx.field(f, fid))
+    direct = [
+        F.try_variant_get(v, "$.key", "string").alias("issue_key"),
+        vx.status_name(vx.field(f, "status")).alias("status"),
+    ]
+    staged = vx.pick_scalars(records.select(*keep, base_col, "v", *direct), picks, keep=[*keep, base_col, "issue_key", "status"])
+    b = F.col(base_col)
+    ref = F.lit(None).cast("string")
+    for base, key in ref_by_base.items():
+        ref = F.when(b == base, F.col(key)).otherwise(ref)
+    core = [
+        F.col("issue_key"), F.col("summary"), F.col("status"), F.col("created"), F.col("updated"),
+        b.alias("base_origem"), ref.alias("data_referencia"), F.col("espaco"), F.col("tipo_ticket"),
+        F.lit(run.extracted_at).alias("extracted_at"), F.lit(source_mode).alias("source_mode"),
+    ]
+    custom = [
+        (F.when(b.isin(*bases), F.col(c)) if c in staged.columns else F.lit(None).cast("string")).alias(c)
+        for c, bases in owners.items()
+    ]
+    return staged.select(*keep, *core, *custom)
+
+
 # ------------------------------------------------------------------ fallback CSV
 
 def pick_header(columns: list[str], *candidates: str) -> str | None:

@@ -212,12 +212,7 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
 def _normalized(spark: SparkSession, sf: str, ids: dict[str, str] | None = None) -> DataFrame:
     """Text contract of all three bases (wide: union of their custom columns)."""
     ids = _id_map(spark, sf) if ids is None else ids
-    good = _records(spark, sf)
-    out = None
-    for base, spec in SPECS.items():
-        part = nz.normalize_api(good.where(F.col("base") == base), spec, ids, RUN)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    return nz.normalize_api_bases(_records(spark, sf), "base", SPECS, ids, RUN)
 
 
 @query

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from snaprecon.functions import dates as dt
 from snaprecon.functions import text as tx
 from snaprecon.operators import reconcile as rc
+from snaprecon.operators import runs as rs
 from snaprecon.plans import fixtures as fx
 from snaprecon.plans.spec import LARGE_TEXT_CHARS
 from snaprecon.session import table
@@ -324,3 +325,142 @@ def raw_scan(spark: SparkSession, sf: str) -> DataFrame:
         vx.status_name(vx.field(f, "status")).alias("status"),
         vx.pick_scalar(vx.field(f, "updated")).alias("updated"),
     )
+
+
+# ---------------------------------------------------------------- snapshots, dedup, typed load, quality
+
+from pyspark.sql import Window  # noqa: E402
+
+from snaprecon.operators import quality as qa  # noqa: E402
+from snaprecon.operators import snapshot as sn  # noqa: E402
+from snaprecon.plans.fixtures import RUN_TS  # noqa: E402
+from snaprecon.plans.spec import BASE_ORDER  # noqa: E402
+
+LOAD_TS = "2026-03-03 20:30:00"
+_SNAP_COLS = ["issue_key", "summary", "status", "created", "updated", "base_origem", "data_referencia",
+              "espaco", "tipo_ticket", "extracted_at", "source_mode"]
+
+
+def _ntz(c: str) -> F.Column:
+    return F.col(c).cast("timestamp_ntz").alias(c)
+
+
+@query
+def dedup_keep_last(spark: SparkSession, sf: str) -> DataFrame:
+    """Keep-last version per (issue_key, updated text) by arrival ordinal; null updated is one key."""
+    v = fx.versions(spark, sf)
+    return sn.keep_last(v, ["issue_key", "updated"], [F.col("ordinal")]).select("issue_key", "updated", "summary", "status")
+
+
+@query
+def resolved_updated(spark: SparkSession, sf: str) -> DataFrame:
+    """D3: updated, else created, else extracted_at, else run time (per version)."""
+    v = fx.versions(spark, sf)
+    r = sn.resolved_updated(F.col("updated_ts"), F.col("created"), F.lit(None).cast("string"), RUN_TS)
+    return v.select("issue_key", F.col("ordinal.l_partkey").alias("l_partkey"), F.col("ordinal.l_suppkey").alias("l_suppkey"),
+                    F.col("ordinal.l_extendedprice").alias("l_extendedprice"), r.cast("timestamp_ntz").alias("resolved"))
+
+
+@query
+def dedup_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """Keep-last per (key, instant): +0000 and -03:00 spellings of one instant collapse."""
+    v = fx.versions(spark, sf)
+    typed = v.select(
+        F.col("issue_key").alias("chave_ticket"),
+        sn.resolved_updated(F.col("updated_ts"), F.col("created"), F.lit(None).cast("string"), RUN_TS).alias("data_atualizacao"),
+        "summary", "status", "ordinal",
+    )
+    return sn.dedup_typed(typed, [F.col("ordinal")]).select("chave_ticket", _ntz("data_atualizacao"), "summary", "status")
+
+
+@query
+def current_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest version per issue over overlapping yearly snapshots."""
+    v = fx.versions(spark, sf)
+    return sn.current_state(v, "issue_key", [F.col("periodo_fim"), F.col("ordinal")]).select(
+        "issue_key", "periodo_fim", "summary", "status"
+    )
+
+
+@query
+def volume_and_dedup_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """A5: versions per base before / after keep-last, and the share discarded."""
+    return rs.volume_and_dedup(fx.versions(spark, sf), "base", ["issue_key", "updated"])
+
+
+@query
+def typed_projection(spark: SparkSession, sf: str) -> DataFrame:
+    """Text contract -> typed columns (blank keys dropped, dates as written)."""
+    rows = fx.contract_rows(spark, sf)
+    typed = sn.typed_projection(rows, SPECS["encerradas"], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS)
+    return typed.select(
+        "chave_ticket", "resumo", "status", _ntz("data_criacao"), _ntz("data_atualizacao"), "base_origem",
+        "data_referencia", "espaco", "modo_origem", "periodo_inicio", "periodo_fim", "data_fechou_salesforce", "tema",
+        "data_de_abertura",
+    )
+
+
+@query
+def quality_report(spark: SparkSession, sf: str) -> DataFrame:
+    """V1-V4/A3: every check for every base in one aggregation (window 1995..1999)."""
+    rows = fx.contract_rows(spark, sf)
+    return qa.quality_report(rows, ["base_origem"], F.lit("1995-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
+
+
+@query
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """V7: one row per (record, broken rule)."""
+    rows = fx.contract_rows(spark, sf)
+    return qa.quarantine(rows, ["o_orderkey", "base_origem"], F.lit("1995-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
+
+
+def _stage_verify_swap(spark: SparkSession, df: DataFrame, table_root: str) -> tuple[str, int, int]:
+    """K4 + V5: write to a fresh staging directory, verify its row count, then point the table at it.
+
+    The pointer is a one-line file naming the current version; readers
+    resolve it, so the swap is atomic (a single small file replace) and an
+    empty input still replaces the table (full refresh wipes).
+    """
+    obs_df = df
+    version = fresh_path(spark, "stage").rsplit("/", 1)[1]
+    stage = f"{table_root}/{version}"
+    from pyspark.sql import Observation
+
+    obs = Observation("load")
+    obs_df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(stage)
+    expected = int(obs.get["n"])
+    loaded, ok = qa.verify_load(expected, spark.read.parquet(stage))
+    if not ok:
+        raise RuntimeError(f"load verification failed: expected {expected}, found {loaded}")
+    spark.createDataFrame([(stage,)], "path string").coalesce(1).write.mode("overwrite").text(f"{table_root}/_current")
+    return stage, expected, loaded
+
+
+def _read_current(spark: SparkSession, table_root: str) -> DataFrame:
+    path = spark.read.text(f"{table_root}/_current").first()[0]
+    return spark.read.parquet(path)
+
+
+@query
+def table_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """K4: two full refreshes; the table holds exactly the second load."""
+    rows = fx.contract_rows(spark, sf)
+    root = fresh_path(spark, "table")
+    first = sn.typed_projection(rows.where(F.col("base_origem") == "encerradas"), SPECS["encerradas"], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS)
+    _stage_verify_swap(spark, first, root)
+    second = sn.typed_projection(rows.where(F.col("base_origem") != "encerradas"), SPECS["encerradas"], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS)
+    _stage_verify_swap(spark, second, root)
+    return _read_current(spark, root).select("chave_ticket", "base_origem", "status", "data_referencia")
+
+
+@query
+def load_verification(spark: SparkSession, sf: str) -> DataFrame:
+    """A4/V5: built rows (observed while writing) vs rows found in the staged output, per load."""
+    rows = fx.contract_rows(spark, sf)
+    root = fresh_path(spark, "table")
+    out = []
+    for base in BASE_ORDER:
+        typed = sn.typed_projection(rows.where(F.col("base_origem") == base), SPECS[base], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS)
+        _, expected, loaded = _stage_verify_swap(spark, typed, f"{root}/{base}")
+        out.append((base, expected, loaded, expected == loaded))
+    return spark.createDataFrame(out, "base string, expected bigint, loaded bigint, ok boolean")

@@ -273,3 +273,95 @@ def field_catalog_rows(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("p_partkey") + 1000).alias("ordinal"),
     )
     return spec_df.unionByName(noise).unionByName(override)
+
+
+# ------------------------------------------------------------------ text contract rows, versions, audit runs
+
+RUN_TS = "2026-03-03 20:26:35"
+
+
+def contract_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Text-contract records built straight from tickets, with the usual defects.
+
+    Blank key every 31st, null summary every 7th, null status every 37th,
+    null ``updated`` every 5th (offset ``-03:00`` every 5th + 1), reference
+    date as plain date (even keys), as a late ``-03:00`` timestamp (odd keys),
+    unparseable every 43rd. Windows are calendar years of the order date.
+    """
+    t = tickets(spark, sf)
+    k = F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return t.select(
+        k.alias("o_orderkey"),
+        F.when(k % 31 == 0, F.lit("  ")).otherwise(F.concat(F.lit("TCK-"), k.cast("string"))).alias("issue_key"),
+        F.when(k % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("summary"),
+        F.when(k % 37 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("status"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'").alias("created"),
+        F.when(k % 5 == 0, F.lit(None).cast("string"))
+        .when(k % 5 == 1, F.concat(day, F.lit("T07:00:00-03:00")))
+        .otherwise(F.concat(day, F.lit("T10:00:00.000+0000"))).alias("updated"),
+        F.col("base").alias("base_origem"),
+        F.when(k % 43 == 0, F.lit("garbage")).when(k % 2 == 0, day).otherwise(F.concat(day, F.lit("T23:30:00-03:00"))).alias("data_referencia"),
+        F.col("c_mktsegment").alias("espaco"),
+        F.col("o_orderstatus").alias("tipo_ticket"),
+        F.lit("2026-03-03T20:26:35.558569+00:00").alias("extracted_at"),
+        F.lit("api").alias("source_mode"),
+        day.alias("data_fechou_salesforce"),
+        F.col("c_mktsegment").alias("tema"),
+        F.trunc("o_orderdate", "year").alias("periodo_inicio"),
+        F.date_sub(F.add_months(F.trunc("o_orderdate", "year"), 12), 1).alias("periodo_fim"),
+    )
+
+
+def versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as versions of an issue: key (order, line); arrival order = all columns, lexicographic.
+
+    ``updated`` is the ship date as text (null every 10th part); the typed
+    view has two spellings of one instant (``+0000`` / ``-03:00``).
+    """
+    li = table(spark, sf, "lineitem")
+    key = F.concat(F.lit("LI-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    m = F.col("l_partkey") % 3
+    return li.select(
+        key.alias("issue_key"),
+        F.when(F.col("l_partkey") % 10 == 0, F.lit(None).cast("string")).otherwise(day).alias("updated"),
+        F.when(m == 0, F.concat(day, F.lit("T10:00:00+0000")))
+        .when(m == 1, F.concat(day, F.lit("T07:00:00-03:00")))
+        .otherwise(F.lit(None).cast("string")).alias("updated_ts"),
+        F.when(F.col("l_suppkey") % 4 == 0, F.lit("bad")).otherwise(F.concat(day, F.lit("T00:00:00+0000"))).alias("created"),
+        F.col("l_returnflag").alias("base"),
+        F.concat(F.col("l_returnflag"), F.lit("/"), F.col("l_quantity").cast("string")).alias("summary"),
+        F.col("l_linestatus").alias("status"),
+        F.trunc("l_shipdate", "year").alias("periodo_inicio"),
+        F.date_sub(F.add_months(F.trunc("l_shipdate", "year"), 12), 1).alias("periodo_fim"),
+        F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                 "l_returnflag", "l_linestatus").alias("ordinal"),
+    )
+
+
+# event_type -> base of the audit runs (the other types stand for further bases)
+AUDIT_BASE = {"purchase": "encerradas", "view": "analisadas", "signup": "ingressadas"}
+
+
+def audit_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Extraction audit events, one per driver event.
+
+    base from the event type; failed (``error``) when the value is under 20,
+    auth error when the user id is divisible by 3, else transient; fallback
+    source when the value is within [20, 40); duration = value x 100 ms;
+    records = user id x 10; run time = ts.
+    """
+    e = table(spark, sf, "events")
+    base = F.coalesce(F.element_at(F.create_map(*[x for kv in AUDIT_BASE.items() for x in map(F.lit, kv)]), F.col("event_type")), F.col("event_type"))
+    failed = F.col("value") < 20
+    return e.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        base.alias("base"),
+        F.when(failed, F.lit("error")).otherwise(F.lit("success")).alias("status"),
+        F.when(failed & (F.col("user_id") % 3 == 0), F.lit("auth")).when(failed, F.lit("transient")).alias("error_kind"),
+        F.when((F.col("value") >= 20) & (F.col("value") < 40), F.lit("playwright_fallback")).otherwise(F.lit("api")).alias("source_mode"),
+        F.round(F.col("value") * 100).cast("bigint").alias("duration_ms"),
+        (F.col("user_id") * 10).alias("total_records"),
+    )

@@ -358,3 +358,96 @@ SELECT base, CAST({len(CORE_API_FIELDS)} + row_number() OVER (PARTITION BY base
 FROM ({_REQUIRED}) AS x(base, position, display_name) JOIN ({RESOLVED}) r USING (display_name)
 WHERE r.field_id IS NOT NULL
 """
+
+
+# ---------------------------------------------------------------- snapshots, dedup, typed load, quality
+
+VERSIONS = """
+  SELECT 'LI-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS issue_key,
+         CASE WHEN l_partkey % 10 = 0 THEN NULL ELSE strftime(l_shipdate, '%Y-%m-%d') END AS updated,
+         CASE WHEN l_partkey % 3 IN (0, 1) THEN CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + INTERVAL 10 HOUR
+              WHEN l_suppkey % 4 = 0 THEN TIMESTAMP '2026-03-03 20:26:35'
+              ELSE CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) END AS resolved,
+         l_returnflag AS base, l_returnflag || '/' || CAST(l_quantity AS VARCHAR) AS summary, l_linestatus AS status,
+         make_date(year(l_shipdate), 12, 31) AS periodo_fim,
+         l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus
+  FROM lineitem
+"""
+ORD = "l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC"
+
+ORACLES["dedup_keep_last"] = f"""
+SELECT issue_key, updated, summary, status FROM (
+  SELECT *, row_number() OVER (PARTITION BY issue_key, updated ORDER BY {ORD}) AS rn FROM ({VERSIONS})
+) WHERE rn = 1
+"""
+
+ORACLES["resolved_updated"] = f"SELECT issue_key, l_partkey, l_suppkey, l_extendedprice, resolved FROM ({VERSIONS})"
+
+ORACLES["dedup_typed"] = f"""
+SELECT issue_key AS chave_ticket, resolved AS data_atualizacao, summary, status FROM (
+  SELECT *, row_number() OVER (PARTITION BY issue_key, resolved ORDER BY {ORD}) AS rn FROM ({VERSIONS})
+) WHERE rn = 1
+"""
+
+ORACLES["current_state"] = f"""
+SELECT issue_key, periodo_fim, summary, status FROM (
+  SELECT *, row_number() OVER (PARTITION BY issue_key ORDER BY periodo_fim DESC, {ORD}) AS rn FROM ({VERSIONS})
+) WHERE rn = 1
+"""
+
+ORACLES["volume_and_dedup_rate"] = f"""
+SELECT base, count(*) AS raw_rows, count(DISTINCT issue_key || '|' || coalesce(updated, '<null>')) AS kept_rows,
+       round(1 - count(DISTINCT issue_key || '|' || coalesce(updated, '<null>')) / count(*), 6) AS discarded_share
+FROM ({VERSIONS}) GROUP BY base
+"""
+
+CONTRACT = f"""
+  SELECT o_orderkey, base, o_orderdate, o_orderpriority, c_name, c_mktsegment,
+         CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE 'TCK-' || CAST(o_orderkey AS VARCHAR) END AS key_text,
+         CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE c_name END AS summary,
+         CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE o_orderpriority END AS status,
+         CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS created_ts,
+         CASE WHEN o_orderkey % 5 = 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)
+              ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 10 HOUR END AS updated_ts,
+         o_orderkey % 5 = 0 AS updated_null,
+         CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS ref_local,
+         CASE WHEN o_orderkey % 43 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE)
+              ELSE CAST(o_orderdate AS DATE) + 1 END AS ref_utc,
+         o_orderkey % 43 = 0 AS ref_bad
+  FROM ({TICKETS})
+"""
+
+ORACLES["typed_projection"] = f"""
+SELECT key_text AS chave_ticket, summary AS resumo, status, created_ts AS data_criacao, updated_ts AS data_atualizacao,
+       base AS base_origem, ref_local AS data_referencia, c_mktsegment AS espaco, 'api' AS modo_origem,
+       DATE '1995-01-01' AS periodo_inicio, DATE '2001-12-31' AS periodo_fim,
+       CAST(o_orderdate AS DATE) AS data_fechou_salesforce, c_mktsegment AS tema, CAST(NULL AS DATE) AS data_de_abertura
+FROM ({CONTRACT}) WHERE key_text IS NOT NULL
+"""
+
+_OUT = "(ref_utc < DATE '1995-01-01' OR ref_utc > DATE '1999-12-31')"
+ORACLES["quality_report"] = f"""
+SELECT base AS base_origem, count(*) AS n_rows, CAST(0 AS BIGINT) AS null_issue_key,
+       CAST(sum(CASE WHEN status IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_status,
+       CAST(sum(CASE WHEN updated_null THEN 1 ELSE 0 END) AS BIGINT) AS null_updated,
+       CAST(sum(CASE WHEN {_OUT} THEN 1 ELSE 0 END) AS BIGINT) AS ref_outside_window,
+       CAST(sum(CASE WHEN ref_bad THEN 1 ELSE 0 END) AS BIGINT) AS ref_unparseable,
+       CASE WHEN sum(CASE WHEN status IS NULL THEN 1 ELSE 0 END) > 0 OR sum(CASE WHEN {_OUT} THEN 1 ELSE 0 END) > 0 THEN 'fail'
+            WHEN sum(CASE WHEN updated_null THEN 1 ELSE 0 END) > 0 THEN 'warn' ELSE 'pass' END AS verdict
+FROM ({CONTRACT}) GROUP BY base
+"""
+
+ORACLES["quarantine"] = f"""
+SELECT o_orderkey, base AS base_origem, 'null_status' AS rule FROM ({CONTRACT}) WHERE status IS NULL
+UNION ALL SELECT o_orderkey, base, 'null_updated' FROM ({CONTRACT}) WHERE updated_null
+UNION ALL SELECT o_orderkey, base, 'ref_outside_window' FROM ({CONTRACT}) WHERE {_OUT}
+"""
+
+ORACLES["table_full_refresh"] = f"""
+SELECT key_text AS chave_ticket, base AS base_origem, status, ref_local AS data_referencia
+FROM ({CONTRACT}) WHERE key_text IS NOT NULL AND base <> 'encerradas'
+"""
+
+ORACLES["load_verification"] = f"""
+SELECT base, count(*) AS expected, count(*) AS loaded, true AS ok FROM ({CONTRACT}) WHERE key_text IS NOT NULL GROUP BY base
+"""

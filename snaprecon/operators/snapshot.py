@@ -87,10 +87,10 @@ def rules_filter(df: DataFrame, rules: DataFrame, base_col: str, status_col: str
     configuration, so it is broadcast; the data side is never shuffled.
     """
     allowed = F.broadcast(
-        rules.select(F.col("base").alias("__b"), tx.canonical_text("status").alias("__s")).distinct()
+        rules.select(F.col("base").alias("__rb"), tx.canonical_text("status").alias("__rs")).distinct()
     )
     keyed = df.withColumn("__s", tx.canonical_text(status_col))
-    return keyed.join(allowed, (F.col(base_col) == F.col("__b")) & (F.col("__s") == allowed["__s"]), "left_semi").drop("__s")
+    return keyed.join(allowed, (F.col(base_col) == F.col("__rb")) & (F.col("__s") == F.col("__rs")), "left_semi").drop("__s")
 
 
 def run_windows(run_dates: DataFrame, date_col: str = "run_date") -> DataFrame:

@@ -464,3 +464,138 @@ def load_verification(spark: SparkSession, sf: str) -> DataFrame:
         _, expected, loaded = _stage_verify_swap(spark, typed, f"{root}/{base}")
         out.append((base, expected, loaded, expected == loaded))
     return spark.createDataFrame(out, "base string, expected bigint, loaded bigint, ok boolean")
+
+
+# ---------------------------------------------------------------- audit analytics, windows, rules
+
+from snaprecon.plans.spec import BASE_RULES  # noqa: E402
+
+
+def _rules_frame(spark: SparkSession) -> DataFrame:
+    """Rules relation: one row per base (filter id, reference-date filter name); bounded by configuration."""
+    return spark.createDataFrame([(b, fid, dn) for b, (fid, _, dn) in BASE_RULES.items()], "base string, filter_id int, date_name string")
+
+
+AUDIT_SCHEMA = ("event_id bigint, ts timestamp, base string, status string, error_kind string, source_mode string, "
+                "duration_ms bigint, total_records bigint, recorded_at timestamp")
+
+
+def _landed_audit(spark: SparkSession, sf: str) -> str:
+    """K8: append the events in two batches (before / from 15 Jan), recorded at their own run time."""
+    ev = fx.audit_events(spark, sf)
+    path = fresh_path(spark, "audit")
+    sk.append_audit(ev.where(F.col("ts") < "2024-01-15"), path, recorded_at=F.col("ts"))
+    sk.append_audit(ev.where(F.col("ts") >= "2024-01-15"), path, recorded_at=F.col("ts"))
+    return path
+
+
+@query
+def audit_append(spark: SparkSession, sf: str) -> DataFrame:
+    """K8: both appends land, partitioned by the recording date."""
+    path = _landed_audit(spark, sf)
+    return sk.read_audit(spark, path, AUDIT_SCHEMA + ", recorded_date date").select("event_id", "base", "recorded_date")
+
+
+@query
+def audit_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The JSONL audit log read with its declared schema (no inference)."""
+    path = _landed_audit(spark, sf)
+    return sk.read_audit(spark, path, AUDIT_SCHEMA).select(
+        "event_id", "base", "status", "error_kind", "source_mode", "duration_ms", "total_records", _ntz("ts")
+    )
+
+
+@query
+def audit_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs, latency min / median / max, records per second, fallback and success rates per base."""
+    return rs.rollup(fx.audit_events(spark, sf))
+
+
+@query
+def fallback_streaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Consecutive days with a fallback run (2+ days), per base."""
+    return rs.fallback_streaks(fx.audit_events(spark, sf))
+
+
+@query
+def zero_volume_alert(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily volume per base vs trailing 7-day average; days without successful volume flagged."""
+    ev = fx.audit_events(spark, sf).where(F.col("status") == "success").where(F.col("total_records") > 0)
+    return rs.zero_volume(ev.withColumn("total_records", F.when(F.col("source_mode") == "api", F.col("total_records")).otherwise(0)))
+
+
+@query
+def repeated_error_alert(spark: SparkSession, sf: str) -> DataFrame:
+    """An auth error right after another auth error on the same base."""
+    return rs.repeated_errors(fx.audit_events(spark, sf)).select("base", "event_id", _ntz("ts"), "error_kind")
+
+
+@query
+def query_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    """SHA-256 of the filter text of each run's default window (run date = event day)."""
+    ev = fx.audit_events(spark, sf).select("event_id", "base", F.to_date("ts").alias("run_date"))
+    lo, hi = dt.default_window("run_date")
+    runs = ev.select("event_id", "base", lo.alias("from_date"), hi.alias("to_date"))
+    joined = runs.join(F.broadcast(_rules_frame(spark)), "base", "inner")
+    return joined.select(
+        "event_id", "base", "from_date", "to_date",
+        rs.fingerprint(F.col("filter_id"), F.col("date_name"), F.col("from_date"), F.col("to_date")).alias("query_hash"),
+    )
+
+
+@query
+def source_preference(spark: SparkSession, sf: str) -> DataFrame:
+    """Per base, fallback rows replace the primary ones only where the base's primary run failed.
+
+    A base's primary run failed when its last audit event is an auth or
+    transient error; the fallback export carries extra columns (U5).
+    """
+    ev = fx.audit_events(spark, sf)
+    w = Window.partitionBy("base").orderBy(F.desc("ts"), F.desc("event_id"))
+    last = ev.withColumn("rn", F.row_number().over(w)).where(F.col("rn") == 1)
+    status = last.select(F.col("base").alias("base_origem"), (F.col("status") == "success").alias("primary_ok"))
+    rows = fx.contract_rows(spark, sf)
+    primary = rows.select("issue_key", "base_origem", "status", F.lit("api").alias("source_mode"))
+    fallback = rows.select("issue_key", "base_origem", "status", F.lit("playwright_fallback").alias("source_mode"),
+                           F.concat(F.lit("export_"), F.col("base_origem"), F.lit(".csv")).alias("fallback_file"))
+    return nz.prefer_primary(primary, fallback, status)
+
+
+@query
+def rolling_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Tickets per run date inside the run's default window (trailing month ending D-1)."""
+    t = fx.tickets(spark, sf).select(F.to_date("o_orderdate").alias("ref_date"))
+    runs = t.select(F.col("ref_date").alias("run_date")).distinct()
+    member = sn.rolling_membership(t, "ref_date", sn.run_windows(runs))
+    return member.groupBy("run_date", "window_from", "window_to").agg(F.count(F.lit(1)).alias("n_tickets"))
+
+
+@query
+def window_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """F1/F8: all bases, window 1997-01-01..1997-12-31 on the raw date column (pushed to the scan)."""
+    o = table(spark, sf, "orders")
+    kept = sn.window_filter(o, "o_orderdate", "1997-01-01", "1997-12-31 23:59:59.999999")
+    return kept.select(F.concat(F.lit("TCK-"), F.col("o_orderkey").cast("string")).alias("issue_key"),
+                       fx.base_of(F.col("o_orderstatus")).alias("base"))
+
+
+def _status_rules(spark: SparkSession) -> DataFrame:
+    # allowed statuses per base, written as a user would (case and accents vary)
+    rows = [("encerradas", "1-urgent"), ("encerradas", "2-HÍGH"), ("analisadas", "3-MÉDIUM"),
+            ("ingressadas", "4-not specified"), ("ingressadas", "5-LOW")]
+    return spark.createDataFrame(rows, "base string, status string")
+
+
+@query
+def business_rules_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """Tickets whose status is allowed for their base (accent/case-insensitive)."""
+    t = fx.tickets(spark, sf).select(F.concat(F.lit("TCK-"), F.col("o_orderkey").cast("string")).alias("issue_key"),
+                                     "base", F.col("o_orderpriority").alias("status"))
+    return sn.rules_filter(t, _status_rules(spark), "base", "status")
+
+
+@query
+def ordered_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """O1: one window's extract in remote order (created descending, key), a distributed range sort."""
+    rows = fx.contract_rows(spark, sf).where(F.col("periodo_inicio") == F.lit("1998-01-01").cast("date"))
+    return rows.select("issue_key", "base_origem", "created").orderBy(F.desc("created"), "issue_key")

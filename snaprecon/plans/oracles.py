@@ -189,7 +189,7 @@ FROM documents GROUP BY lang
 # ---------------------------------------------------------------- JSON ingest family
 
 from snaprecon.plans.fixtures import CATALOG_GAP, CATALOG_OVERRIDE, custom_ids  # noqa: E402
-from snaprecon.plans.spec import CORE_API_FIELDS, SPECS  # noqa: E402
+from snaprecon.plans.spec import BASE_RULES, CORE_API_FIELDS, SPECS  # noqa: E402
 
 RUN_EXTRACTED_AT = "2026-03-03T20:26:35.558569+00:00"
 
@@ -451,3 +451,101 @@ FROM ({CONTRACT}) WHERE key_text IS NOT NULL AND base <> 'encerradas'
 ORACLES["load_verification"] = f"""
 SELECT base, count(*) AS expected, count(*) AS loaded, true AS ok FROM ({CONTRACT}) WHERE key_text IS NOT NULL GROUP BY base
 """
+
+
+# ---------------------------------------------------------------- audit analytics, windows, rules
+
+AUDIT = """
+  SELECT event_id, ts,
+         CASE event_type WHEN 'purchase' THEN 'encerradas' WHEN 'view' THEN 'analisadas' WHEN 'signup' THEN 'ingressadas'
+              ELSE event_type END AS base,
+         CASE WHEN value < 20 THEN 'error' ELSE 'success' END AS status,
+         CASE WHEN value < 20 AND user_id % 3 = 0 THEN 'auth' WHEN value < 20 THEN 'transient' END AS error_kind,
+         CASE WHEN value >= 20 AND value < 40 THEN 'playwright_fallback' ELSE 'api' END AS source_mode,
+         CAST(round(value * 100) AS BIGINT) AS duration_ms,
+         user_id * 10 AS total_records
+  FROM events
+"""
+
+ORACLES["audit_append"] = f"SELECT event_id, base, CAST(ts AS DATE) AS recorded_date FROM ({AUDIT})"
+
+ORACLES["audit_scan"] = f"SELECT event_id, base, status, error_kind, source_mode, duration_ms, total_records, ts FROM ({AUDIT})"
+
+ORACLES["audit_rollup"] = f"""
+SELECT base, count(*) AS runs, min(duration_ms) AS min_ms, quantile_cont(CAST(duration_ms AS DOUBLE), 0.5) AS median_ms,
+       max(duration_ms) AS max_ms, round(sum(total_records) / (sum(duration_ms) / 1000.0), 6) AS records_per_sec,
+       round(avg(CASE WHEN source_mode <> 'api' THEN 1.0 ELSE 0.0 END), 6) AS fallback_rate,
+       round(avg(CASE WHEN status = 'success' THEN 1.0 ELSE 0.0 END), 6) AS success_rate
+FROM ({AUDIT}) GROUP BY base
+"""
+
+ORACLES["fallback_streaks"] = f"""
+WITH d AS (SELECT DISTINCT base, CAST(ts AS DATE) AS day FROM ({AUDIT}) WHERE source_mode <> 'api'),
+g AS (SELECT base, day, day - CAST(row_number() OVER (PARTITION BY base ORDER BY day) AS INTEGER) AS grp FROM d)
+SELECT base, min(day) AS streak_start, max(day) AS streak_end, count(*) AS days FROM g GROUP BY base, grp HAVING count(*) >= 2
+"""
+
+ORACLES["zero_volume_alert"] = f"""
+WITH ev AS (SELECT * FROM ({AUDIT}) WHERE status = 'success' AND total_records > 0),
+daily AS (SELECT base, CAST(ts AS DATE) AS day, sum(CASE WHEN source_mode = 'api' THEN total_records ELSE 0 END) AS volume
+          FROM ev GROUP BY ALL),
+span AS (SELECT base, min(day) AS lo, max(day) AS hi FROM daily GROUP BY base),
+cal AS (SELECT base, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM span),
+f AS (SELECT cal.base, cal.day, coalesce(daily.volume, 0) AS volume FROM cal LEFT JOIN daily USING (base, day)),
+w AS (SELECT *, avg(volume) OVER (PARTITION BY base ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS a FROM f)
+SELECT base, day, CAST(volume AS BIGINT) AS volume, round(a, 6) AS trailing_avg, (volume = 0 AND coalesce(a > 0, false)) AS alert FROM w
+"""
+
+ORACLES["repeated_error_alert"] = f"""
+SELECT base, event_id, ts, error_kind FROM (
+  SELECT *, lag(error_kind) OVER (PARTITION BY base ORDER BY ts, event_id) AS prev FROM ({AUDIT})
+) WHERE error_kind = 'auth' AND prev = 'auth'
+"""
+
+_RULES = "VALUES " + ", ".join(f"({lit(b)}, {fid}, {lit(dn)})" for b, (fid, _, dn) in BASE_RULES.items())
+ORACLES["query_fingerprint"] = f"""
+WITH r AS (SELECT event_id, base, CAST(ts AS DATE) - 1 AS to_date FROM ({AUDIT})),
+w AS (SELECT event_id, base, CAST(to_date - INTERVAL 1 MONTH AS DATE) AS from_date, to_date FROM r)
+SELECT w.event_id, w.base, w.from_date, w.to_date,
+       sha256('filter = ' || CAST(x.fid AS VARCHAR) || ' AND "' || x.dn || '" >= "' || CAST(w.from_date AS VARCHAR)
+              || '" AND "' || x.dn || '" <= "' || CAST(w.to_date AS VARCHAR) || '" ORDER BY created DESC') AS query_hash
+FROM w JOIN ({_RULES}) AS x(base, fid, dn) USING (base)
+"""
+
+_CONTRACT_KEY = "CASE WHEN o_orderkey % 31 = 0 THEN '  ' ELSE 'TCK-' || CAST(o_orderkey AS VARCHAR) END"
+ORACLES["source_preference"] = f"""
+WITH last AS (
+  SELECT base, status = 'success' AS ok FROM (
+    SELECT *, row_number() OVER (PARTITION BY base ORDER BY ts DESC, event_id DESC) AS rn FROM ({AUDIT})) WHERE rn = 1
+), c AS (SELECT {_CONTRACT_KEY} AS issue_key, base AS base_origem, status FROM ({CONTRACT}))
+SELECT c.issue_key, c.base_origem, c.status, 'api' AS source_mode, CAST(NULL AS VARCHAR) AS fallback_file
+FROM c JOIN last ON last.base = c.base_origem AND last.ok
+UNION ALL
+SELECT c.issue_key, c.base_origem, c.status, 'playwright_fallback', 'export_' || c.base_origem || '.csv'
+FROM c JOIN last ON last.base = c.base_origem AND NOT last.ok
+"""
+
+ORACLES["rolling_windows"] = f"""
+WITH t AS (SELECT CAST(o_orderdate AS DATE) AS ref_date FROM ({TICKETS})),
+runs AS (SELECT DISTINCT ref_date AS run_date FROM t),
+w AS (SELECT run_date, CAST((run_date - 1) - INTERVAL 1 MONTH AS DATE) AS window_from, run_date - 1 AS window_to FROM runs)
+SELECT w.run_date, w.window_from, w.window_to, count(*) AS n_tickets
+FROM w JOIN t ON t.ref_date BETWEEN w.window_from AND w.window_to GROUP BY ALL
+"""
+
+ORACLES["window_filter"] = f"""
+SELECT 'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key, {BASE_CASE} AS base FROM orders o
+WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31 23:59:59.999999'
+"""
+
+ORACLES["business_rules_filter"] = f"""
+SELECT 'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key, base, o_orderpriority AS status FROM ({TICKETS})
+WHERE (base = 'encerradas' AND o_orderpriority IN ('1-URGENT', '2-HIGH'))
+   OR (base = 'analisadas' AND o_orderpriority = '3-MEDIUM')
+   OR (base = 'ingressadas' AND o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW'))
+"""
+
+ORACLES["ordered_extract"] = f"""
+SELECT {_CONTRACT_KEY} AS issue_key, base AS base_origem, strftime(o_orderdate, {TS}) AS created
+FROM ({TICKETS}) WHERE year(o_orderdate) = 1998
+"""

@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 from snaprecon.functions.dates import month_token  # noqa: F401  (re-exported for callers)
 
 
+# ISO-8601 with microseconds and offset, as audit lines carry it
+AUDIT_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def read_audit(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The JSONL audit log with a declared schema (never inference)."""
+    return spark.read.schema(schema).option("timestampFormat", AUDIT_TS_FORMAT).json(path)
+
+
 def period_token(period_from: Column | str, period_to: Column | str) -> Column:
     """``from__to`` label of a window."""
     a = F.col(period_from) if isinstance(period_from, str) else period_from
@@ -97,6 +106,7 @@ def append_audit(events: DataFrame, path: str, recorded_at: Column | None = None
         events.withColumn("recorded_at", rec)
         .withColumn("recorded_date", F.to_date("recorded_at"))
         .write.mode("append")
+        .option("timestampFormat", AUDIT_TS_FORMAT)
         .partitionBy("recorded_date")
         .json(path)
     )

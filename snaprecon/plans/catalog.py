@@ -599,3 +599,167 @@ def ordered_extract(spark: SparkSession, sf: str) -> DataFrame:
     """O1: one window's extract in remote order (created descending, key), a distributed range sort."""
     rows = fx.contract_rows(spark, sf).where(F.col("periodo_inicio") == F.lit("1998-01-01").cast("date"))
     return rows.select("issue_key", "base_origem", "created").orderBy(F.desc("created"), "issue_key")
+
+
+# ---------------------------------------------------------------- fallback exports, snapshots, report, evolution
+
+def _fallback_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """S4 + P5: every base's export read as text and mapped to its own contract, aligned to the union."""
+    paths = fx.write_exports(spark, sf, fresh_path(spark, "export"))
+    out = None
+    for base, path in paths.items():
+        export = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        part = nz.normalize_fallback(export, SPECS[base], RUN)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+@query
+def csv_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Fallback exports (different header spellings per base) -> text contract."""
+    return _fallback_contract(spark, sf).select(
+        "issue_key", "summary", "status", "created", "updated", "base_origem", "data_referencia", "espaco",
+        "tipo_ticket", "source_mode", "tema",
+    )
+
+
+@query
+def header_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """P5: values that only come out right when the right candidate header is picked."""
+    df = _fallback_contract(spark, sf)
+    return df.groupBy("base_origem", "espaco", "tipo_ticket", F.substring("data_referencia", 1, 4).alias("ref_year")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+@query
+def contract_align(spark: SparkSession, sf: str) -> DataFrame:
+    """All exports aligned to the ingressadas contract (exact columns and order; missing -> null)."""
+    return nz.align(_fallback_contract(spark, sf), SPECS["ingressadas"])
+
+
+def _snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    rows = fx.contract_rows(spark, sf)
+    dedup = sn.keep_last(rows, ["issue_key", "updated"], [F.col("o_orderkey")])
+    return dedup.select(*_SNAP_COLS, "periodo_inicio", "periodo_fim")
+
+
+def _written_snapshot(spark: SparkSession, sf: str) -> tuple[str, dict]:
+    path = fresh_path(spark, "snapshot")
+    info = sk.write_snapshot(_snapshot(spark, sf), path, formats=("csv", "parquet", "xlsx"))
+    return path, info
+
+
+def _part_types() -> list:
+    return [F.col("periodo_inicio").cast("date").alias("periodo_inicio"), F.col("periodo_fim").cast("date").alias("periodo_fim")]
+
+
+@query
+def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """K2: deduplicated snapshot written as Parquet (and CSV) by base and window, read back."""
+    path, _ = _written_snapshot(spark, sf)
+    return spark.read.parquet(f"{path}/parquet").select("issue_key", "summary", "status", "base_origem", *_part_types())
+
+
+@query
+def snapshot_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The CSV side of the snapshot read with the contract schema (all text)."""
+    path, _ = _written_snapshot(spark, sf)
+    schema = SPECS["encerradas"].text_schema()
+    cols = ", ".join(f"`{f.name}` string" for f in schema.fields if f.name in _SNAP_COLS and f.name != "base_origem")
+    df = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+          .schema(cols + ", base_origem string, periodo_inicio date, periodo_fim date").csv(f"{path}/csv"))
+    return df.select("issue_key", "summary", "status", "updated", "base_origem", "periodo_inicio", "periodo_fim")
+
+
+@query
+def snapshot_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """K3: one manifest per (base, window): record count after dedup and the formats written."""
+    path, info = _written_snapshot(spark, sf)
+    snap = spark.read.parquet(f"{path}/parquet")
+    man = sk.manifest_rows(snap, tuple(info["formats"]), "2026-03-03 20:27:05")
+    sk.write_manifest(man, f"{path}/manifest")
+    back = spark.read.schema("base string, from_date date, to_date date, generated_at timestamp, record_count bigint, formats array<string>").json(f"{path}/manifest")
+    return back.select("base", "from_date", "to_date", "record_count", F.array_join("formats", ",").alias("formats"),
+                       sk.period_token("from_date", "to_date").alias("period_token"))
+
+
+@query
+def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Per base, the rows of its latest window (max period end), found from partition values."""
+    path, _ = _written_snapshot(spark, sf)
+    snap = spark.read.parquet(f"{path}/parquet").select("issue_key", "base_origem", *_part_types())
+    latest = snap.groupBy("base_origem").agg(F.max("periodo_fim").alias("periodo_fim"))
+    return snap.join(F.broadcast(latest), ["base_origem", "periodo_fim"], "left_semi")
+
+
+@query
+def base_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """K7: re-running one base replaces that base's whole subtree (older windows too), others untouched."""
+    snap = _snapshot(spark, sf)
+    path = fresh_path(spark, "snapshot")
+    sk.write_snapshot(snap, path, formats=("parquet",))
+    rerun = snap.where((F.col("base_origem") == "analisadas") & (F.col("periodo_inicio") == F.lit("2001-01-01").cast("date")))
+    sk.overwrite_base(rerun.drop("base_origem"), f"{path}/parquet", "analisadas")
+    back = spark.read.parquet(f"{path}/parquet").select("base_origem", *_part_types())
+    return back.groupBy("base_origem", "periodo_inicio", "periodo_fim").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def report_flat(spark: SparkSession, sf: str) -> DataFrame:
+    """K6: the report written nested (JSON, with example arrays) and flat (CSV, 11 columns), CSV read back."""
+    counts = _recon_counts(spark, sf)
+    report = rc.monthly_report(counts).withColumn("csv_file", F.lit("processed/latest.csv"))
+    nested = report.join(rc.nested_examples(rc.top_examples(counts)), ["base", "month"], "left")
+    path = fresh_path(spark, "report")
+    rc.ordered(nested, BASE_ORDER).write.json(f"{path}/json")
+    flat_cols = ["base", "month", "csv_file", "local_count", "reference_count", "matched_count", "missing_in_local_count",
+                 "extra_in_local_count", "relaxed_matched_count", "relaxed_missing_count", "relaxed_extra_count"]
+    rc.ordered(report.select(*flat_cols), BASE_ORDER).coalesce(1).write.option("header", True).csv(f"{path}/csv")
+    back = spark.read.option("header", True).csv(f"{path}/csv")
+    return back.select("base", "month", "csv_file", *[F.col(c).cast("bigint").alias(c) for c in flat_cols[3:]])
+
+
+def _old_table(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """An existing table in an older layout: no ``tema`` / ``faixa_dias_uteis_simples``, dates as text."""
+    rows = fx.contract_rows(spark, sf).where(F.col("periodo_inicio") < F.lit("2000-01-01").cast("date"))
+    k = F.col("o_orderkey")
+    old = rows.select(
+        F.col("issue_key").alias("chave_ticket"), F.col("summary").alias("resumo"), "status",
+        F.col("created").alias("data_criacao"), "base_origem",
+        F.when(k % 9 == 0, F.lit("pendente")).otherwise(F.col("data_fechou_salesforce")).alias("data_fechou_salesforce"),
+    )
+    path = fresh_path(spark, "oldtable")
+    old.write.parquet(path)
+    return spark.read.parquet(path), path
+
+
+@query
+def schema_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """V6/M2: expected typed contract vs an existing table, one row per column with its action."""
+    old, _ = _old_table(spark, sf)
+    rows = qa.schema_diff(SPECS["encerradas"].typed_schema(), old.schema)
+    counts = old.agg(F.count(F.lit(1)).alias("existing_rows"))
+    diff = spark.createDataFrame(rows, "column_name string, expected_type string, existing_type string, action string")
+    return diff.crossJoin(F.broadcast(counts))
+
+
+@query
+def schema_add_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """M1: old rows and new rows in one table; columns the old layout lacks read as null."""
+    old, _ = _old_table(spark, sf)
+    new = fx.contract_rows(spark, sf).where(F.col("periodo_inicio") >= F.lit("2000-01-01").cast("date")).select(
+        F.col("issue_key").alias("chave_ticket"), F.col("summary").alias("resumo"), "status", "base_origem", "tema"
+    )
+    both = old.unionByName(new, allowMissingColumns=True)
+    return both.groupBy("base_origem").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("tema").alias("n_tema"), F.count("data_fechou_salesforce").alias("n_fechou")
+    )
+
+
+@query
+def schema_text_to_date(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: a text column becomes a date; values that do not convert become null."""
+    old, _ = _old_table(spark, sf)
+    evolved = qa.evolve(old, SPECS["encerradas"].typed_schema())
+    return evolved.select("chave_ticket", "base_origem", "data_fechou_salesforce")

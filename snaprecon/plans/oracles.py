@@ -549,3 +549,108 @@ ORACLES["ordered_extract"] = f"""
 SELECT {_CONTRACT_KEY} AS issue_key, base AS base_origem, strftime(o_orderdate, {TS}) AS created
 FROM ({TICKETS}) WHERE year(o_orderdate) = 1998
 """
+
+
+# ---------------------------------------------------------------- fallback exports, snapshots, report, evolution
+
+_DAY = "strftime(o_orderdate, '%Y-%m-%d')"
+_EXPORT = {
+    "issue_key": "'TCK-' || CAST(o_orderkey AS VARCHAR)",
+    "summary": "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE c_name END",
+    "status": "o_orderpriority",
+    "created": f"strftime(o_orderdate, {TS})",
+    "updated": "strftime(o_orderdate, '%Y-%m-%dT10:00:00.000+0000')",
+    "base_origem": "base",
+    "data_referencia": _DAY,
+    "espaco": "c_mktsegment",
+    "tipo_ticket": "o_orderstatus",
+    "extracted_at": lit(RUN_EXTRACTED_AT),
+    "source_mode": "'playwright_fallback'",
+    "tema": "c_mktsegment",
+    "data_fechou_salesforce": f"CASE WHEN base = 'encerradas' THEN {_DAY} END",
+    "data_ultima_analise": f"CASE WHEN base = 'analisadas' THEN {_DAY} END",
+}
+
+ORACLES["csv_contract"] = "SELECT " + ", ".join(
+    f"{_EXPORT[c]} AS {c}" for c in ("issue_key", "summary", "status", "created", "updated", "base_origem", "data_referencia",
+                                      "espaco", "tipo_ticket", "source_mode", "tema")
+) + f" FROM ({TICKETS})"
+
+ORACLES["header_candidates"] = f"""
+SELECT base AS base_origem, c_mktsegment AS espaco, o_orderstatus AS tipo_ticket, strftime(o_orderdate, '%Y') AS ref_year,
+       count(*) AS n
+FROM ({TICKETS}) GROUP BY ALL
+"""
+
+ORACLES["contract_align"] = "SELECT " + ", ".join(
+    f"{_EXPORT.get(c, 'CAST(NULL AS VARCHAR)')} AS {q(c)}" for c in SPECS["ingressadas"].text_columns
+) + f" FROM ({TICKETS})"
+
+SNAP = f"""
+  SELECT * FROM (
+    SELECT {_CONTRACT_KEY} AS issue_key,
+           CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE c_name END AS summary,
+           CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE o_orderpriority END AS status,
+           CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN {_DAY} || 'T07:00:00-03:00'
+                ELSE {_DAY} || 'T10:00:00.000+0000' END AS updated,
+           base AS base_origem, make_date(year(o_orderdate), 1, 1) AS periodo_inicio,
+           make_date(year(o_orderdate), 12, 31) AS periodo_fim, o_orderkey
+    FROM ({TICKETS})
+  ) QUALIFY row_number() OVER (PARTITION BY issue_key, updated ORDER BY o_orderkey DESC) = 1
+"""
+
+ORACLES["snapshot_roundtrip"] = f"SELECT issue_key, summary, status, base_origem, periodo_inicio, periodo_fim FROM ({SNAP})"
+ORACLES["snapshot_scan"] = f"SELECT issue_key, summary, status, updated, base_origem, periodo_inicio, periodo_fim FROM ({SNAP})"
+ORACLES["snapshot_manifest"] = f"""
+SELECT base_origem AS base, periodo_inicio AS from_date, periodo_fim AS to_date, count(*) AS record_count,
+       'csv,parquet,xlsx' AS formats, CAST(periodo_inicio AS VARCHAR) || '__' || CAST(periodo_fim AS VARCHAR) AS period_token
+FROM ({SNAP}) GROUP BY ALL
+"""
+ORACLES["latest_snapshot"] = f"""
+SELECT issue_key, base_origem, periodo_inicio, periodo_fim FROM ({SNAP}) s
+WHERE periodo_fim = (SELECT max(periodo_fim) FROM ({SNAP}) x WHERE x.base_origem = s.base_origem)
+"""
+ORACLES["base_overwrite"] = f"""
+SELECT base_origem, periodo_inicio, periodo_fim, count(*) AS n FROM ({SNAP})
+WHERE base_origem <> 'analisadas' OR periodo_inicio = DATE '2001-01-01' GROUP BY ALL
+"""
+ORACLES["report_flat"] = (
+    ORACLES["reconcile_month"].replace("SELECT s.base, s.month,", "SELECT s.base, s.month, 'processed/latest.csv' AS csv_file,", 1)
+)
+
+_OLD = {"chave_ticket": "string", "resumo": "string", "status": "string", "data_criacao": "string", "base_origem": "string",
+        "data_fechou_salesforce": "string"}
+
+
+def _diff_rows() -> str:
+    rows = []
+    for f in SPECS["encerradas"].typed_schema().fields:
+        exp = f.dataType.simpleString()
+        cur = _OLD.get(f.name)
+        if cur is None:
+            action = "add"
+        elif cur == exp:
+            action = "keep"
+        elif exp == "date" and cur == "string":
+            action = "to_date"
+        else:
+            action = "retype"
+        rows.append(f"({lit(f.name)}, {lit(exp)}, {lit(cur) if cur else 'NULL'}, {lit(action)})")
+    return "VALUES " + ", ".join(rows)
+
+
+ORACLES["schema_diff"] = f"""
+SELECT d.column_name, d.expected_type, d.existing_type, d.action, c.existing_rows
+FROM ({_diff_rows()}) AS d(column_name, expected_type, existing_type, action)
+CROSS JOIN (SELECT count(*) AS existing_rows FROM ({TICKETS}) WHERE year(o_orderdate) < 2000) c
+"""
+ORACLES["schema_add_columns"] = f"""
+SELECT base AS base_origem, count(*) AS n_rows, count(*) FILTER (WHERE year(o_orderdate) >= 2000) AS n_tema,
+       count(*) FILTER (WHERE year(o_orderdate) < 2000) AS n_fechou
+FROM ({TICKETS}) GROUP BY base
+"""
+ORACLES["schema_text_to_date"] = f"""
+SELECT {_CONTRACT_KEY} AS chave_ticket, base AS base_origem,
+       CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS data_fechou_salesforce
+FROM ({TICKETS}) WHERE year(o_orderdate) < 2000
+"""

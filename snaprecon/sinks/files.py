@@ -76,7 +76,8 @@ def write_snapshot(
         src = observed if first else df
         w = src.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_cols)
         if fmt == "csv":
-            w.option("header", True).csv(f"{path}/csv")
+            # keep surrounding blanks as written (the defaults trim them, turning "  " into null on read)
+            w.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/csv")
         else:
             w.parquet(f"{path}/parquet")
         written.append(fmt)
@@ -114,3 +115,15 @@ def append_audit(events: DataFrame, path: str, recorded_at: Column | None = None
 
 def manifest_json(row: dict) -> str:
     return json.dumps(row, ensure_ascii=False, indent=2, default=str)
+
+
+def overwrite_base(df: DataFrame, table_path: str, base: str,
+                   partition_cols: tuple[str, ...] = ("periodo_inicio", "periodo_fim")) -> None:
+    """K7: replace the whole subtree of one base (older windows removed), leaving other bases untouched.
+
+    The rows go to the base's own directory with a static overwrite, so every
+    window previously written for that base disappears.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(
+        f"{table_path}/base_origem={base}"
+    )

@@ -763,3 +763,45 @@ def schema_text_to_date(spark: SparkSession, sf: str) -> DataFrame:
     old, _ = _old_table(spark, sf)
     evolved = qa.evolve(old, SPECS["encerradas"].typed_schema())
     return evolved.select("chave_ticket", "base_origem", "data_fechou_salesforce")
+
+
+# ---------------------------------------------------------------- paged payloads, streaming
+
+from snaprecon.sources import pages as pg  # noqa: E402
+from snaprecon.streaming import ingest as st  # noqa: E402
+
+
+@query
+def paged_explode(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed page files -> one row per issue with its (page, position) arrival ordinal."""
+    path = fresh_path(spark, "pages")
+    fx.issue_pages(spark, sf).write.text(path)
+    issues, _ = pg.explode_pages(spark.read.text(path))
+    return issues.select("page_no", "pos", F.try_variant_get("issue", "$.key", "string").alias("issue_key"))
+
+
+@query
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw landing drained by a stream into the text contract (final state of the sink)."""
+    landing = _landed_raw(spark, sf)
+    ids = _id_map(spark, sf)
+    sink = fresh_path(spark, "stream-contract")
+
+    def to_contract(batch: DataFrame) -> DataFrame:
+        good, _ = nz.split_malformed(nz.parse_raw(batch, "value"))
+        return nz.normalize_api_bases(good, "base_origem", SPECS, ids, RUN)
+
+    st.drain(st.raw_issue_stream(spark, landing), sink, ("base_origem",), to_contract)
+    return spark.read.parquet(sink).select("issue_key", "base_origem", "summary", "status", "updated")
+
+
+@query
+def stream_dedup_volume(spark: SparkSession, sf: str) -> DataFrame:
+    """Events streamed from the table files, re-deliveries of (user, type, day) dropped within a
+    one-day watermark; then active users per day and type from the sink."""
+    schema = table(spark, sf, "events").schema
+    src = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    keyed = src.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")).withColumn("day", F.to_date("ts"))
+    sink = fresh_path(spark, "stream-events")
+    st.drain(st.dedup_events(keyed, ["user_id", "event_type", "day"]), sink)
+    return spark.read.parquet(sink).groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n_users"))

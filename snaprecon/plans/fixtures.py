@@ -399,3 +399,23 @@ def write_exports(spark: SparkSession, sf: str, root: str) -> dict[str, str]:
         t.where(F.col("base") == base).select(*[v.alias(h) for v, h in zip(values, headers)]).write.option("header", True).csv(path)
         paths[base] = path
     return paths
+
+
+PAGE_SIZE = 100
+
+
+def issue_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Search-result pages of 100 issues (by order key), each ending with a non-object item.
+
+    Every 50th page (page % 50 = 49) is malformed: it has no ``issues`` list.
+    A page holds at most 100 issues by construction, so collecting one is bounded.
+    """
+    issues = issue_json(spark, sf).select((F.col("o_orderkey") / PAGE_SIZE).cast("bigint").alias("page"), "o_orderkey", "json")
+    pages = issues.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "json"))).alias("items"))
+    body = F.concat(
+        F.lit('{"page":'), F.col("page").cast("string"),
+        F.lit(',"issues":['), F.array_join(F.transform("items", lambda x: x["json"]), ","), F.lit(',"end-of-page"]'),
+        F.lit(',"nextPageToken":"p'), (F.col("page") + 1).cast("string"), F.lit('"}'),
+    )
+    bad = F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"nextPageToken":"x"}'))
+    return pages.select(F.when(F.col("page") % 50 == 49, bad).otherwise(body).alias("value"))

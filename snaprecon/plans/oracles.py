@@ -654,3 +654,21 @@ SELECT {_CONTRACT_KEY} AS chave_ticket, base AS base_origem,
        CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS data_fechou_salesforce
 FROM ({TICKETS}) WHERE year(o_orderdate) < 2000
 """
+
+
+# ---------------------------------------------------------------- paged payloads, streaming
+
+ORACLES["paged_explode"] = f"""
+SELECT page_no, pos, issue_key FROM (
+  SELECT o_orderkey // 100 AS page_no,
+         row_number() OVER (PARTITION BY o_orderkey // 100 ORDER BY o_orderkey) - 1 AS pos,
+         'TCK-' || CAST(o_orderkey AS VARCHAR) AS issue_key
+  FROM ({TICKETS})
+) WHERE page_no % 50 <> 49
+"""
+
+ORACLES["stream_ingest"] = ORACLES["raw_scan"]
+
+ORACLES["stream_dedup_volume"] = """
+SELECT CAST(ts AS DATE) AS day, event_type, count(DISTINCT user_id) AS n_users FROM events GROUP BY ALL
+"""

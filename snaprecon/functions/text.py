@@ -38,6 +38,11 @@ def _latin_fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(src), "".join(dst), multi
 
 
+def _combining_chars() -> str:
+    """Every BMP code point with a non-zero combining class (deleted by ``translate``)."""
+    return "".join(chr(cp) for cp in range(0x300, 0x10000) if not 0xD800 <= cp <= 0xDFFF and unicodedata.combining(chr(cp)))
+
+
 def _combining_class_ranges() -> str:
     """Regex class body of every BMP code point with a non-zero combining class."""
     ranges, start, prev = [], None, None
@@ -59,6 +64,9 @@ def _combining_class_ranges() -> str:
 
 _FOLD_SRC, _FOLD_DST, _FOLD_MULTI = _latin_fold_tables()
 _COMBINING = "[" + _combining_class_ranges() + "]"
+# one translate pass: single-letter folds first, then combining marks with no replacement (deleted)
+_TRANSLATE_SRC = _FOLD_SRC + _combining_chars()
+_MULTI_CLASS = "[" + "".join(f"\\x{{{ord(ch):04X}}}" for ch, _ in _FOLD_MULTI) + "]"
 # Python's str.split() whitespace for code points up to U+024F
 _WS = r"[\s\x{1C}-\x{1F}\x{85}\x{A0}]+"
 _OUTSIDE_LATIN = r"[^\x{00}-\x{24F}]"
@@ -70,10 +78,12 @@ def _canonical_exact(values: pd.Series) -> pd.Series:
 
 
 def _canonical_latin(c: Column) -> Column:
-    folded = F.translate(c, _FOLD_SRC, _FOLD_DST)
+    # the few letters that expand to two characters (e.g. a ligature) are replaced only where present
+    expanded = c
     for ch, rep in _FOLD_MULTI:
-        folded = F.replace(folded, F.lit(ch), F.lit(rep))
-    folded = F.regexp_replace(folded, _COMBINING, "")
+        expanded = F.replace(expanded, F.lit(ch), F.lit(rep))
+    pre = F.when(c.rlike(_MULTI_CLASS), expanded).otherwise(c)
+    folded = F.translate(pre, _TRANSLATE_SRC, _FOLD_DST)
     return F.trim(F.regexp_replace(F.lower(folded), _WS, " "))
 
 

@@ -739,9 +739,9 @@ def schema_diff(spark: SparkSession, sf: str) -> DataFrame:
     """V6/M2: expected typed contract vs an existing table, one row per column with its action."""
     old, _ = _old_table(spark, sf)
     rows = qa.schema_diff(SPECS["encerradas"].typed_schema(), old.schema)
-    counts = old.agg(F.count(F.lit(1)).alias("existing_rows"))
+    existing_rows = old.count()
     diff = spark.createDataFrame(rows, "column_name string, expected_type string, existing_type string, action string")
-    return diff.crossJoin(F.broadcast(counts))
+    return diff.withColumn("existing_rows", F.lit(existing_rows).cast("bigint"))
 
 
 @query

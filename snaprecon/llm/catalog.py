@@ -5,10 +5,26 @@ Each query applies its operator with production settings to its whole table.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snaprecon.llm import decontaminate, exact_dedup, packing, simhash, toxicity
-from snaprecon.llm._common import read_table
+from snaprecon.llm import decontaminate, exact_dedup, lm_score, packing, quality, secret_scan, simhash, suffix_dedup, token_rollup, toxicity
+from snaprecon.llm._common import cut, read_table
+from snaprecon.session import fresh_path
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no URLs: its source is the host, the language a path of it."""
+    return quality.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(read_table(spark, sf_dir, "documents"), 400)
+
+
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(read_table(spark, sf_dir, "documents"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,11 +32,40 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), 1024)
 
 
+def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The life of all documents in four batches, one of them committed twice.
+
+    0 inserts every document under the first tokenizer with an estimate (a
+    token for four bytes), 1 revises all estimates to true counts, 2 moves
+    every document to the second tokenizer's version (delete and insert), 3
+    takes the documents labelled toxic down.
+    """
+    files = {"byte_bpe_50k": "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k": "byte_bpe_multi_50k.tiktoken"}
+    old, new = files
+    count = {v: token_rollup.token_counter(public_tokenizers.path(f)) for v, f in files.items()}
+    text = F.coalesce("text", F.lit(""))
+    docs = cut(read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.ceil(F.octet_length(text) / 4).alias("guess"), count[old](text).alias(old), count[new](text).alias(new)))
+    toxic = read_table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id").distinct()
+
+    def changes(op: str, version: str, tokens: str, before=None, rows: DataFrame = docs) -> DataFrame:
+        return rows.select(F.lit(op).alias("op"), "source", "lang", F.lit(version).alias("version"), F.col(tokens).alias("tokens"), (F.col(before) if before else F.lit(None)).cast("long").alias("before"))
+
+    ledger = token_rollup.Ledger(spark, fresh_path(spark, "token-ledger"))
+    ledger.commit(0, changes("insert", old, "guess"))
+    ledger.commit(1, changes("revise", old, old, "guess"))
+    ledger.commit(2, changes("delete", old, old).unionByName(changes("insert", new, new)))
+    ledger.commit(3, changes("delete", new, new, rows=docs.join(toxic, "doc_id", "left_semi")))
+    ledger.commit(1, changes("revise", old, old, "guess"))
+    return ledger.totals()
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -33,7 +78,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op5_packing, op8_decontaminate, op9_toxicity, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_suffix_dedup, op3_lm_score, op4_simhash, op5_packing, op6_token_rollup, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_exact_dedup)}
 
 ORACLES = {
     "op10_exact_dedup": """

@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -170,16 +171,17 @@ def exchange(
             yield solve(held)
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack = zstandard.ZstdCompressor(level=1).compress
         for block in _cut_blocks(frames, limit):
             n = len(block.ids)
-            yield pd.DataFrame({"block": block.number, "bucket": 1 << 30, "seq": np.arange(n), "doc_id": pd.array(block.ids, "Int64"), "text": block.texts, "extra": block.extra, "answers": None})
+            yield pd.DataFrame({"block": block.number, "bucket": 1 << 30, "seq": np.arange(n), "doc_id": pd.array(block.ids, "Int64"), "text": [pack(t) for t in block.texts], "extra": block.extra, "answers": None})
 
     def close(block: Block, answers: list[bytes]) -> pd.DataFrame:
         got = [unpack_numbers(a) for a in answers]
         return finish(block, np.concatenate(got).astype(np.int64) if got else np.zeros(0, np.int64))
 
     def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, answers = None, []
+        block, answers, unpack = None, [], zstandard.ZstdDecompressor().decompress
         for frame in frames:
             known = frame["doc_id"].notna().tolist()
             ids = frame["doc_id"].astype("Int64").fillna(0).tolist()
@@ -191,7 +193,7 @@ def exchange(
                 if got is not None:
                     answers.append(got)
                 else:
-                    block.add(doc_id if has else None, bytes(text), extra)
+                    block.add(doc_id if has else None, unpack(bytes(text)), extra)
         if block is not None:
             yield close(block, answers)
 

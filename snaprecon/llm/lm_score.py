@@ -27,6 +27,9 @@ from snaprecon.llm._merge import Block, check_answers, exchange
 
 ALPHA = 0.4
 UNSEEN = 0.5
+BLOCK = 3 << 20
+#: An n-gram is known by 56 bits of its hash: at 10**12 distinct n-grams one in 70,000 meets another.
+_KEPT = np.uint64(0xFFFFFFFFFFFFFF00)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _ROOT = mix(np.array([0x5B0F], np.uint64))[0]
@@ -51,7 +54,7 @@ def _grams(words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, list[np.ndar
             h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[inside + k])
         hashes.append(h + np.uint64(order))
         at.append(inside)
-    return hashes, at
+    return [h & _KEPT for h in hashes], at
 
 
 def _run(block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -103,4 +106,4 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     ignored; an empty table gives no rows. ``docs`` is read twice and must
     give its rows in the same order both times, as files do.
     """
-    return exchange(id_and_text(docs).withColumn("extra", F.lit(None).cast("binary")), _run, _answer, _finish, SCHEMA)
+    return exchange(id_and_text(docs).withColumn("extra", F.lit(None).cast("binary")), _run, _answer, _finish, SCHEMA, BLOCK)

@@ -70,15 +70,27 @@ def _cut_blocks(frames: Iterator[pd.DataFrame], limit: int) -> Iterator[Block]:
         yield block
 
 
+def _planes(values: np.ndarray, kind: str) -> bytes:
+    """Numbers as byte planes, compressed: planes of small numbers cost nearly nothing."""
+    wide = np.dtype(kind).newbyteorder("<")
+    return zstandard.ZstdCompressor(level=1).compress(values.astype(wide).view(np.uint8).reshape(values.size, wide.itemsize).T.tobytes())
+
+
+def _from_planes(raw: bytes, kind: str) -> np.ndarray:
+    wide = np.dtype(kind).newbyteorder("<")
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(raw)), np.uint8)
+    return np.ascontiguousarray(flat.reshape(wide.itemsize, -1).T).view(wide).ravel()
+
+
 def pack_symbols(symbols: np.ndarray) -> bytes:
-    """Columns of a sorted run: the first as differences, all as byte planes, which shuffle compression likes."""
+    """Columns of a sorted run, the first symbols as differences."""
     out = symbols.copy()
     out[0, 1:] = symbols[0, 1:] - symbols[0, :-1]
-    return out.astype("<u8").view(np.uint8).reshape(symbols.size, 8).T.tobytes()
+    return _planes(out.ravel(), "Q")
 
 
 def unpack_symbols(raw: bytes, size: int) -> np.ndarray:
-    flat = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1, size).astype(np.uint64)
+    flat = _from_planes(raw, "Q").reshape(-1, size).astype(np.uint64)
     flat[0] = np.cumsum(flat[0])
     return flat
 
@@ -86,11 +98,11 @@ def unpack_symbols(raw: bytes, size: int) -> np.ndarray:
 def pack_numbers(values: np.ndarray) -> bytes:
     """Unsigned integers in the fewest bytes that hold the largest."""
     kind = next(k for k, top in (("B", 1 << 8), ("H", 1 << 16), ("I", 1 << 32), ("Q", 1 << 64)) if not len(values) or int(values.max()) < top)
-    return kind.encode() + values.astype(np.dtype(kind).newbyteorder("<")).tobytes()
+    return kind.encode() + _planes(values, kind)
 
 
 def unpack_numbers(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.dtype(bytes(raw[:1]).decode()).newbyteorder("<"), offset=1)
+    return _from_planes(raw[1:], bytes(raw[:1]).decode())
 
 
 def sorted_run(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ of a shorter item) are hashed and joined. A matched run is kept when its slots
 are consistent: along one alignment every benchmark value of a slot type must
 meet always the same document value and the other way round, so a question
 asked again with other numbers is found and a chance template match is not.
+In an inconsistent run only the windows copied word for word count.
 
 A name is a capitalised word inside a sentence, which copies in another case
 lose; so each side is hashed twice, with and without the name slot.
@@ -165,21 +166,20 @@ def _scan(shared, width: int):
                     lo = np.searchsorted(keys, h[maybe], "left")
                     hi = np.searchsorted(keys, h[maybe], "right")
                     for p, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
-                        theirs = t["value"][p : p + w]
                         for k in range(a, b):
-                            if consistent(slots_of[k], values_of[k], theirs):
-                                hit = found.setdefault((int(t["text"][p]), item_of[k]), {"aligned": {}})
-                                hit["aligned"].setdefault((form, p - position_of[k]), []).append((p, k, w, slots_of[k], values_of[k]))
-                for (n, item), hit in found.items():
+                            aligned = found.setdefault((int(t["text"][p]), item_of[k]), {})
+                            aligned.setdefault((form, p - position_of[k]), []).append((p, w, slots_of[k], values_of[k]))
+                for (n, item), aligned in found.items():
                     good, changed, spans = set(), False, []
-                    for matches in hit["aligned"].values():
-                        slots = np.concatenate([m[3] for m in matches])
-                        ours = np.concatenate([m[4] for m in matches])
-                        theirs = np.concatenate([t["value"][m[0] : m[0] + m[2]] for m in matches])
-                        if consistent(slots, ours, theirs):
-                            good |= {m[0] for m in matches}
-                            changed |= bool(np.any(ours != theirs))
-                            spans += [(int(t["start"][m[0]]), int(t["end"][m[0] + m[2] - 1])) for m in matches]
+                    for matches in aligned.values():
+                        theirs = [t["value"][p : p + w] for p, w, _, _ in matches]
+                        if not consistent(np.concatenate([m[2] for m in matches]), np.concatenate([m[3] for m in matches]), np.concatenate(theirs)):
+                            # what is copied word for word counts all the same
+                            kept = [bool((m[3] == x).all()) for m, x in zip(matches, theirs, strict=True)]
+                            matches, theirs = [m for m, ok in zip(matches, kept, strict=True) if ok], [x for x, ok in zip(theirs, kept, strict=True) if ok]
+                        good |= {m[0] for m in matches}
+                        changed |= any(bool((m[3] != x).any()) for m, x in zip(matches, theirs, strict=True))
+                        spans += [(int(t["start"][m[0]]), int(t["end"][m[0] + m[1] - 1])) for m in matches]
                     if good:
                         rows.append((own[n], item, len(good), min(s for s, _ in spans), max(e for _, e in spans), changed))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_windows", "first_start", "last_end", "reparameterised"])

@@ -1,0 +1,10 @@
+"""Ticket snapshot analytics on Spark.
+
+Task functions of this package travel by value, so executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

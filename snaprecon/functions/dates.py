@@ -5,10 +5,10 @@ The same text is read three ways (they differ near midnight for offsets):
 * ``parse_timestamp`` (X5): the instant, offset honoured, bad -> null.
 * ``local_date`` (X6): the calendar date as written, in the value's own offset.
 * ``utc_date`` (X7): the UTC date of the instant.
-* ``comparison_date`` (X8): Excel serials 30000..70000, else ``local_date``.
+* ``comparison_date`` (X8): Excel serials 30000..70000, else ``local_date``, else a bare year.
 
 ANSI mode is on, so everything uses ``try_`` forms. ``try_cast`` alone reads
-``12345`` as year 12345, hence the ``^\\d{4}-`` guard on the ISO branch.
+``12345`` as year 12345, hence the ``_ISO`` guard on the ISO branch.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ISO_PREFIX = r"^\s*\d{4}-\d{1,2}"
+_ISO = r"^\d{4}-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?\s*([zZ]|UTC|[+-]\d{1,2}(:?\d{2})?)?)?)?$"
 _EXCEL_EPOCH = "1899-12-30"
 
 
@@ -24,31 +24,29 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def parse_timestamp(c: Column | str) -> Column:
-    """Text -> TIMESTAMP (instant); offsets like +0000 and -03:00 accepted."""
-    c = F.trim(_c(c).cast("string"))
-    iso = F.when(c.rlike(_ISO_PREFIX), c.try_cast("timestamp"))
+def _instant(c: Column) -> Column:
+    """The forms without an offset, as a timestamp of the session's zone; month first, then day first."""
+    any_of = lambda *forms: F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in forms])
     return F.coalesce(
-        iso,
-        F.when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}"), F.coalesce(
-            F.try_to_timestamp(c, F.lit("M/d/yyyy[ H:mm[:ss]]")),
-            F.try_to_timestamp(c, F.lit("d/M/yyyy[ H:mm[:ss]]")),
-        )),
-        F.when(c.rlike(r"^\d{8}$"), F.try_to_timestamp(c, F.lit("yyyyMMdd"))),
+        F.when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}"), any_of("M/d/yyyy[ H:mm[:ss]]", "M/d/yyyy h:mm[:ss] a", "d/M/yyyy[ H:mm[:ss]]", "d/M/yyyy h:mm[:ss] a")),
+        F.when(c.rlike(r"^\d{1,2}-\d{1,2}-\d{4}"), any_of("M-d-yyyy[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]")),
+        F.when(c.rlike(r"^\d{4}/\d{1,2}/\d{1,2}"), any_of("yyyy/M/d[ H:mm[:ss]]")),
+        F.when(c.rlike(r"^\d{1,2}/[A-Za-z]{3}/\d{2}( |$)"), any_of("d/MMM/yy[ H:mm]", "d/MMM/yy h:mm a")),
+        F.when(c.rlike(r"^\d{1,2}/[A-Za-z]{3}/\d{4}"), any_of("d/MMM/yyyy[ H:mm]", "d/MMM/yyyy h:mm a")),
+        F.when(c.rlike(r"^\d{8}$"), any_of("yyyyMMdd")),
     )
 
 
+def parse_timestamp(c: Column | str) -> Column:
+    """Text -> TIMESTAMP (instant); offsets like +0000 and -03:00 accepted; the whole text must be a date."""
+    c = F.trim(_c(c).cast("string"))
+    return F.coalesce(F.when(c.rlike(_ISO), c.try_cast("timestamp")), _instant(c))
+
+
 def local_date(c: Column | str) -> Column:
-    """The date as written (own offset kept), not via the UTC instant."""
+    """The date as written (own offset kept), not via the UTC instant; null where the instant is."""
     c = F.trim(_c(c).cast("string"))
-    return F.coalesce(
-        F.when(c.rlike(_ISO_PREFIX), c.try_cast("date")),
-        F.when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}"), F.to_date(F.coalesce(
-            F.try_to_timestamp(F.substring_index(c, " ", 1), F.lit("M/d/yyyy")),
-            F.try_to_timestamp(F.substring_index(c, " ", 1), F.lit("d/M/yyyy")),
-        ))),
-        F.when(c.rlike(r"^\d{8}$"), F.to_date(F.try_to_timestamp(c, F.lit("yyyyMMdd")))),
-    )
+    return F.coalesce(F.when(c.rlike(_ISO) & c.try_cast("timestamp").isNotNull(), c.try_cast("date")), F.to_date(_instant(c)))
 
 
 def utc_date(c: Column | str) -> Column:
@@ -61,7 +59,8 @@ def comparison_date(c: Column | str) -> Column:
     c = F.trim(_c(c).cast("string"))
     serial = F.when(c.rlike(r"^-?\d+(\.\d+)?$"), c.try_cast("double"))
     from_serial = F.when(serial.between(30000, 70000), F.date_add(F.lit(_EXCEL_EPOCH).cast("date"), F.floor(serial).cast("int")))
-    return F.coalesce(from_serial, F.when(serial.isNull(), local_date(c)))
+    year = F.when(c.rlike(r"^\d{4}$"), F.to_date(F.try_to_timestamp(c, F.lit("yyyy"))))
+    return F.coalesce(from_serial, local_date(c), year)
 
 
 def month_token(d: Column | str) -> Column:

@@ -20,12 +20,12 @@ from pyspark.sql import types as T
 
 from snaprecon.plans.spec import canonical as _canonical_py
 
-_LATIN_END = 0x024F
+_NATIVE_END = 0x024F
 
 
 def _latin_fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
     src, dst, multi = [], [], []
-    for cp in range(0x80, _LATIN_END + 1):
+    for cp in range(0x80, _NATIVE_END + 1):
         ch = chr(cp)
         folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
         if folded == ch:
@@ -43,27 +43,7 @@ def _combining_chars() -> str:
     return "".join(chr(cp) for cp in range(0x300, 0x10000) if not 0xD800 <= cp <= 0xDFFF and unicodedata.combining(chr(cp)))
 
 
-def _combining_class_ranges() -> str:
-    """Regex class body of every BMP code point with a non-zero combining class."""
-    ranges, start, prev = [], None, None
-    for cp in range(0x300, 0x10000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        if unicodedata.combining(chr(cp)):
-            if start is None:
-                start = prev = cp
-            elif cp == prev + 1:
-                prev = cp
-            else:
-                ranges.append((start, prev))
-                start = prev = cp
-    if start is not None:
-        ranges.append((start, prev))
-    return "".join(f"\\x{{{a:04X}}}" if a == b else f"\\x{{{a:04X}}}-\\x{{{b:04X}}}" for a, b in ranges)
-
-
 _FOLD_SRC, _FOLD_DST, _FOLD_MULTI = _latin_fold_tables()
-_COMBINING = "[" + _combining_class_ranges() + "]"
 # one translate pass: single-letter folds first, then combining marks with no replacement (deleted)
 _TRANSLATE_SRC = _FOLD_SRC + _combining_chars()
 _MULTI_CLASS = "[" + "".join(f"\\x{{{ord(ch):04X}}}" for ch, _ in _FOLD_MULTI) + "]"

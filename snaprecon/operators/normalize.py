@@ -105,12 +105,9 @@ def missing_fields(required: DataFrame, resolved: DataFrame) -> DataFrame:
     )
 
 
-def field_id_map(resolved: DataFrame, limit: int = 4096) -> dict[str, str]:
-    """Resolved ids as a driver dict to compile the select list (bounded by the spec, checked)."""
-    rows = resolved.where(F.col("field_id").isNotNull()).select("display_name", "field_id").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("field resolution is larger than any spec; refusing to bring it to the driver")
-    return {r.display_name: r.field_id for r in rows}
+def field_id_map(resolved: DataFrame) -> dict[str, str]:
+    """Resolved ids as a driver dict to compile the select list: at most one per display name of the spec."""
+    return {r.display_name: r.field_id for r in resolved.where(F.col("field_id").isNotNull()).select("display_name", "field_id").collect()}
 
 
 def requested_fields(spark: SparkSession, resolved: DataFrame, core: tuple[str, ...]) -> DataFrame:
@@ -127,55 +124,6 @@ def requested_fields(spark: SparkSession, resolved: DataFrame, core: tuple[str,
 
 # ------------------------------------------------------------------ projection
 
-def _value_exprs(spec: BaseSpec, ids: dict[str, str]) -> tuple[dict[str, Column], list[Column]]:
-    """VARIANT sub-values to pass through P3, and columns that need no P3."""
-    v = F.col("v")
-    f = vx.path(v, "$.fields")
-    date_id = ids.get(spec.date_field)
-    picks = {
-        "summary": vx.field(f, "summary"),
-        "created": vx.field(f, "created"),
-        "updated": vx.field(f, "updated"),
-        "espaco": vx.field(f, "project"),
-        "tipo_ticket": vx.field(f, "issuetype"),
-    }
-    if date_id:
-        picks["data_referencia"] = vx.field(f, date_id)
-    seen = set()
-    for cf in spec.custom_fields:
-        if cf.column in seen:
-            continue
-        seen.add(cf.column)
-        fid = ids.get(cf.display_name)
-        if fid:
-            picks[cf.column] = vx.field(f, fid)
-    direct = [
-        F.try_variant_get(v, "$.key", "string").alias("issue_key"),
-        vx.status_name(vx.field(f, "status")).alias("status"),
-    ]
-    return picks, direct
-
-
-def normalize_api(records: DataFrame, spec: BaseSpec, ids: dict[str, str], run: Run, keep: tuple[str, ...] = (),
-                  source_mode: str = SOURCE_API) -> DataFrame:
-    """P1 + P2 + P3/P4 + P9: text contract of one base from parsed, well-formed records.
-
-    Unresolved custom ids give null columns; run literals are fixed per run.
-    """
-    picks, direct = _value_exprs(spec, ids)
-    staged = vx.pick_scalars(records.select(*keep, "v", *direct), picks, keep=[*keep, "issue_key", "status"])
-    literals = {
-        "base_origem": F.lit(spec.base),
-        "extracted_at": F.lit(run.extracted_at),
-        "source_mode": F.lit(source_mode),
-    }
-    cols = [
-        (F.col(c) if c in staged.columns else literals.get(c, F.lit(None).cast("string"))).alias(c)
-        for c in spec.text_columns
-    ]
-    return staged.select(*keep, *cols)
-
-
 def normalize_api_bases(records: DataFrame, base_col: str, specs: dict[str, BaseSpec], ids: dict[str, str], run: Run,
                         keep: tuple[str, ...] = (), source_mode: str = SOURCE_API) -> DataFrame:
     """All bases in one pass: one parse, one P3 stage, columns nulled where a base lacks them.
@@ -230,27 +178,23 @@ def normalize_api_bases(records: DataFrame, base_col: str, specs: dict[str, Base
 
 # ------------------------------------------------------------------ fallback CSV
 
-def pick_header(columns: list[str], *candidates: str) -> str | None:
-    """P5: the first candidate header that exists (accent/case-insensitive); later duplicates win."""
-    by_canon = {}
-    for c in columns:
-        by_canon[canonical(c)] = c
-    for cand in candidates:
-        hit = by_canon.get(canonical(cand))
-        if hit is not None:
-            return hit
-    return None
+def header_for(columns: list[str], wanted: tuple[str, ...]) -> str | None:
+    """P5: of the export's columns that a wanted header names, the one named earliest (the last such column of equals)."""
+    rank = {canonical(name): k for k, name in reversed(list(enumerate(wanted)))}
+    named = [(rank[key], -at, column) for at, column in enumerate(columns) if (key := canonical(column)) in rank]
+    return min(named)[2] if named else None
 
 
-NULL_TOKENS = ("", "NA", "N/A", "null", "None", "NaN", "nan", "#N/A", "n/a", "NULL", "<NA>")
+#: Cells that count as missing, compared as written (no trimming).
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def _cell(df_cols: list[str], *candidates: str) -> Column:
-    hit = pick_header(df_cols, *candidates)
+def _cell(df_cols: list[str], *wanted: str) -> Column:
+    hit = header_for(df_cols, wanted)
     if hit is None:
         return F.lit(None).cast("string")
-    c = F.col(f"`{hit}`").cast("string")
-    return F.when(~F.trim(c).isin(*NULL_TOKENS), c)
+    c = F.col("`" + hit.replace("`", "``") + "`").cast("string")
+    return F.when(~c.isin(*NULL_TOKENS), c)
 
 
 def normalize_fallback(export: DataFrame, spec: BaseSpec, run: Run, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -288,11 +232,11 @@ def align(df: DataFrame, spec: BaseSpec, keep: tuple[str, ...] = ()) -> DataFram
 def prefer_primary(primary: DataFrame, fallback: DataFrame, run_status: DataFrame) -> DataFrame:
     """J2 + U5: per base, the fallback rows replace the primary ones only when the primary run failed.
 
-    ``run_status`` has (base_origem, primary_ok boolean); it is one row per
-    base and base run, so it is the broadcast side.
+    A base without a status row, or with a null one, keeps its primary rows.
+    ``run_status`` (base_origem, primary_ok) has one row per base, so it is the
+    broadcast side.
     """
-    ok = F.broadcast(run_status.where(F.col("primary_ok")).select("base_origem"))
     failed = F.broadcast(run_status.where(~F.col("primary_ok")).select("base_origem"))
-    return primary.join(ok, "base_origem", "left_semi").unionByName(
+    return primary.join(failed, "base_origem", "left_anti").unionByName(
         fallback.join(failed, "base_origem", "left_semi"), allowMissingColumns=True
     )

@@ -91,7 +91,7 @@ def schema_diff(expected: T.StructType, existing: T.StructType) -> list[tuple[st
 
 
 def evolve(existing: DataFrame, expected: T.StructType) -> DataFrame:
-    """M1 + M3: add missing columns as null, convert text to date (bad -> null), keep order of ``expected``."""
+    """M1 + M3: add missing columns as null, convert text to date or timestamp and retype (bad -> null), keep order of ``expected``."""
     have = {f.name: f.dataType for f in existing.schema.fields}
     cols = []
     for f in expected.fields:
@@ -99,6 +99,8 @@ def evolve(existing: DataFrame, expected: T.StructType) -> DataFrame:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         elif isinstance(f.dataType, T.DateType) and isinstance(have[f.name], T.StringType):
             cols.append(dt.local_date(F.col(f.name)).alias(f.name))
+        elif isinstance(f.dataType, T.TimestampType) and isinstance(have[f.name], T.StringType):
+            cols.append(dt.parse_timestamp(F.col(f.name)).alias(f.name))
         else:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
     return existing.select(*cols)

@@ -62,12 +62,18 @@ def zero_volume(events: DataFrame, trailing: int = 7) -> DataFrame:
 
 
 def repeated_errors(events: DataFrame, kind: str = "auth") -> DataFrame:
-    """A run whose error is ``kind`` right after a run with the same error, per base."""
-    w = Window.partitionBy("base").orderBy("ts", "event_id")
-    prev = F.lag("error_kind").over(w)
-    return events.select("base", "event_id", "ts", "error_kind", prev.alias("prev_kind")).where(
-        (F.col("error_kind") == kind) & (F.col("prev_kind") == kind)
-    ).drop("prev_kind")
+    """A run whose error is ``kind`` right after a run with the same error, per base.
+
+    Runs are compared within a base's day; the first of a day is compared with
+    the last of the base's day before, of which there is one row per day.
+    """
+    marked = events.withColumn("__day", F.to_date("ts"))
+    w = Window.partitionBy("base", "__day").orderBy("ts", "event_id")
+    ranked = marked.select("base", "event_id", "ts", "error_kind", "__day", F.row_number().over(w).alias("__n"), F.lag("error_kind").over(w).alias("__prev"))
+    days = marked.groupBy("base", "__day").agg(F.max_by("error_kind", F.struct("ts", "event_id")).alias("__end"))
+    before = days.select("base", "__day", F.lag("__end").over(Window.partitionBy("base").orderBy("__day")).alias("__before"))
+    same = ranked.where(F.col("error_kind") == kind).join(before, ["base", "__day"])
+    return same.where(F.when(F.col("__n") == 1, F.col("__before")).otherwise(F.col("__prev")) == kind).select("base", "event_id", "ts", "error_kind")
 
 
 def filter_text(filter_id: Column, date_name: Column, lo: Column, hi: Column) -> Column:

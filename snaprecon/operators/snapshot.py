@@ -99,15 +99,23 @@ def run_windows(run_dates: DataFrame, date_col: str = "run_date") -> DataFrame:
     return run_dates.select(F.col(date_col).alias("run_date"), lo.alias("window_from"), hi.alias("window_to"))
 
 
-def rolling_membership(items: DataFrame, date_col: str, windows: DataFrame, broadcast_limit: int = 2_000_000) -> DataFrame:
-    """Items x runs where window_from <= item date <= window_to.
+def rolling_counts(items: DataFrame, date_col: str, windows: DataFrame) -> DataFrame:
+    """Items per run window (window_from <= date <= window_to).
+
+    Items are counted per day first; a window's days, 31 at most, are joined to
+    those few rows by equality and summed. Windows without items have no row.
+    """
+    daily = items.groupBy(F.col(date_col).alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
+    days = windows.select("run_date", "window_from", "window_to", F.explode(F.sequence("window_from", "window_to")).alias("__day"))
+    return days.join(daily, "__day").groupBy("run_date", "window_from", "window_to").agg(F.sum("__n").alias("n_tickets"))
+
+
+def rolling_membership(items: DataFrame, date_col: str, windows: DataFrame) -> DataFrame:
+    """J5 row by row: items x runs where window_from <= item date <= window_to (counts: ``rolling_counts``).
 
     A plain range join plans as a nested loop. Each window spans at most 31
-    days, so windows are exploded to (run_date, day) and joined on equality.
-    The exploded side is broadcast only when its row count is checked to be
-    under ``broadcast_limit``; otherwise both sides are shuffled on the day.
+    days, so windows become one row per day and join on equality; the plan
+    chooses the join's strategy.
     """
     days = windows.select("run_date", "window_from", "window_to", F.explode(F.sequence("window_from", "window_to")).alias("__day"))
-    n = days.count()
-    side = F.broadcast(days) if n <= broadcast_limit else days
-    return items.join(side, items[date_col] == side["__day"], "inner").drop("__day")
+    return items.join(days, items[date_col] == days["__day"], "inner").drop("__day")

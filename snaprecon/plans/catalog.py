@@ -566,8 +566,7 @@ def rolling_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Tickets per run date inside the run's default window (trailing month ending D-1)."""
     t = fx.tickets(spark, sf).select(F.to_date("o_orderdate").alias("ref_date"))
     runs = t.select(F.col("ref_date").alias("run_date")).distinct()
-    member = sn.rolling_membership(t, "ref_date", sn.run_windows(runs))
-    return member.groupBy("run_date", "window_from", "window_to").agg(F.count(F.lit(1)).alias("n_tickets"))
+    return sn.rolling_counts(t, "ref_date", sn.run_windows(runs))
 
 
 @query
@@ -608,7 +607,7 @@ def _fallback_contract(spark: SparkSession, sf: str) -> DataFrame:
     paths = fx.write_exports(spark, sf, fresh_path(spark, "export"))
     out = None
     for base, path in paths.items():
-        export = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        export = spark.read.options(**sk.CSV).csv(path)
         part = nz.normalize_fallback(export, SPECS[base], RUN)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
@@ -667,7 +666,7 @@ def snapshot_scan(spark: SparkSession, sf: str) -> DataFrame:
     path, _ = _written_snapshot(spark, sf)
     schema = SPECS["encerradas"].text_schema()
     cols = ", ".join(f"`{f.name}` string" for f in schema.fields if f.name in _SNAP_COLS and f.name != "base_origem")
-    df = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    df = (spark.read.options(**sk.CSV)
           .schema(cols + ", base_origem string, periodo_inicio date, periodo_fim date").csv(f"{path}/csv"))
     return df.select("issue_key", "summary", "status", "updated", "base_origem", "periodo_inicio", "periodo_fim")
 
@@ -803,5 +802,5 @@ def stream_dedup_volume(spark: SparkSession, sf: str) -> DataFrame:
     src = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     keyed = src.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")).withColumn("day", F.to_date("ts"))
     sink = fresh_path(spark, "stream-events")
-    st.drain(st.dedup_events(keyed, ["user_id", "event_type", "day"]), sink)
+    st.drain(st.dedup_events(keyed, ["user_id", "event_type", "day"], "1 day"), sink)
     return spark.read.parquet(sink).groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n_users"))

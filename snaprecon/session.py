@@ -8,6 +8,7 @@ when that setting is absent (local tests) do we pick our own folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -20,11 +21,11 @@ def build_session(master: str | None = None, app: str = "snaprecon", shuffle_par
     """Session with the settings every job here assumes (UTC, AQE, no UI)."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
-    parts = shuffle_partitions or int(cpus)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -48,8 +49,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    Read from the session (``spark.checkpoint.dir``); set our own only when
-    it is unset, which happens in local tests.
+    Read from the session (``spark.checkpoint.dir``); our own temporary folder
+    serves only where it is unset in local mode. On a cluster that is an error.
     """
     global _OWN_ROOT
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -63,6 +64,8 @@ def shared_root(spark: SparkSession) -> str:
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return spark.sparkContext.getCheckpointDir() or conf_dir
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _OWN_ROOT is None:
         _OWN_ROOT = tempfile.mkdtemp(prefix="snaprecon-")
     spark.sparkContext.setCheckpointDir(_OWN_ROOT)
@@ -70,27 +73,11 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    """A new, unused path below the shared folder (never a node-local /tmp on a cluster)."""
+    """A new, unused path below the shared folder (see :func:`shared_root`)."""
     root = shared_root(spark).rstrip("/")
     return f"{root}/out/{tag}-{uuid.uuid4().hex[:12]}"
 
 
-# tables whose rows carry per-row work (parsing, text folding); dimension tables are left alone
-_WIDE_WORK = {"orders", "lineitem", "documents", "conversations", "events", "pages"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str):
-    """Scan one driver table.
-
-    When a scan yields fewer input partitions than the cluster has task slots
-    (a single unsplittable file, as in the local fixtures) the rows are
-    spread round-robin so per-row work runs in parallel. On a real dataset
-    with many files the scan already has enough partitions and this is a
-    no-op: the check is made on the plan, not the data.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in _WIDE_WORK:
-        slots = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < max(2, slots // 2):
-            df = df.repartition(slots)
-    return df
+    """Scan one driver table; how it is split is a matter of ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

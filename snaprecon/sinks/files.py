@@ -7,14 +7,15 @@ below the shared folder of the session (``session.fresh_path``).
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snaprecon.functions.dates import month_token  # noqa: F401  (re-exported for callers)
 
 
+#: One set of options for every CSV read and write: quoted line breaks, doubled quotes and blanks survive.
+CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "inferSchema": False}
+
 # ISO-8601 with microseconds and offset, as audit lines carry it
 AUDIT_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -39,7 +40,6 @@ def write_raw(issues: DataFrame, path: str, text_col: str = "json", partition_co
     """
     (
         issues.select(*partition_cols, F.col(text_col).alias("value"))
-        .repartition(*partition_cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
@@ -59,31 +59,26 @@ def write_snapshot(
     partition_cols: tuple[str, ...] = ("base_origem", "periodo_inicio", "periodo_fim"),
     mode: str = "dynamic",
 ) -> dict:
-    """K2 + K3: snapshot in the requested formats plus a manifest, counted in the same pass.
+    """K2 + K3: snapshot in the requested formats, counted on the way.
 
-    The record count comes from an ``Observation`` attached to the first
-    write, so no second scan is needed. Unknown formats are ignored. An empty
-    input still writes the schema (header-only CSV / empty Parquet).
-    ``mode='static'`` replaces every partition below ``path`` (K7).
+    Parquet is written first and the CSV side is made from it, so the plan of
+    ``df`` runs once; the count is an ``Observation`` on that write. Unknown
+    formats are ignored. An empty input leaves one readable empty file with all
+    columns. ``mode='static'`` replaces every partition below ``path`` (K7).
     """
     obs = Observation("snapshot")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("record_count"))
-    written = []
-    first = True
-    for fmt in formats:
-        if fmt not in ("csv", "parquet"):
-            continue
-        src = observed if first else df
-        w = src.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_cols)
-        if fmt == "csv":
-            # keep surrounding blanks as written (the defaults trim them, turning "  " into null on read)
-            w.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/csv")
-        else:
-            w.parquet(f"{path}/parquet")
+    source, count, written = df.observe(obs, F.count(F.lit(1)).alias("record_count")), None, []
+    for fmt in sorted({"csv", "parquet"} & set(formats), reverse=True):
+        options = CSV if fmt == "csv" else {}
+        target = f"{path}/{fmt}"
+        source.write.mode("overwrite").format(fmt).options(**options).option("partitionOverwriteMode", mode).partitionBy(*partition_cols).save(target)
+        count = int(obs.get["record_count"]) if count is None else count
+        if not count:
+            df.limit(0).coalesce(1).write.mode("overwrite").format(fmt).options(**options).save(target)
+        elif fmt == "parquet":
+            source = df.sparkSession.read.schema(df.schema).parquet(target)
         written.append(fmt)
-        first = False
-    count = obs.get["record_count"] if written else df.count()
-    return {"record_count": int(count), "formats": list(formats), "written": written}
+    return {"record_count": df.count() if count is None else count, "formats": list(formats), "written": sorted(written)}
 
 
 def manifest_rows(snapshot: DataFrame, formats: tuple[str, ...], generated_at: str) -> DataFrame:
@@ -113,10 +108,6 @@ def append_audit(events: DataFrame, path: str, recorded_at: Column | None = None
     )
 
 
-def manifest_json(row: dict) -> str:
-    return json.dumps(row, ensure_ascii=False, indent=2, default=str)
-
-
 def overwrite_base(df: DataFrame, table_path: str, base: str,
                    partition_cols: tuple[str, ...] = ("periodo_inicio", "periodo_fim")) -> None:
     """K7: replace the whole subtree of one base (older windows removed), leaving other bases untouched.

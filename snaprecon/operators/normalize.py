@@ -43,8 +43,12 @@ class Run:
 # ------------------------------------------------------------------ parsing
 
 def parse_raw(df: DataFrame, text_col: str = "value") -> DataFrame:
-    """JSON text -> VARIANT column ``v`` (bad JSON -> null ``v``)."""
-    return df.withColumn("v", F.try_parse_json(F.col(text_col)))
+    """JSON text -> VARIANT column ``v`` (bad JSON -> null ``v``).
+
+    The value comes out of a generator of one element: no filter is pushed
+    below it, so the text is parsed once however often ``v`` is used.
+    """
+    return df.select("*", F.explode(F.array(F.try_parse_json(F.col(text_col)))).alias("v"))
 
 
 def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -125,9 +129,12 @@ def requested_fields(spark: SparkSession, resolved: DataFrame, core: tuple[str,
 # ------------------------------------------------------------------ projection
 
 def normalize_api_bases(records: DataFrame, base_col: str, specs: dict[str, BaseSpec], ids: dict[str, str], run: Run,
-                        keep: tuple[str, ...] = (), source_mode: str = SOURCE_API) -> DataFrame:
+                        keep: tuple[str, ...] = (), source_mode: str = SOURCE_API, custom: bool = True) -> DataFrame:
     """All bases in one pass: one parse, one P3 stage, columns nulled where a base lacks them.
 
+    All values of a record travel in one array, which column pruning does not
+    reach into: ``custom=False`` leaves the custom columns out and unrendered.
+
     Output columns: core contract + the union of the bases' custom columns
     (in first-seen order). Cheaper than one filtered pass per base.
     """
@@ -148,7 +155,7 @@ def normalize_api_bases(records: DataFrame, base_col: str, specs: dict[str, Base
             key = f"__ref_{date_id}"
             picks.setdefault(key, vx.field(f, date_id))
             ref_by_base[b] = key
-        for cf in spec.custom_fields:
+        for cf in spec.custom_fields if custom else ():
             fid = ids.get(cf.display_name)
             owners.setdefault(cf.column, [])
             if b not in owners[cf.column]:
@@ -169,11 +176,11 @@ def normalize_api_bases(records: DataFrame, base_col: str, specs: dict[str, Base
         b.alias("base_origem"), ref.alias("data_referencia"), F.col("espaco"), F.col("tipo_ticket"),
         F.lit(run.extracted_at).alias("extracted_at"), F.lit(source_mode).alias("source_mode"),
     ]
-    custom = [
+    extra = [
         (F.when(b.isin(*bases), F.col(c)) if c in staged.columns else F.lit(None).cast("string")).alias(c)
         for c, bases in owners.items()
     ]
-    return staged.select(*keep, *core, *custom)
+    return staged.select(*keep, *core, *extra)
 
 
 # ------------------------------------------------------------------ fallback CSV

@@ -59,6 +59,13 @@ def verify_load(expected: int, staged: DataFrame) -> tuple[int, bool]:
     return loaded, loaded == expected
 
 
+def verify_groups(built: DataFrame, staged: DataFrame, key: str) -> DataFrame:
+    """V5/A4 per key: rows built, rows loaded and whether they agree, also for keys on one side only."""
+    sides = built.select(key, F.lit(1).alias("b"), F.lit(0).alias("l")).unionByName(staged.select(key, F.lit(0).alias("b"), F.lit(1).alias("l")))
+    counts = sides.groupBy(key).agg(F.sum("b").alias("expected"), F.sum("l").alias("loaded"))
+    return counts.withColumn("ok", F.col("expected") == F.col("loaded"))
+
+
 # ------------------------------------------------------------------ schema evolution
 
 def _type_name(t: T.DataType) -> str:

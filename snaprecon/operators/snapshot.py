@@ -80,6 +80,27 @@ def window_filter(df: DataFrame, date_col: str, lo: str, hi: str) -> DataFrame:
     return df.where(F.col(date_col).between(F.lit(lo).cast(df.schema[date_col].dataType), F.lit(hi).cast(df.schema[date_col].dataType)))
 
 
+def drop_blank_rows(df: DataFrame, cells: list[str]) -> DataFrame:
+    """rows go in which every one of ``cells`` is null or white space."""
+    return df.where(F.exists(F.array(*[F.col(c).cast("string") for c in cells]), lambda c: F.coalesce(F.trim(c) != "", F.lit(False))))
+
+
+def latest_window(snapshots: DataFrame, base_col: str, end_col: str, run_date: str | None = None) -> DataFrame:
+    """Per base, the rows of the window that ends last (not after ``run_date``, when given).
+
+    The ends come from the partition values, one row per base; as literals they
+    prune the second scan. Without any such window this raises LookupError.
+    """
+    windows = snapshots if run_date is None else snapshots.where(F.col(end_col) <= F.lit(run_date).cast("date"))
+    chosen = windows.groupBy(base_col).agg(F.max(end_col).alias("end")).collect()
+    if not chosen:
+        raise LookupError("no snapshot" + (f" up to {run_date}" if run_date else ""))
+    kept = F.lit(False)
+    for row in chosen:
+        kept = kept | (F.col(base_col).eqNullSafe(F.lit(row[base_col])) & (F.col(end_col) == F.lit(row["end"])))
+    return snapshots.where(kept)
+
+
 def rules_filter(df: DataFrame, rules: DataFrame, base_col: str, status_col: str) -> DataFrame:
     """Keep rows whose canonical status is allowed for their base.
 

@@ -7,6 +7,7 @@ them). The matching DuckDB statements live in ``plans/oracles.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -210,10 +211,9 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
     return good
 
 
-def _normalized(spark: SparkSession, sf: str, ids: dict[str, str] | None = None) -> DataFrame:
+def _normalized(spark: SparkSession, sf: str, custom: bool = True) -> DataFrame:
     """Text contract of all three bases (wide: union of their custom columns)."""
-    ids = _id_map(spark, sf) if ids is None else ids
-    return nz.normalize_api_bases(_records(spark, sf), "base", SPECS, ids, RUN)
+    return nz.normalize_api_bases(_records(spark, sf), "base", SPECS, _id_map(spark, sf), RUN, custom=custom)
 
 
 @query
@@ -243,7 +243,7 @@ def required_fields(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def normalize_core(spark: SparkSession, sf: str) -> DataFrame:
     """The 11 core contract columns of every well-formed issue."""
-    return _normalized(spark, sf).select(*CORE_COLUMNS)
+    return _normalized(spark, sf, custom=False).select(*CORE_COLUMNS)
 
 
 @query
@@ -417,9 +417,8 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
 def _stage_verify_swap(spark: SparkSession, df: DataFrame, table_root: str) -> tuple[str, int, int]:
     """K4 + V5: write to a fresh staging directory, verify its row count, then point the table at it.
 
-    The pointer is a one-line file naming the current version; readers
-    resolve it, so the swap is atomic (a single small file replace) and an
-    empty input still replaces the table (full refresh wipes).
+    Every refresh adds a pointer (version, path); readers take the highest
+    version, so none is ever missing. An empty input still replaces the table.
     """
     obs_df = df
     version = fresh_path(spark, "stage").rsplit("/", 1)[1]
@@ -432,13 +431,28 @@ def _stage_verify_swap(spark: SparkSession, df: DataFrame, table_root: str) -> t
     loaded, ok = qa.verify_load(expected, spark.read.parquet(stage))
     if not ok:
         raise RuntimeError(f"load verification failed: expected {expected}, found {loaded}")
-    spark.createDataFrame([(stage,)], "path string").coalesce(1).write.mode("overwrite").text(f"{table_root}/_current")
+    spark.createDataFrame([(_pointer(spark, table_root)[0] + 1, stage)], POINTER).coalesce(1).write.mode("append").json(f"{table_root}/pointers")
     return stage, expected, loaded
 
 
+POINTER = "version bigint, path string"
+
+
+def _pointer(spark: SparkSession, table_root: str) -> tuple[int, str | None]:
+    """The highest committed (version, path) of a table; (0, None) before its first refresh."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        last = spark.read.schema(POINTER).json(f"{table_root}/pointers").agg(F.max(F.struct("version", "path")).alias("p")).first()["p"]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    return (last["version"], last["path"]) if last else (0, None)
+
+
 def _read_current(spark: SparkSession, table_root: str) -> DataFrame:
-    path = spark.read.text(f"{table_root}/_current").first()[0]
-    return spark.read.parquet(path)
+    return spark.read.parquet(_pointer(spark, table_root)[1])
 
 
 @query
@@ -455,15 +469,14 @@ def table_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def load_verification(spark: SparkSession, sf: str) -> DataFrame:
-    """A4/V5: built rows (observed while writing) vs rows found in the staged output, per load."""
+    """A4/V5: per base, rows built vs rows found in the staged output: one staged write of all bases, one keyed comparison."""
     rows = fx.contract_rows(spark, sf)
-    root = fresh_path(spark, "table")
-    out = []
-    for base in BASE_ORDER:
-        typed = sn.typed_projection(rows.where(F.col("base_origem") == base), SPECS[base], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS)
-        _, expected, loaded = _stage_verify_swap(spark, typed, f"{root}/{base}")
-        out.append((base, expected, loaded, expected == loaded))
-    return spark.createDataFrame(out, "base string, expected bigint, loaded bigint, ok boolean")
+    typed = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [
+        sn.typed_projection(rows.where(F.col("base_origem") == base), SPECS[base], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS) for base in BASE_ORDER
+    ])
+    stage = fresh_path(spark, "stage")
+    typed.write.mode("errorifexists").parquet(stage)
+    return qa.verify_groups(typed, spark.read.parquet(stage), "base_origem").withColumnRenamed("base_origem", "base")
 
 
 # ---------------------------------------------------------------- audit analytics, windows, rules
@@ -687,9 +700,27 @@ def snapshot_manifest(spark: SparkSession, sf: str) -> DataFrame:
 def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """Per base, the rows of its latest window (max period end), found from partition values."""
     path, _ = _written_snapshot(spark, sf)
+    return sn.latest_window(spark.read.parquet(f"{path}/parquet").select("issue_key", "base_origem", *_part_types()), "base_origem", "periodo_fim")
+
+
+@query
+def snapshot_by_run_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Per base, the snapshot a run of mid-1997 finds: its latest window that has ended by then."""
+    path, _ = _written_snapshot(spark, sf)
     snap = spark.read.parquet(f"{path}/parquet").select("issue_key", "base_origem", *_part_types())
-    latest = snap.groupBy("base_origem").agg(F.max("periodo_fim").alias("periodo_fim"))
-    return snap.join(F.broadcast(latest), ["base_origem", "periodo_fim"], "left_semi")
+    return sn.latest_window(snap, "base_origem", "periodo_fim", run_date="1997-06-30")
+
+
+@query
+def blank_row_drop(spark: SparkSession, sf: str) -> DataFrame:
+    """reference rows whose cells are all blank (every 13th order: null, spaces, empty) are dropped."""
+    k = F.col("o_orderkey")
+    blank = k % 13 == 0
+    rows = fx.tickets(spark, sf).select(
+        k, F.when(~blank, F.col("o_orderpriority")).alias("Status"), F.when(blank, "  ").otherwise(F.col("base")).alias("Base"),
+        F.when(blank, "").when(k % 2 == 0, F.col("o_orderdate").cast("string")).alias("Data"),
+    )
+    return sn.drop_blank_rows(rows, ["Status", "Base", "Data"]).select("o_orderkey")
 
 
 @query
@@ -779,6 +810,15 @@ def paged_explode(spark: SparkSession, sf: str) -> DataFrame:
     return issues.select("page_no", "pos", F.try_variant_get("issue", "$.key", "string").alias("issue_key"))
 
 
+@query
+def paged_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages that hold no issues list, with the reason; a run that must be whole fails when there is one."""
+    path = fresh_path(spark, "pages")
+    fx.issue_pages(spark, sf).write.text(path)
+    _, rejects = pg.explode_pages(spark.read.text(path))
+    return rejects.select("page_no", "reason")
+
+
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """The raw landing drained by a stream into the text contract (final state of the sink)."""

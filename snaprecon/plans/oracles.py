@@ -610,6 +610,11 @@ ORACLES["latest_snapshot"] = f"""
 SELECT issue_key, base_origem, periodo_inicio, periodo_fim FROM ({SNAP}) s
 WHERE periodo_fim = (SELECT max(periodo_fim) FROM ({SNAP}) x WHERE x.base_origem = s.base_origem)
 """
+ORACLES["snapshot_by_run_date"] = f"""
+SELECT issue_key, base_origem, periodo_inicio, periodo_fim FROM ({SNAP}) s
+WHERE periodo_fim = (SELECT max(periodo_fim) FROM ({SNAP}) x WHERE x.base_origem = s.base_origem AND x.periodo_fim <= DATE '1997-06-30')
+"""
+ORACLES["blank_row_drop"] = "SELECT o_orderkey FROM orders WHERE o_orderkey % 13 <> 0"
 ORACLES["base_overwrite"] = f"""
 SELECT base_origem, periodo_inicio, periodo_fim, count(*) AS n FROM ({SNAP})
 WHERE base_origem <> 'analisadas' OR periodo_inicio = DATE '2001-01-01' GROUP BY ALL
@@ -667,6 +672,10 @@ SELECT page_no, pos, issue_key FROM (
 ) WHERE page_no % 50 <> 49
 """
 
+ORACLES["paged_rejects"] = f"""
+SELECT DISTINCT o_orderkey // 100 AS page_no, 'no issues list' AS reason FROM ({TICKETS}) WHERE (o_orderkey // 100) % 50 = 49
+"""
+
 ORACLES["stream_ingest"] = ORACLES["raw_scan"]
 
 ORACLES["stream_dedup_volume"] = """

@@ -2,8 +2,8 @@
 
 Pages are one JSON document per line. Each page is parsed once; the issues
 array is exploded with its position, so ``(page, position)`` is the arrival
-ordinal keep-last needs. Non-object items are skipped; a page that is not an
-object or has no ``issues`` list goes to the rejects frame.
+ordinal keep-last needs. Non-object items are skipped; a page that is not
+JSON or has no ``issues`` list goes to the rejects frame with the reason.
 """
 
 from __future__ import annotations
@@ -15,15 +15,18 @@ from snaprecon.functions import variant as vx
 
 
 def explode_pages(pages: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    v = F.try_parse_json(F.col(text_col))
-    parsed = pages.select(
+    v = F.col("__v")
+    parsed = pages.select(F.col(text_col), F.explode(F.array(F.try_parse_json(F.col(text_col)))).alias("__v")).select(
         F.col(text_col),
+        v.isNull().alias("broken"),
         F.try_variant_get(v, "$.page", "bigint").alias("page_no"),
         F.try_variant_get(v, "$.issues", "array<variant>").alias("issues"),
         F.try_variant_get(v, "$.nextPageToken", "string").alias("next_token"),
     )
     ok = parsed.where(F.col("issues").isNotNull())
-    rejects = parsed.where(F.col("issues").isNull()).select(text_col, "page_no")
+    rejects = parsed.where(F.col("issues").isNull()).select(
+        text_col, "page_no", F.when(F.col("broken"), "not JSON").otherwise("no issues list").alias("reason")
+    )
     items = ok.select("page_no", "next_token", F.posexplode("issues").alias("pos", "issue"))
     issues = items.where(vx.is_object(F.col("issue"))).select(
         "page_no", F.col("pos").cast("bigint").alias("pos"), "next_token", "issue"

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +12,7 @@ from snaprecon.operators import reconcile as rc
 from snaprecon.operators import runs as rs
 from snaprecon.operators import snapshot as sn
 from snaprecon.plans.spec import SPECS, resolve_bases
+from snaprecon.sources import pages as pg
 
 
 def test_keep_last_null_keys_equal(spark):
@@ -130,3 +132,45 @@ def test_rolling_membership(spark):
     runs = spark.createDataFrame([(dt.date(2026, 3, 3),)], "run_date date")
     got = sn.rolling_membership(items, "d", sn.run_windows(runs)).count()
     assert got == 2
+
+
+def test_exact_median_equals_percentile(spark):
+    rows = [(k, v) for k, vs in {"a": [5], "b": [1, 4000], "c": [-3000, -1, 7, 7, 90000], "d": [2, 2, 2, 9, 9, 9], None: [1, 2, 3, 1024], "e": [None]}.items() for v in vs]
+    df = spark.createDataFrame(rows, "base string, ms bigint")
+    got = {r.base: r["median"] for r in rs.exact_median(df, "base", "ms").collect()}
+    want = {r.base: r.m for r in df.groupBy("base").agg(F.percentile("ms", F.lit(0.5)).alias("m")).collect() if r.m is not None}
+    assert got == want
+
+
+def test_latest_window_by_run_date(spark):
+    snap = spark.createDataFrame([("a", 1, "2024-01-31"), ("a", 2, "2024-02-29"), ("b", 3, "2024-01-31")], "base string, id int, day string").withColumn("day", F.to_date("day"))
+    assert sorted(r.id for r in sn.latest_window(snap, "base", "day").collect()) == [2, 3]
+    assert sorted(r.id for r in sn.latest_window(snap, "base", "day", "2024-02-10").collect()) == [1, 3]
+    with pytest.raises(LookupError):
+        sn.latest_window(snap, "base", "day", "2023-12-31")
+
+
+def test_verify_groups_reports_lost_and_extra_rows(spark):
+    built = spark.createDataFrame([("a",), ("a",), ("b",)], "base string")
+    staged = spark.createDataFrame([("a",), ("b",), ("c",)], "base string")
+    got = {r.base: (r.expected, r.loaded, r.ok) for r in qa.verify_groups(built, staged, "base").collect()}
+    assert got == {"a": (2, 1, False), "b": (1, 1, True), "c": (0, 1, False)}
+
+
+def test_drop_blank_rows(spark):
+    df = spark.createDataFrame([(1, None, " "), (2, "x", None), (3, "", "é"), (4, "", "")], "id int, s string, t string")
+    assert sorted(r.id for r in sn.drop_blank_rows(df, ["s", "t"]).collect()) == [2, 3]
+
+
+def test_rejected_pages_carry_their_reason(spark):
+    pages = spark.createDataFrame([('{"page":1,"issues":[{"key":"A"},3]}',), ('{"page":2}',), ("{oops",), (None,)], "value string")
+    issues, rejects = pg.explode_pages(pages)
+    assert [(r.page_no, r.pos) for r in issues.collect()] == [(1, 0)]
+    assert sorted((r.page_no or 0, r.reason) for r in rejects.collect()) == [(0, "not JSON"), (0, "not JSON"), (2, "no issues list")]
+
+
+def test_raw_text_is_parsed_once(spark):
+    good, _ = nz.split_malformed(nz.parse_raw(spark.createDataFrame([('{"key":"A","fields":{"summary":"s"}}',)], "value string")))
+    out = good.select(F.try_variant_get("v", "$.key", "string").alias("k"), F.try_variant_get("v", "$.fields.summary", "string").alias("s"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson") <= 1
+    assert out.collect()[0] == ("A", "s")

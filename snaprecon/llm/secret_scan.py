@@ -107,7 +107,8 @@ def train(featured: DataFrame, labels: DataFrame, trees: int = 24, depth: int =
         return None, (1.0 if 1.0 in classes else 0.0)
     even = rows.withColumn("weight", F.when(F.col("label") == 1, 1.0 / classes[1.0]).otherwise(1.0 / classes[0.0]) * F.lit(float(min(classes.values()))))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=32, seed=11, featureSubsetStrategy="sqrt", weightCol="weight")
-    return forest.fit(even), None
+    # a copy carries no training summary, whose session cannot be sent to tasks once a query has been observed
+    return forest.fit(even).copy(), None
 
 
 def secret_scan(docs: DataFrame, labels: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:

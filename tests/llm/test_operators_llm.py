@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -409,6 +410,9 @@ def test_quality_shrinks_sparse_sites(spark, labels):
 
 
 def test_secret_scan(spark):
+    seen = Observation("before")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
     rows = [(i, f"some words here token = \"{hashlib.sha1(str(i).encode()).hexdigest()}\" and more text", "s") for i in range(60)]
     rows += [(100 + i, f"a plain {'verylongwordwithoutend' * (1 + i % 2)} in a sentence of words {i}", "s") for i in range(60)]
     rows += [(500, None, None), (501, "", "s"), (None, 'token = "0123456789abcdef0123"', "s")]

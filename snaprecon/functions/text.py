@@ -1,12 +1,12 @@
 """Text expressions (Column -> Column), all JVM-side except one narrow branch.
 
 Canonical text = NFKD, drop combining characters, lower-case, trim, collapse
-whitespace. For Latin text (everything up to U+024F) this compiles to
+whitespace. For Latin text with its typography (``_NATIVE``) this compiles to
 ``translate`` + ``lower`` + ``regexp_replace``, which stays inside whole-stage
-codegen. The translate table is generated from ``unicodedata`` at import time
-rather than written out. Only values holding a character beyond that range go
-to an Arrow-batched pandas UDF that applies the exact Unicode rule; for every
-other row the UDF receives a null, so the Python side is nearly free.
+codegen. The tables are generated from ``unicodedata`` at import time rather
+than written out. Only values holding another character go to an Arrow-batched
+pandas UDF that applies the exact Unicode rule; for every other row the UDF
+receives a null, so the Python side is nearly free.
 """
 
 from __future__ import annotations
@@ -20,15 +20,16 @@ from pyspark.sql import types as T
 
 from snaprecon.plans.spec import canonical as _canonical_py
 
-_NATIVE_END = 0x024F
+# Latin, combining accents, Vietnamese and other extended Latin, typographic punctuation, currency signs, f-ligatures
+_NATIVE = ((0x0000, 0x024F), (0x0300, 0x036F), (0x1E00, 0x1EFF), (0x2000, 0x206F), (0x20A0, 0x20BF), (0xFB00, 0xFB06))
 
 
 def _latin_fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
     src, dst, multi = [], [], []
-    for cp in range(0x80, _NATIVE_END + 1):
+    for cp in (cp for first, last in _NATIVE for cp in range(max(first, 0x80), last + 1)):
         ch = chr(cp)
         folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if folded == ch:
+        if folded == ch or not folded:
             continue
         if len(folded) == 1:
             src.append(ch)
@@ -39,17 +40,18 @@ def _latin_fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
 
 
 def _combining_chars() -> str:
-    """Every BMP code point with a non-zero combining class (deleted by ``translate``)."""
-    return "".join(chr(cp) for cp in range(0x300, 0x10000) if not 0xD800 <= cp <= 0xDFFF and unicodedata.combining(chr(cp)))
+    """The native characters that fold to nothing (deleted by ``translate``)."""
+    every = (chr(cp) for first, last in _NATIVE for cp in range(first, last + 1))
+    return "".join(ch for ch in every if all(unicodedata.combining(c) for c in unicodedata.normalize("NFKD", ch)))
 
 
 _FOLD_SRC, _FOLD_DST, _FOLD_MULTI = _latin_fold_tables()
 # one translate pass: single-letter folds first, then combining marks with no replacement (deleted)
 _TRANSLATE_SRC = _FOLD_SRC + _combining_chars()
 _MULTI_CLASS = "[" + "".join(f"\\x{{{ord(ch):04X}}}" for ch, _ in _FOLD_MULTI) + "]"
-# Python's str.split() whitespace for code points up to U+024F
-_WS = r"[\s\x{1C}-\x{1F}\x{85}\x{A0}]+"
-_OUTSIDE_LATIN = r"[^\x{00}-\x{24F}]"
+# Python's whitespace among the native characters
+_WS = r"[\s\x{1C}-\x{1F}\x{85}\x{A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}]+"
+_OUTSIDE_LATIN = "[^" + "".join(f"\\x{{{first:X}}}-\\x{{{last:X}}}" for first, last in _NATIVE) + "]"
 
 
 @F.pandas_udf(T.StringType())

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snaprecon.functions import dates as dt
-from snaprecon.plans.spec import BaseSpec
+from snaprecon.plans.spec import LARGE_TEXT_CHARS, BaseSpec
 
 
 def missing_columns(df: DataFrame, spec: BaseSpec) -> list[str]:
@@ -46,6 +46,25 @@ def quality_report(df: DataFrame, group_cols: list[str], window_from: Column, wi
     return rep.withColumn("verdict", F.when(errors, F.lit("fail")).when(F.col("null_updated") > 0, F.lit("warn")).otherwise(F.lit("pass")))
 
 
+def contract_report(df: DataFrame, group_col: str, specs: dict[str, BaseSpec], window_from: Column, window_to: Column) -> DataFrame:
+    """V1-V4: the quality report with the contract columns that a group's base asks for and the frame lacks.
+
+    A group's base is its value in ``group_col``; without rows there is no
+    group, so an empty frame passes. ``missing`` is a list in contract order.
+    """
+    absent = [(base, missing_columns(df, spec)) for base, spec in specs.items()]
+    known = df.sparkSession.createDataFrame(absent, "__base string, missing array<string>")
+    report = quality_report(df, [group_col], window_from, window_to)
+    joined = report.join(F.broadcast(known), F.col(group_col).eqNullSafe(F.col("__base")), "left").drop("__base")
+    return joined.withColumn("verdict", F.when(F.size("missing") > 0, F.lit("fail")).otherwise(F.col("verdict")))
+
+
+def has_large_text(df: DataFrame, limit: int = LARGE_TEXT_CHARS) -> Column:
+    """Whether any text column of ``df`` holds more than ``limit`` characters in the row."""
+    lengths = [F.length(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return F.greatest(F.lit(0), F.lit(0), *lengths) > limit
+
+
 def quarantine(df: DataFrame, keep: list[str], window_from: Column, window_to: Column) -> DataFrame:
     """V7: one row per (record, broken rule), for inspection."""
     rules = {n: c for n, c in _rules(window_from, window_to).items() if n != "ref_unparseable"}
@@ -97,17 +116,40 @@ def schema_diff(expected: T.StructType, existing: T.StructType) -> list[tuple[st
     return rows
 
 
+def _converted(field: T.StructField, current: T.DataType | None) -> Column:
+    """The expected column from the existing one of that name (any case); null where it is absent or does not convert."""
+    if current is None:
+        return F.lit(None).cast(field.dataType)
+    column = F.col(f"`{field.name}`")
+    if isinstance(current, T.StringType) and isinstance(field.dataType, T.DateType):
+        return dt.local_date(column)
+    if isinstance(current, T.StringType) and isinstance(field.dataType, T.TimestampType):
+        return dt.parse_timestamp(column)
+    return column.try_cast(field.dataType)
+
+
 def evolve(existing: DataFrame, expected: T.StructType) -> DataFrame:
     """M1 + M3: add missing columns as null, convert text to date or timestamp and retype (bad -> null), keep order of ``expected``."""
-    have = {f.name: f.dataType for f in existing.schema.fields}
-    cols = []
-    for f in expected.fields:
-        if f.name not in have:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif isinstance(f.dataType, T.DateType) and isinstance(have[f.name], T.StringType):
-            cols.append(dt.local_date(F.col(f.name)).alias(f.name))
-        elif isinstance(f.dataType, T.TimestampType) and isinstance(have[f.name], T.StringType):
-            cols.append(dt.parse_timestamp(F.col(f.name)).alias(f.name))
-        else:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-    return existing.select(*cols)
+    have = {f.name.lower(): f.dataType for f in existing.schema.fields}
+    return existing.select(*[_converted(f, have.get(f.name.lower())).alias(f.name) for f in expected.fields])
+
+
+def schema_profile(existing: DataFrame, expected: T.StructType) -> DataFrame:
+    """V6/M1-M3 with what each action would do to the rows, in one aggregation.
+
+    One row per expected column: its action (see :func:`schema_diff`), the
+    table's rows, the null cells, the longest text (text columns only) and the
+    cells that hold a value which the action turns into null.
+    """
+    have = {f.name.lower(): f.dataType for f in existing.schema.fields}
+    entries = []
+    for field, (name, wanted, found, action) in zip(expected.fields, schema_diff(expected, existing.schema), strict=True):
+        current = have.get(name.lower())
+        cell = F.lit(None).cast("string") if current is None else F.col(f"`{name}`")
+        lost = F.lit(False) if current is None else cell.isNotNull() & _converted(field, current).isNull()
+        longest = F.max(F.length(cell)) if isinstance(current, T.StringType) else F.lit(None)
+        entries.append(F.struct(
+            F.lit(name).alias("column_name"), F.lit(wanted).alias("expected_type"), F.lit(found).cast("string").alias("existing_type"), F.lit(action).alias("action"),
+            F.count(F.lit(1)).alias("existing_rows"), F.count_if(cell.isNull()).alias("n_null"), longest.cast("bigint").alias("max_chars"), F.count_if(lost).alias("n_lost"),
+        ))
+    return existing.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))

@@ -114,6 +114,25 @@ def rules_filter(df: DataFrame, rules: DataFrame, base_col: str, status_col: str
     return keyed.join(allowed, (F.col(base_col) == F.col("__rb")) & (F.col("__s") == F.col("__rs")), "left_semi").drop("__s")
 
 
+def predicates_filter(df: DataFrame, rules: DataFrame, base_col: str, attributes: list[str]) -> DataFrame:
+    """Keep rows that satisfy every rule of their base.
+
+    ``rules`` (base, attribute, value) lists the allowed values. A row stays
+    if, for each attribute its base has rules on, its canonical value is one of
+    them; an attribute without rules allows everything, and so does a base
+    without any. Folded to one row per base (bounded by configuration) and
+    broadcast, so the data side is never shuffled.
+    """
+    lists = [F.collect_set(F.when(F.col("attribute") == a, tx.canonical_text("value"))).alias(f"__allow_{a}") for a in attributes]
+    allowed = rules.groupBy(F.col("base").alias("__rb")).agg(*lists)
+    joined = df.join(F.broadcast(allowed), F.col(base_col) == F.col("__rb"), "left")
+    for a in attributes:
+        values = F.col(f"__allow_{a}")
+        # a null value is in no list
+        joined = joined.where((F.coalesce(F.size(values), F.lit(0)) <= 0) | F.coalesce(F.array_contains(values, tx.canonical_text(a)), F.lit(False)))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def run_windows(run_dates: DataFrame, date_col: str = "run_date") -> DataFrame:
     """Default window (from, to) of each run date."""
     lo, hi = dt.default_window(date_col)

@@ -185,6 +185,23 @@ def large_text_profile(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def large_text_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with any text column over 4000 characters, per source (the tables' row-level flag)."""
+    d = table(spark, sf, "documents")
+    large = qa.has_large_text(d)
+    return d.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(large).alias("n_large"))
+
+
+@query
+def name_collisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Part types written in three ways (upper, lower, padded), by canonical form: variants and rows of each."""
+    p, k = table(spark, sf, "part"), F.col("p_partkey")
+    raw = F.when(k % 3 == 0, F.upper("p_type")).when(k % 3 == 1, F.lower("p_type")).otherwise(F.concat(F.lit(" "), F.col("p_type"), F.lit("  ")))
+    forms = p.select(raw.alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n")).withColumn("canon", tx.canonical_text("raw"))
+    return forms.groupBy("canon").agg(F.count(F.lit(1)).alias("n_variants"), F.sum("n").alias("n_rows")).where("n_variants > 1")
+
+
 # ---------------------------------------------------------------- field catalogue, JSON ingest
 
 from snaprecon.functions import variant as vx  # noqa: E402
@@ -334,7 +351,7 @@ from pyspark.sql import Window  # noqa: E402
 from snaprecon.operators import quality as qa  # noqa: E402
 from snaprecon.operators import snapshot as sn  # noqa: E402
 from snaprecon.plans.fixtures import RUN_TS  # noqa: E402
-from snaprecon.plans.spec import BASE_ORDER  # noqa: E402
+from snaprecon.plans.spec import BASE_ORDER, BUSINESS_RULES  # noqa: E402
 
 LOAD_TS = "2026-03-03 20:30:00"
 _SNAP_COLS = ["issue_key", "summary", "status", "created", "updated", "base_origem", "data_referencia",
@@ -414,6 +431,15 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return qa.quarantine(rows, ["o_orderkey", "base_origem"], F.lit("1995-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
 
 
+@query
+def contract_report(spark: SparkSession, sf: str) -> DataFrame:
+    """V1-V4: the report with each base's missing contract columns; blank keys count as null here."""
+    rows = fx.contract_rows(spark, sf)
+    rows = rows.withColumn("issue_key", tx.table_text("issue_key"))
+    report = qa.contract_report(rows, "base_origem", SPECS, F.lit("1995-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
+    return report.withColumn("missing", F.array_join("missing", ","))
+
+
 def _stage_verify_swap(spark: SparkSession, df: DataFrame, table_root: str) -> tuple[str, int, int]:
     """K4 + V5: write to a fresh staging directory, verify its row count, then point the table at it.
 
@@ -455,15 +481,20 @@ def _read_current(spark: SparkSession, table_root: str) -> DataFrame:
     return spark.read.parquet(_pointer(spark, table_root)[1])
 
 
+def _typed(rows: DataFrame, bases) -> DataFrame:
+    """The rows of these bases, each through its own contract, aligned to the union of their columns."""
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [
+        sn.typed_projection(rows.where(F.col("base_origem") == base), SPECS[base], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS) for base in bases
+    ])
+
+
 @query
 def table_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """K4: two full refreshes; the table holds exactly the second load."""
     rows = fx.contract_rows(spark, sf)
     root = fresh_path(spark, "table")
-    first = sn.typed_projection(rows.where(F.col("base_origem") == "encerradas"), SPECS["encerradas"], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS)
-    _stage_verify_swap(spark, first, root)
-    second = sn.typed_projection(rows.where(F.col("base_origem") != "encerradas"), SPECS["encerradas"], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS)
-    _stage_verify_swap(spark, second, root)
+    _stage_verify_swap(spark, _typed(rows, ["encerradas"]), root)
+    _stage_verify_swap(spark, _typed(rows, [base for base in BASE_ORDER if base != "encerradas"]), root)
     return _read_current(spark, root).select("chave_ticket", "base_origem", "status", "data_referencia")
 
 
@@ -471,9 +502,7 @@ def table_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
 def load_verification(spark: SparkSession, sf: str) -> DataFrame:
     """A4/V5: per base, rows built vs rows found in the staged output: one staged write of all bases, one keyed comparison."""
     rows = fx.contract_rows(spark, sf)
-    typed = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [
-        sn.typed_projection(rows.where(F.col("base_origem") == base), SPECS[base], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS) for base in BASE_ORDER
-    ])
+    typed = _typed(rows, BASE_ORDER)
     stage = fresh_path(spark, "stage")
     typed.write.mode("errorifexists").parquet(stage)
     return qa.verify_groups(typed, spark.read.parquet(stage), "base_origem").withColumnRenamed("base_origem", "base")
@@ -606,6 +635,18 @@ def business_rules_filter(spark: SparkSession, sf: str) -> DataFrame:
     return sn.rules_filter(t, _status_rules(spark), "base", "status")
 
 
+@query
+def business_predicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Tickets that satisfy their base's rules on status, space and type (values as users write them)."""
+    k = F.col("o_orderkey")
+    t = fx.tickets(spark, sf).select(
+        k.alias("o_orderkey"), "base",
+        *[F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(k / step) % len(values) + 1).cast("int")).alias(name) for name, (step, values) in fx.PREDICATE_VALUES.items()],
+    )
+    rules = [(base, a, v) for base, by in BUSINESS_RULES.items() for a, values in by.items() for v in values]
+    return sn.predicates_filter(t, spark.createDataFrame(rules, "base string, attribute string, value string"), "base", list(fx.PREDICATE_VALUES))
+
+
 @query
 def ordered_extract(spark: SparkSession, sf: str) -> DataFrame:
     """O1: one window's extract in remote order (created descending, key), a distributed range sort."""
@@ -766,12 +807,9 @@ def _old_table(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
 
 @query
 def schema_diff(spark: SparkSession, sf: str) -> DataFrame:
-    """V6/M2: expected typed contract vs an existing table, one row per column with its action."""
+    """V6/M2: expected typed contract vs an existing table: per column its action, nulls, longest text and cells the action loses."""
     old, _ = _old_table(spark, sf)
-    rows = qa.schema_diff(SPECS["encerradas"].typed_schema(), old.schema)
-    existing_rows = old.count()
-    diff = spark.createDataFrame(rows, "column_name string, expected_type string, existing_type string, action string")
-    return diff.withColumn("existing_rows", F.lit(existing_rows).cast("bigint"))
+    return qa.schema_profile(old, SPECS["encerradas"].typed_schema())
 
 
 @query
@@ -810,6 +848,21 @@ def paged_explode(spark: SparkSession, sf: str) -> DataFrame:
     return issues.select("page_no", "pos", F.try_variant_get("issue", "$.key", "string").alias("issue_key"))
 
 
+@query
+def paged_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """Issues per page of chains of ten pages; page 6 of a chain has no token and page 3 of every other chain no issue."""
+    path = fresh_path(spark, "pages")
+    v = F.col("value")
+    page = F.regexp_extract(v, "^.\"page\":([0-9]+)", 1).cast("bigint")
+    bare = F.regexp_replace(v, ",\"nextPageToken\":\"p[0-9]+\"", "")
+    empty = F.concat(F.lit("{\"page\":"), page.cast("string"), F.lit(",\"issues\":[],\"nextPageToken\":\"p\"}"))
+    value = F.when((page % 10 == 3) & (F.floor(page / 10) % 2 == 1), empty).when(page % 10 == 6, bare).otherwise(v)
+    fx.issue_pages(spark, sf).select(value.alias("value")).write.text(path)
+    parsed = pg.parse_pages(spark.read.text(path)).withColumn("chain", F.floor(F.col("page_no") / 10))
+    issues, _ = pg.explode_parsed(pg.until_chain_end(parsed, ["chain"]))
+    return issues.groupBy("page_no").agg(F.count(F.lit(1)).alias("n_issues"))
+
+
 @query
 def paged_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """The pages that hold no issues list, with the reason; a run that must be whole fails when there is one."""
@@ -844,3 +897,28 @@ def stream_dedup_volume(spark: SparkSession, sf: str) -> DataFrame:
     sink = fresh_path(spark, "stream-events")
     st.drain(st.dedup_events(keyed, ["user_id", "event_type", "day"], "1 day"), sink)
     return spark.read.parquet(sink).groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n_users"))
+
+
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = table(spark, sf, "events").schema
+    src = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return src.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query
+def stream_window_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per tumbling day and type from a stream in update mode, one day's lateness allowed."""
+    sink = fresh_path(spark, "stream-windows")
+    st.drain(st.window_counts(_event_stream(spark, sf), "ts", "1 day", ["event_type"], "1 day"), sink, mode="update")
+    last = st.newest(spark.read.parquet(sink), ["window_start", "event_type"], ["batch_id"])
+    return last.select(F.to_date("window_start").alias("day"), "event_type", "n_events")
+
+
+@query
+def stream_current_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest event per user; each batch lands its own newest rows, the reader merges the batches."""
+    sink = fresh_path(spark, "stream-state")
+    keys, order = ["user_id"], ["ts", "event_id"]
+    events = _event_stream(spark, sf).select("user_id", "ts", "event_id", "event_type")
+    st.drain(events, sink, transform=lambda batch: st.newest(batch, keys, order))
+    return st.newest(spark.read.parquet(sink), keys, order).select("user_id", "event_id", "event_type")

@@ -429,3 +429,11 @@ def issue_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
     bad = F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"nextPageToken":"x"}'))
     return pages.select(F.when(F.col("page") % 50 == 49, bad).otherwise(body).alias("value"))
+
+
+# texts of business_predicates: name -> (every how many order keys the text changes, texts)
+PREDICATE_VALUES = {
+    "status": (1, ("ENCERRADO", "Encerrado ", "ANÁLISE", "analise", "Reiteradas  em aberto", "em verificacao", "FECHADO")),
+    "espaco": (7, ("Atendimento Ouv", "ATENDIMENTO OUV", "Outro", None)),
+    "tipo_ticket": (2, ("Atendimento", "ATENDIMENTO ", "Tarefa")),
+}

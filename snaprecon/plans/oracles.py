@@ -188,8 +188,8 @@ FROM documents GROUP BY lang
 
 # ---------------------------------------------------------------- JSON ingest family
 
-from snaprecon.plans.fixtures import CATALOG_GAP, CATALOG_OVERRIDE, custom_ids  # noqa: E402
-from snaprecon.plans.spec import BASE_RULES, CORE_API_FIELDS, SPECS  # noqa: E402
+from snaprecon.plans.fixtures import CATALOG_GAP, CATALOG_OVERRIDE, PREDICATE_VALUES, custom_ids  # noqa: E402
+from snaprecon.plans.spec import BASE_RULES, BUSINESS_RULES, CORE_API_FIELDS, SPECS  # noqa: E402
 
 RUN_EXTRACTED_AT = "2026-03-03T20:26:35.558569+00:00"
 
@@ -644,10 +644,25 @@ def _diff_rows() -> str:
     return "VALUES " + ", ".join(rows)
 
 
+# old column -> (null, longest text, lost) over the old table's tickets
+_OLD_FACTS = {
+    "chave_ticket": ("0", f"max(length({_CONTRACT_KEY}))", "0"),
+    "resumo": ("count(*) FILTER (WHERE o_orderkey % 7 = 0)", "max(length(c_name)) FILTER (WHERE o_orderkey % 7 <> 0)", "0"),
+    "status": ("count(*) FILTER (WHERE o_orderkey % 37 = 0)", "max(length(o_orderpriority)) FILTER (WHERE o_orderkey % 37 <> 0)", "0"),
+    "data_criacao": ("0", "max(28)", "0"),
+    "base_origem": ("0", "max(length(base))", "0"),
+    "data_fechou_salesforce": ("0", "10", "count(*) FILTER (WHERE o_orderkey % 9 = 0)"),
+}
+_OLD_ROWS = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {n} AS n_null, {longest} AS max_chars, {lost} AS n_lost FROM ({TICKETS}) WHERE year(o_orderdate) < 2000"
+    for c, (n, longest, lost) in _OLD_FACTS.items()
+)
 ORACLES["schema_diff"] = f"""
-SELECT d.column_name, d.expected_type, d.existing_type, d.action, c.existing_rows
+SELECT d.column_name, d.expected_type, d.existing_type, d.action, c.existing_rows,
+       CAST(coalesce(f.n_null, c.existing_rows) AS BIGINT) AS n_null, CAST(f.max_chars AS BIGINT) AS max_chars, CAST(coalesce(f.n_lost, 0) AS BIGINT) AS n_lost
 FROM ({_diff_rows()}) AS d(column_name, expected_type, existing_type, action)
 CROSS JOIN (SELECT count(*) AS existing_rows FROM ({TICKETS}) WHERE year(o_orderdate) < 2000) c
+LEFT JOIN ({_OLD_ROWS}) f USING (column_name)
 """
 ORACLES["schema_add_columns"] = f"""
 SELECT base AS base_origem, count(*) AS n_rows, count(*) FILTER (WHERE year(o_orderdate) >= 2000) AS n_tema,
@@ -681,3 +696,47 @@ ORACLES["stream_ingest"] = ORACLES["raw_scan"]
 ORACLES["stream_dedup_volume"] = """
 SELECT CAST(ts AS DATE) AS day, event_type, count(DISTINCT user_id) AS n_users FROM events GROUP BY ALL
 """
+
+ORACLES["large_text_rows"] = """
+SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE greatest(length(text), length(lang), length(source)) > 4000) AS n_large
+FROM documents GROUP BY source
+"""
+
+ORACLES["name_collisions"] = f"""
+SELECT canon, count(*) AS n_variants, CAST(sum(n) AS BIGINT) AS n_rows FROM (
+  SELECT raw, {canon('raw')} AS canon, count(*) AS n FROM (
+    SELECT CASE p_partkey % 3 WHEN 0 THEN upper(p_type) WHEN 1 THEN lower(p_type) ELSE ' ' || p_type || '  ' END AS raw FROM part
+  ) GROUP BY raw
+) GROUP BY canon HAVING count(*) > 1
+"""
+
+_CONTRACT_COLUMNS = ("issue_key", "summary", "status", "created", "updated", "base_origem", "data_referencia", "espaco", "tipo_ticket",
+                     "extracted_at", "source_mode", "data_fechou_salesforce", "tema")
+_MISSING = ", ".join(f"('{b}', '{','.join(c for c in spec.text_columns if c not in _CONTRACT_COLUMNS)}')" for b, spec in SPECS.items())
+ORACLES["contract_report"] = f"""
+SELECT base AS base_origem, count(*) AS n_rows, count(*) FILTER (WHERE key_text IS NULL) AS null_issue_key,
+       count(*) FILTER (WHERE status IS NULL) AS null_status, count(*) FILTER (WHERE updated_null) AS null_updated,
+       count(*) FILTER (WHERE {_OUT}) AS ref_outside_window, count(*) FILTER (WHERE ref_bad) AS ref_unparseable,
+       'fail' AS verdict, missing
+FROM ({CONTRACT}) JOIN (VALUES {_MISSING}) m(b, missing) ON b = base GROUP BY base, missing
+"""
+
+_PREDICATES = ", ".join(
+    "[" + ", ".join("NULL" if v is None else f"'{v}'" for v in values) + f"][CAST(o_orderkey // {step} % {len(values)} AS INTEGER) + 1] AS {name}"
+    for name, (step, values) in PREDICATE_VALUES.items()
+)
+_ALLOWED = " OR ".join(
+    f"(base = '{base}' AND " + " AND ".join(f"{canon(a)} IN (" + ", ".join(canon(f"'{v}'") for v in values) + ")" for a, values in by.items()) + ")"
+    for base, by in BUSINESS_RULES.items()
+)
+ORACLES["business_predicates"] = f"SELECT * FROM (SELECT o_orderkey, base, {_PREDICATES} FROM ({TICKETS})) WHERE {_ALLOWED}"
+
+ORACLES["paged_chain"] = f"""
+SELECT page_no, n_issues FROM (SELECT o_orderkey // 100 AS page_no, count(*) AS n_issues FROM ({TICKETS}) GROUP BY ALL)
+WHERE page_no % 50 <> 49 AND page_no % 10 <= 6 AND NOT ((page_no // 10) % 2 = 1 AND page_no % 10 >= 3)
+"""
+
+ORACLES["stream_window_counts"] = "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_events FROM events GROUP BY ALL"
+ORACLES["stream_current_state"] = """
+SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
+"""

@@ -21,6 +21,13 @@ def test_canonical_text_matches_python(spark):
         assert r["c"] == (None if r["s"] is None else canonical(r["s"])), r
 
 
+def test_every_native_character_is_canonical_without_python(spark):
+    chars = [chr(cp) for first, last in X._NATIVE for cp in range(first, last + 1)]
+    samples = [f" x{c}Y{c} z{c}" for c in chars] + ["“Ação…” – ﬁm", "e\u0301 Việt\u2028Nam"]
+    rows = spark.createDataFrame([(s,) for s in samples], "s string").select("s", X.canonical_text("s", exact_fallback=False).alias("c")).collect()
+    assert [(r.s, r.c) for r in rows if r.c != canonical(r.s)] == []
+
+
 def test_canonical_column_names(spark):
     names = ["DATA DA ACAO/ ENVIO AREA", "COMPROMISSO GERADO:", "N ORDEM INGRESSADA (OUV)", "NÚMERO DE CASO PAI",
              "FaixaDiasUteis_Simples", "1 PRAZO POSTERGADO AO CLIENTE"]

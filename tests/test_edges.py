@@ -7,14 +7,17 @@ import datetime as dt
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snaprecon.functions import dates as D
 from snaprecon.functions import variant as V
 from snaprecon.operators import normalize as nz
+from snaprecon.operators import quality as qa
 from snaprecon.operators import runs as rs
 from snaprecon.operators import snapshot as sn
 from snaprecon.plans.spec import canonical, canonical_name
 from snaprecon.sinks import files as sk
+from snaprecon.sources import pages as pg
 from snaprecon.streaming import ingest as st
 
 
@@ -101,3 +104,42 @@ def test_rolling_counts_equal_membership(spark):
     windows = sn.run_windows(spark.createDataFrame([(dt.date(2026, 3, 3),), (dt.date(2026, 3, 4),)], "run_date date"))
     want = {r["run_date"]: r["count"] for r in sn.rolling_membership(items, "d", windows).groupBy("run_date").count().collect()}
     assert {r["run_date"]: r["n_tickets"] for r in sn.rolling_counts(items, "d", windows).collect()} == want
+
+
+def test_rules_bind_each_attribute_and_null_breaks_a_rule(spark):
+    rows = [(1, "a", "Aberto", "X"), (2, "a", "ABERTO ", None), (3, "a", None, "x"), (4, "b", None, "y"), (5, "c", None, None), (6, "a", "fechado", "x")]
+    df = spark.createDataFrame(rows, "id int, base string, status string, espaco string")
+    rules = spark.createDataFrame([("a", "status", "aberto"), ("a", "espaco", "x"), ("b", "espaco", "y")], "base string, attribute string, value string")
+    kept = sn.predicates_filter(df, rules, "base", ["status", "espaco"])
+    assert kept.columns == df.columns
+    assert sorted(r.id for r in kept.collect()) == [1, 4, 5]
+
+
+def test_schema_profile_of_an_empty_table_and_of_another_case(spark):
+    expected = T.StructType.fromDDL("day date, at timestamp, extra string")
+    empty = {r.column_name: r for r in qa.schema_profile(spark.createDataFrame([], "DAY string, at string"), expected).collect()}
+    assert [(empty[c].action, empty[c].existing_rows, empty[c].n_null, empty[c].max_chars, empty[c].n_lost) for c in ("day", "at", "extra")] == [
+        ("to_date", 0, 0, None, 0), ("retype", 0, 0, None, 0), ("add", 0, 0, None, 0)]
+    old = spark.createDataFrame([("2026-03-01", "bad"), (None, "2026-03-01T10:00:00+0000")], "DAY string, at string")
+    full = {r.column_name: r for r in qa.schema_profile(old, expected).collect()}
+    assert (full["day"].n_null, full["day"].n_lost, full["at"].n_lost, full["at"].max_chars, full["extra"].n_null) == (1, 0, 1, 24, 2)
+    moved = qa.evolve(old, expected)
+    assert moved.columns == ["day", "at", "extra"]
+    assert {r.day for r in moved.collect()} == {dt.date(2026, 3, 1), None}
+
+
+def test_a_chain_of_pages_ends_with_its_first_last_page(spark):
+    page = '{"page":%d,"issues":[%s]%s}'
+    more = ',"nextPageToken":"t"'
+    pages = [("w1", page % (0, '{"k":1}', more)), ("w1", '{"page":1}'), ("w1", page % (2, '{"k":2}', "")), ("w1", page % (3, '{"k":3}', more)),
+             (None, page % (0, '{"k":4}', more)), (None, page % (1, "", more)), (None, page % (2, '{"k":5}', more)), ("w2", page % (7, '{"k":6}', more))]
+    parsed = pg.parse_pages(spark.createDataFrame(pages, "w string, value string"))
+    kept = pg.until_chain_end(parsed, ["w"])
+    assert sorted((r.w or "", r.page_no) for r in kept.collect()) == [("", 0), ("", 1), ("w1", 0), ("w1", 1), ("w1", 2), ("w2", 7)]
+    issues, rejects = pg.explode_parsed(kept)
+    assert (issues.count(), rejects.count()) == (4, 1)
+
+
+def test_large_text_looks_at_every_text_column(spark):
+    df = spark.createDataFrame([("x", "y" * 5, 1), (None, None, 2), ("z" * 5, None, 3)], "a string, b string, n int")
+    assert [r.n for r in df.where(qa.has_large_text(df, 4)).collect()] == [1, 3]

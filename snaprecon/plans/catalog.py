@@ -778,15 +778,20 @@ def base_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def report_flat(spark: SparkSession, sf: str) -> DataFrame:
-    """K6: the report written nested (JSON, with example arrays) and flat (CSV, 11 columns), CSV read back."""
-    counts = _recon_counts(spark, sf)
+    """K6: the report written nested (JSON, with example arrays) and flat (CSV, 11 columns), CSV read back.
+
+    The signature counts are written once; both reports and the examples read them.
+    """
+    stage = fresh_path(spark, "recon-counts")
+    _recon_counts(spark, sf).write.parquet(stage)
+    counts = spark.read.parquet(stage)
     report = rc.monthly_report(counts).withColumn("csv_file", F.lit("processed/latest.csv"))
     nested = report.join(rc.nested_examples(rc.top_examples(counts)), ["base", "month"], "left")
     path = fresh_path(spark, "report")
     rc.ordered(nested, BASE_ORDER).write.json(f"{path}/json")
     flat_cols = ["base", "month", "csv_file", "local_count", "reference_count", "matched_count", "missing_in_local_count",
                  "extra_in_local_count", "relaxed_matched_count", "relaxed_missing_count", "relaxed_extra_count"]
-    rc.ordered(report.select(*flat_cols), BASE_ORDER).coalesce(1).write.option("header", True).csv(f"{path}/csv")
+    rc.ordered(report.select(*flat_cols), BASE_ORDER).write.option("header", True).csv(f"{path}/csv")
     back = spark.read.option("header", True).csv(f"{path}/csv")
     return back.select("base", "month", "csv_file", *[F.col(c).cast("bigint").alias(c) for c in flat_cols[3:]])
 

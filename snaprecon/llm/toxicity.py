@@ -14,9 +14,9 @@ largest three and the mean window logit, the number of windows that look toxic
 and the number of windows into the document's score.
 
 Training reads at most ``TRAIN_DOCS`` labelled documents of each class (those
-with the smallest hash of doc_id) and ``TRAIN_WINDOWS`` evenly spread windows
-of each; both bounds are parameters. Scoring covers all windows of all texts.
-Only the text enters a score.
+with the smallest hash of doc_id; the bound is a parameter), each whole: the
+evidence is counted over all its words, and all its windows are learned from.
+Scoring covers all windows of all texts. Only the text enters a score.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from snaprecon.llm._common import SpanHasher, blocks, id_and_text, joined, runs
+from snaprecon.llm._common import SpanHasher, blocks, cut, id_and_text, joined, runs
 
 STEPS, STRIDE = 24, 16
 HIDDEN, CHARS = 8, 4
@@ -39,7 +39,7 @@ SLOTS = {"word": 1 << 15, "prefix": 1 << 15, "gram": 1 << 13}
 PREFIXES = (4, 5, 6, 7, 8)
 GRAM = 4
 WIDTH = 1 + len(PREFIXES) + CHARS
-TRAIN_DOCS, TRAIN_WINDOWS, EPOCHS, BATCH = 2500, 8, 5, 256
+TRAIN_DOCS, EPOCHS, BATCH, CHUNK = 2500, 5, 256, 2048
 CHANCE, STEPS_LEAST = 4.0, 300
 THRESHOLD = 0.7
 _SPACE = np.zeros(256, bool)
@@ -64,16 +64,15 @@ class Words:
         at = np.arange(self.gram_start[-1]) - np.repeat(self.gram_start[:-1] - a, n)
         self.gram = (hasher.spans(at, np.minimum(at + GRAM, np.repeat(b, n))) % np.uint64(SLOTS["gram"])).astype(np.int64)
 
-    def windows(self, spread: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct-word numbers (-1: past the end) of each window, and its text; ``spread`` evenly chosen ones of each text if given."""
-        per = np.where(self.count > 0, 1 + np.maximum(0, -(-(self.count - STEPS) // STRIDE)), 0)
-        if spread is None:
-            text = np.repeat(np.arange(len(per)), per)
-            k = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
-        else:
-            picked = [np.unique(np.linspace(0, p - 1, min(p, spread)).astype(np.int64)) for p in per.tolist()]
-            text = np.repeat(np.arange(len(per)), [len(p) for p in picked])
-            k = np.concatenate(picked) if picked else np.zeros(0, np.int64)
+    def sizes(self) -> np.ndarray:
+        """The number of windows of each text."""
+        return np.where(self.count > 0, 1 + np.maximum(0, -(-(self.count - STEPS) // STRIDE)), 0)
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct-word numbers (-1: past the end) of each window, and its text."""
+        per = self.sizes()
+        text = np.repeat(np.arange(len(per)), per)
+        k = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
         at = (k * STRIDE)[:, None] + np.arange(STEPS)
         inside = at < self.count[text][:, None]
         numbers = np.where(inside, self.number[np.minimum(self.first[text][:, None] + at, max(0, len(self.number) - 1))] if len(self.number) else 0, -1)
@@ -163,14 +162,11 @@ class Network:
         np.add.at(g["gram"], f.gram, np.repeat(share, np.diff(f.gram_start), axis=0))
         return g
 
-    def _weigh(self, texts: list[str], labels: np.ndarray) -> None:
-        """Set the evidence tables: the signed root of the likelihood ratio of a word or prefix being as frequent in toxic texts as in others, beyond CHANCE."""
-        total = np.array([(labels == 0).sum(), (labels == 1).sum()], float)
-        seen = {k: np.zeros((2, SLOTS[k])) for k in ("word", "prefix")}
-        for text, label in zip(texts, labels.tolist(), strict=True):
-            f = Words([text.encode("utf-8", "surrogatepass")])
-            for k, n in seen.items():
-                n[label, np.unique(getattr(f, k))] += 1
+    def weigh(self, seen: dict[str, np.ndarray], total: np.ndarray) -> None:
+        """Set the evidence tables: the signed root of the likelihood ratio of a word or prefix being as frequent in toxic texts as in others, beyond CHANCE.
+
+        ``seen`` counts by class the texts that hold each, ``total`` all texts.
+        """
         for k, (clean, toxic) in seen.items():
             there, size = np.stack((clean, toxic)), clean + toxic
             usual = total[:, None] * size / total.sum()
@@ -184,34 +180,42 @@ class Network:
 
         A toxic text's windows count by how toxic they look beside its most
         toxic one (all alike in the first fifth of the steps), so what is
-        harmless in it is not learned as toxic. Few texts are read more often,
-        for STEPS_LEAST steps in all.
+        harmless in it is not learned as toxic. A step takes whole texts, of
+        BATCH windows together. Few texts are read more often, for STEPS_LEAST
+        steps in all. The evidence tables are to be set before.
         """
         rng = np.random.default_rng(seed)
-        self._weigh(texts, labels)
+        sizes = np.concatenate([np.zeros(0, np.int64), *(Words(b).sizes() for b in blocks(texts, 1 << 20))])
         learned = {k: x for k, x in self.p.items() if k not in ("word", "prefix")}
         m = {k: np.zeros_like(x) for k, x in learned.items()}
         v = {k: np.zeros_like(x) for k, x in learned.items()}
-        weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum())) * len(labels)
-        step, batches = 0, -(-len(texts) // (BATCH // TRAIN_WINDOWS))
-        epochs = max(epochs, -(-STEPS_LEAST // max(1, batches)))
+        many = np.bincount(labels, sizes, 2)
+        weight = (0.5 / np.maximum(1, many))[labels] * sizes.sum()
+        step, batches = 0, max(1, int(sizes.sum()) // BATCH)
+        epochs = max(epochs, -(-STEPS_LEAST // batches))
         for epoch in range(epochs):
-            order = rng.permutation(len(texts))
-            for at in range(0, len(order), BATCH // TRAIN_WINDOWS):
-                pick = order[at : at + BATCH // TRAIN_WINDOWS]
+            order = rng.permutation(np.flatnonzero(sizes))
+            turn = (np.cumsum(sizes[order]) - sizes[order]) // BATCH
+            for pick in np.split(order, np.flatnonzero(np.diff(turn)) + 1):
                 f = Words([texts[i].encode("utf-8", "surrogatepass") for i in pick])
-                windows, text = f.windows(TRAIN_WINDOWS)
+                windows, text = f.windows()
                 if not len(windows):
                     continue
                 y, w, keep = labels[pick][text], weight[pick][text], {}
-                got = self.logits(f, windows, keep)
-                chance = _sigmoid(got)
+                # the windows of long texts pass in chunks, a second time for the gradient
+                parts = [slice(a, a + CHUNK) for a in range(0, len(windows), CHUNK)]
+                chance = _sigmoid(np.concatenate([self.logits(f, windows[c], keep if len(parts) == 1 else None) for c in parts]))
                 if 5 * epoch >= epochs:
                     top = np.zeros(len(pick))
                     np.maximum.at(top, text, chance)
                     w = np.where(y == 1, w * chance / np.maximum(top[text], 1e-6), w)
                 grad = ((chance - y) * w / len(windows)).astype(np.float32)
-                grads = self.gradient(f, windows, grad, keep)
+                grads: dict[str, np.ndarray] = {}
+                for c in parts:
+                    if len(parts) > 1:
+                        self.logits(f, windows[c], keep)
+                    for k, x in self.gradient(f, windows[c], grad[c], keep).items():
+                        grads[k] = grads[k] + x if k in grads else x
                 step += 1
                 for k, x in learned.items():
                     m[k] += 0.1 * (grads[k] - m[k])
@@ -275,32 +279,34 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = reduce(DataFrame.unionByName, [marks.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound) for k in (0, 1)])
     # one row per id: repeated documents train once
-    sample = id_and_text(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
-
-    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame["parts"] = [_spread(t) for t in frame["text"]]
-            yield frame[["doc_id", "toxic", "parts"]]
-
-    rows = sample.mapInPandas(spread, "doc_id long, toxic int, parts array<string>").toPandas().sort_values("doc_id")
+    sample = cut(id_and_text(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")))
+    rows = sample.toPandas().sort_values("doc_id")
     net = Network()
     y = rows["toxic"].to_numpy(np.int64)
     if len(set(y.tolist())) < 2:
         return Model(net, None)
-    net.fit(["\n".join(p) for p in rows["parts"]], y)
+    net.weigh(evidence(sample), np.bincount(y, minlength=2).astype(float))
+    net.fit(rows["text"].tolist(), y)
     feats = sample.select("doc_id", "toxic", _features(net)("text").alias("f")).toPandas().sort_values("doc_id")
     x, y = np.array(feats["f"].tolist()), feats["toxic"].to_numpy(np.int64)
     return Model(net, logistic(x, y))
 
 
-def _spread(text: str) -> list[str]:
-    """At most TRAIN_WINDOWS evenly spread stretches of a training text."""
-    words = text.split()
-    span = STEPS + (TRAIN_WINDOWS - 1) * STRIDE
-    if len(words) <= span:
-        return [" ".join(words)]
-    at = np.linspace(0, len(words) - STEPS, TRAIN_WINDOWS).astype(int).tolist()
-    return [" ".join(words[a : a + STEPS]) for a in at]
+def evidence(sample: DataFrame) -> dict[str, np.ndarray]:
+    """By class, the number of texts that hold each word or prefix (by slot), counted over the whole texts of ``sample`` (toxic, text)."""
+
+    def held(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for text, label in zip(frame["text"], frame["toxic"], strict=True):
+                f = Words([text.encode("utf-8", "surrogatepass")])
+                for k in ("word", "prefix"):
+                    yield pd.DataFrame({"toxic": label, "kind": k, "slot": np.unique(getattr(f, k))})
+
+    counts = sample.select("toxic", "text").mapInPandas(held, "toxic int, kind string, slot int").groupBy("toxic", "kind", "slot").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    seen = {k: np.zeros((2, SLOTS[k])) for k in ("word", "prefix")}
+    for k, part in counts.groupby("kind"):
+        seen[k][part["toxic"], part["slot"]] = part["n"]
+    return seen
 
 
 def _features(net: Network):

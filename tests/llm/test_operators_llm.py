@@ -390,6 +390,19 @@ def test_toxicity_learns_and_uses_only_the_text(spark):
     assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} == set(got.index[got["predicted"] == 0])
 
 
+def test_toxicity_trains_on_whole_texts(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(180):
+        text = [f"w{k}" for k in rng.integers(0, 300, 600)]
+        if i % 2:
+            text[int(rng.integers(45, 60))] = "scum"  # between what eight spread stretches of 24 words would hold
+        rows.append((i, " ".join(text), i % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.toxicity(df, df.select("doc_id", "toxic")).filter("held_out").toPandas()
+    assert (got["predicted"] == got["doc_id"] % 2).mean() >= 0.95
+
+
 def test_classifiers_on_awkward_rows(awkward, spark):
     none = spark.createDataFrame([(None, 1, 1), (1, None, None), (2, 0, 0)], "doc_id long, toxic int, quality int")
     got = toxicity.toxicity(awkward, none).collect()

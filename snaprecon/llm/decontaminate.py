@@ -6,7 +6,9 @@ of a shorter item) are hashed and joined. A matched run is kept when its slots
 are consistent: along one alignment every benchmark value of a slot type must
 meet always the same document value and the other way round, so a question
 asked again with other numbers is found and a chance template match is not.
-In an inconsistent run only the windows copied word for word count.
+In an inconsistent run only the windows copied word for word count, and so it
+is with windows of which less than half are literal words: their hash is of
+the values.
 
 A name is a capitalised word inside a sentence, which copies in another case
 lose; so each side is hashed twice, with and without the name slot.
@@ -89,7 +91,7 @@ def rolling(tokens: np.ndarray, width: int) -> np.ndarray:
 
 
 def _literal_enough(t: dict, form: str, width: int) -> np.ndarray:
-    """Windows of which at least half are literal words: slots alone say nothing."""
+    """Windows of which at least half are literal words: of others, slots alone say nothing, and only an exact copy counts."""
     literal = (t["slot"] == LITERAL) & ~(t["named"] if form == "names" else np.zeros(len(t["slot"]), bool))
     total = np.concatenate(([0], np.cumsum(literal)))
     return 2 * (total[width:] - total[:-width]) >= width
@@ -104,8 +106,9 @@ def _item_windows(items: list[tuple[int, bytes]], width: int, least: int) -> pd.
         w = min(width, n)
         if w < least:
             continue
-        for form in ("plain", "names"):
-            keep = _literal_enough(t, form, w)
+        for form in ("plain", "names", "value"):
+            # what is too poor in literals to be known by its template is known by its values
+            keep = ~_literal_enough(t, "plain", w) if form == "value" else _literal_enough(t, form, w)
             slot = np.where(t["named"], NAME, t["slot"]) if form == "names" else t["slot"]
             for at in np.flatnonzero(keep).tolist():
                 rows.append((int(rolling(t[form][at : at + w], w)[0].view(np.int64)), form, w, item_id, at, slot[at : at + w].astype(np.int8).tobytes(), t["value"][at : at + w].tobytes()))

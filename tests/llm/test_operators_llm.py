@@ -337,6 +337,13 @@ def test_contamination(spark):
     assert hits == {(1, 1): False, (2, 1): True, (3, 4): True, (8, 1): False}
 
 
+def test_contamination_by_items_of_numbers(spark):
+    bench = spark.createDataFrame([(1, "12 + 7 + 33 - 5 = what number"), (2, "2 3 5 7 11 13 17 19 23 29 31 37 41 43 47 and then")], "item_id long, text string")
+    rows = [(1, "Solve this. 12 + 7 + 33 - 5 = what number, please"), (2, "13 + 8 + 34 - 6 = what number"), (3, "primes 3 5 7 11 13 17 19 23 29 31 37 41 43 follow"), (4, "4 6 8 10 12 14 16 18 20 22 24 26 28 30 32")]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["reparameterised"]) for r in got} == {(1, 1, False), (3, 2, False)}
+
+
 def test_contaminated_documents_go_and_others_stay(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     bad = {r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()}

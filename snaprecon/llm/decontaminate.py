@@ -1,14 +1,17 @@
 """Benchmark decontamination by template windows.
 
 Both sides are brought to templates: numbers, units and names become typed
-placeholders, other words are lower-cased. Windows of 13 template tokens (all
-of a shorter item) are hashed and joined. A matched run is kept when its slots
-are consistent: along one alignment every benchmark value of a slot type must
-meet always the same document value and the other way round, so a question
-asked again with other numbers is found and a chance template match is not.
-In an inconsistent run only the windows copied word for word count, and so it
-is with windows of which less than half are literal words: their hash is of
-the values.
+placeholders, other words are lower-cased. A number phrase (twenty five, two
+hundred and six, 3 million) is one placeholder, and so is a name of several
+words. Windows of 13 template tokens (all of a shorter item) are hashed and
+joined. Along one alignment, two equal names, two equal units, or two equal
+numbers before the same word that lie within one window of each other must
+meet the same document value; a window that holds a slot which does not is
+refused, unless it is copied word for word. So a question asked again with
+other values is found and a chance template match is not. Equal numbers before
+different words are different quantities, and different values may become
+equal. Windows of which less than half are literal words are hashed by their
+values: of them only exact copies count.
 
 A name is a capitalised word inside a sentence, which copies in another case
 lose; so each side is hashed twice, with and without the name slot.
@@ -44,6 +47,9 @@ NUMBER_WORDS = (
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
     "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
 ).split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+DIGITS = "one two three four five six seven eight nine".split()
+SCALES = "hundred thousand million billion".split()
 LITERAL, NUMBER, UNIT, NAME = 0, 1, 2, 3
 
 
@@ -61,8 +67,20 @@ _FOLD[65:91] += 32
 _SLOT = mix(np.array([0, 1, 2, 3], np.uint64) + np.uint64(77))
 
 
-def template(block: list[bytes]) -> dict[str, np.ndarray]:
-    """Tokens of the texts: text number, byte start and end (in the text), slot type, value hash, hashes of the two template forms."""
+def _merged(t: dict[str, np.ndarray], follows: np.ndarray) -> dict[str, np.ndarray]:
+    """The tokens with each that ``follows`` its neighbour made one with it; the value of several is a hash of all."""
+    head = np.flatnonzero(~follows)
+    if len(head) == len(follows):
+        return t
+    size = np.diff(np.append(head, len(follows)))
+    place = (np.arange(len(follows)) - np.repeat(head, size) + 1).astype(np.uint64)
+    value = np.where(size > 1, mix(np.add.reduceat(mix(t["value"] + place), head)), t["value"][head])
+    out = {k: x[head] for k, x in t.items()}
+    return out | {"value": value, "end": t["end"][head + size - 1], "slot": t["slot"][head + size - 1]}
+
+
+def template(block: list[bytes]) -> dict[str, dict[str, np.ndarray]]:
+    """Of both forms (plain, names) the tokens of the texts: text number, byte start and end (in the text), slot type, value hash, template hash."""
     data, starts = joined(block)
     kind = _CLASS[data]
     word = (kind == 1) | (kind == 2)
@@ -78,9 +96,30 @@ def template(block: list[bytes]) -> dict[str, np.ndarray]:
     text = np.searchsorted(starts, first, "right") - 1
     inside = np.zeros(len(first), bool)
     inside[1:] = stops[first[1:]] == stops[last[:-1]]
+    # only blanks or one hyphen before it
+    near = np.zeros(len(first), bool)
+    blanks = np.concatenate(([0], np.cumsum(data == 32)))
+    gap = first[1:] - last[:-1]
+    near[1:] = (blanks[first[1:]] - blanks[last[:-1]] == gap) | ((gap == 1) & (data[last[:-1]] == 45))
+    near[1:] &= text[1:] == text[:-1]
+    tens, ones, scale, link = (np.isin(low, _hashes_of(w)) for w in (TENS, DIGITS, SCALES, ["and"]))
+    spelt = (slot == NUMBER) & ~digit[first]
+    follows = np.zeros(len(first), bool)
+    follows[1:] = (tens[:-1] & ones[1:]) | ((slot[:-1] == NUMBER) & scale[1:]) | (scale[:-1] & spelt[1:])
+    follows &= near
+    middle = np.flatnonzero(link[1:-1] & scale[:-2] & spelt[2:] & near[1:-1] & near[2:]) + 1
+    follows[middle] = follows[middle + 1] = True
     named = inside & (slot == LITERAL) & (data[first] >= 65) & (data[first] < 91)
-    plain = np.where(slot > 0, _SLOT[slot], low)
-    return {"text": text, "start": first - starts[text], "end": last - starts[text], "slot": slot, "named": named, "value": low, "plain": plain, "names": np.where(named, _SLOT[NAME], plain)}
+    tokens = {"text": text, "start": first - starts[text], "end": last - starts[text], "slot": slot, "value": low}
+    out = {"plain": _merged(tokens, follows)}
+    with_names = follows.copy()
+    with_names[1:] |= named[1:] & named[:-1] & near[1:]
+    out["names"] = _merged(tokens | {"slot": np.where(named, NAME, slot).astype(np.int8)}, with_names)
+    for t in out.values():
+        t["hash"] = np.where(t["slot"] > 0, _SLOT[t["slot"]], t["value"])
+    out["plain"]["raw"] = np.bincount(text, minlength=len(block))
+    # known by values: the plain tokens without their templates
+    return out | {"value": out["plain"] | {"hash": out["plain"]["value"]}}
 
 
 def rolling(tokens: np.ndarray, width: int) -> np.ndarray:
@@ -90,28 +129,25 @@ def rolling(tokens: np.ndarray, width: int) -> np.ndarray:
     return mix(out + np.uint64(width))
 
 
-def _literal_enough(t: dict, form: str, width: int) -> np.ndarray:
+def _literal_enough(t: dict, width: int, least: int) -> np.ndarray:
     """Windows of which at least half are literal words: of others, slots alone say nothing, and only an exact copy counts."""
-    literal = (t["slot"] == LITERAL) & ~(t["named"] if form == "names" else np.zeros(len(t["slot"]), bool))
-    total = np.concatenate(([0], np.cumsum(literal)))
-    return 2 * (total[width:] - total[:-width]) >= width
+    total = np.concatenate(([0], np.cumsum(t["slot"] == LITERAL)))
+    return 2 * (total[width:] - total[:-width]) >= max(width, least)
 
 
 def _item_windows(items: list[tuple[int, bytes]], width: int, least: int) -> pd.DataFrame:
     """Every window of every item: hash, form, width, item_id, position, and the item's slots and values (as bytes)."""
     rows = []
     for item_id, raw in items:
-        t = template([raw])
-        n = len(t["plain"])
-        w = min(width, n)
-        if w < least:
+        forms = template([raw])
+        if forms["plain"]["raw"].sum() < least:
             continue
-        for form in ("plain", "names", "value"):
+        for form, t in forms.items():
+            w = min(width, len(t["hash"]))
             # what is too poor in literals to be known by its template is known by its values
-            keep = ~_literal_enough(t, "plain", w) if form == "value" else _literal_enough(t, form, w)
-            slot = np.where(t["named"], NAME, t["slot"]) if form == "names" else t["slot"]
+            keep = _literal_enough(t, w, min(least, width)) != (form == "value")
             for at in np.flatnonzero(keep).tolist():
-                rows.append((int(rolling(t[form][at : at + w], w)[0].view(np.int64)), form, w, item_id, at, slot[at : at + w].astype(np.int8).tobytes(), t["value"][at : at + w].tobytes()))
+                rows.append((int(rolling(t["hash"][at : at + w], w)[0].view(np.int64)), form, w, item_id, at, t["slot"][at : at + w].astype(np.int8).tobytes(), t["value"][at : at + w].tobytes()))
     return pd.DataFrame(rows, columns=["hash", "form", "width", "item_id", "position", "slots", "values"])
 
 
@@ -130,14 +166,27 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH, least: int = MIN
     return items.mapInPandas(run, _WINDOWS)
 
 
-def consistent(slots: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> bool:
-    """Whether the slot values map one to one, by slot type."""
-    there: dict = {}
-    back: dict = {}
-    for kind, a, b in zip(slots.tolist(), ours.tolist(), theirs.tolist(), strict=True):
-        if kind != LITERAL and (there.setdefault((kind, a), b) != b or back.setdefault((kind, b), a) != a):
-            return False
-    return True
+def clashes(at: np.ndarray, slots: np.ndarray, ours: np.ndarray, theirs: np.ndarray, reach: int) -> set[int]:
+    """Positions of equal slots of an item (``at`` ascending) that meet different values less than ``reach`` tokens apart.
+
+    Numbers are equal if the next token is equal too; one whose next token did
+    not match is a quantity of its own.
+    """
+    seen: dict[tuple, list[tuple[int, int]]] = {}
+    bad: set[int] = set()
+    positions, values, there = at.tolist(), ours.tolist(), theirs.tolist()
+    for n in np.flatnonzero(slots != LITERAL).tolist():
+        key = (int(slots[n]), values[n])
+        if slots[n] == NUMBER:
+            if n + 1 == len(positions) or positions[n + 1] != positions[n] + 1:
+                continue
+            key += (values[n + 1],)
+        earlier = [(p, v) for p, v in seen.get(key, ()) if positions[n] - p < reach]
+        for p, v in earlier:
+            if v != there[n]:
+                bad |= {p, positions[n]}
+        seen[key] = [*earlier, (positions[n], there[n])]
+    return bad
 
 
 def _scan(shared, width: int):
@@ -158,12 +207,13 @@ def _scan(shared, width: int):
             ids, rows, at = frame["doc_id"].tolist(), [], 0
             for block in blocks(frame["text"]):
                 own, at = ids[at : at + len(block)], at + len(block)
-                t = template(block)
+                forms = template(block)
                 found: dict[tuple[int, int], dict] = {}
                 for (form, w), (keys, gate, item_of, position_of, slots_of, values_of) in index.items():
-                    if len(t[form]) < w:
+                    t = forms[form]
+                    if len(t["hash"]) < w:
                         continue
-                    h = rolling(t[form], w)
+                    h = rolling(t["hash"], w)
                     # a window lies in one text and, of its keys, one is found
                     maybe = np.flatnonzero(gate[(h & np.uint64((1 << 20) - 1)).astype(np.int64)] & (t["text"][: len(h)] == t["text"][w - 1 :]))
                     lo = np.searchsorted(keys, h[maybe], "left")
@@ -174,15 +224,21 @@ def _scan(shared, width: int):
                             aligned.setdefault((form, p - position_of[k]), []).append((p, w, slots_of[k], values_of[k]))
                 for (n, item), aligned in found.items():
                     good, changed, spans = set(), False, []
-                    for matches in aligned.values():
-                        theirs = [t["value"][p : p + w] for p, w, _, _ in matches]
-                        if not consistent(np.concatenate([m[2] for m in matches]), np.concatenate([m[3] for m in matches]), np.concatenate(theirs)):
+                    for (form, _), matches in aligned.items():
+                        t = forms[form]
+                        same = [bool((values == t["value"][p : p + w]).all()) for p, w, _, values in matches]
+                        bad: set[int] = set()
+                        if not all(same):
+                            at_all = np.concatenate([np.arange(p, p + w) for p, w, _, _ in matches])
+                            own_at, once = np.unique(at_all, return_index=True)
+                            bad = clashes(own_at, np.concatenate([m[2] for m in matches])[once], np.concatenate([m[3] for m in matches])[once], t["value"][own_at], matches[0][1])
+                        for (p, w, _, _), copied in zip(matches, same, strict=True):
                             # what is copied word for word counts all the same
-                            kept = [bool((m[3] == x).all()) for m, x in zip(matches, theirs, strict=True)]
-                            matches, theirs = [m for m, ok in zip(matches, kept, strict=True) if ok], [x for x, ok in zip(theirs, kept, strict=True) if ok]
-                        good |= {m[0] for m in matches}
-                        changed |= any(bool((m[3] != x).any()) for m, x in zip(matches, theirs, strict=True))
-                        spans += [(int(t["start"][m[0]]), int(t["end"][m[0] + m[1] - 1])) for m in matches]
+                            if copied or bad.isdisjoint(range(p, p + w)):
+                                # by its place in the text, so a window found in both forms counts once
+                                good.add(int(t["start"][p]))
+                                changed |= not copied
+                                spans.append((int(t["start"][p]), int(t["end"][p + w - 1])))
                     if good:
                         rows.append((own[n], item, len(good), min(s for s, _ in spans), max(e for _, e in spans), changed))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_windows", "first_start", "last_end", "reparameterised"])
@@ -195,7 +251,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, leas
 
     doc_id, item_id, n_windows (matched windows), first_start and last_end
     (bytes of the text from the first to the last match), reparameterised
-    (whether a slot value differs). Documents without a match have no row.
+    (whether a slot value differs). A window with a slot that clashes (see
+    :func:`clashes`) counts only as an exact copy; the others of its run stay. Documents without a match have no row.
     Null ids, null and empty texts never match; repeated documents give one
     row; an item whose windows repeat in a text counts each. Other columns are
     ignored. Either table may be empty.

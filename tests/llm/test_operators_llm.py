@@ -344,6 +344,20 @@ def test_contamination_by_items_of_numbers(spark):
     assert {(r["doc_id"], r["item_id"], r["reparameterised"]) for r in got} == {(1, 1, False), (3, 2, False)}
 
 
+def test_contamination_with_values_changed_apart(spark):
+    bench = [(1, "Tom buys 3 apples at the market and eats them all within 3 days of coming home"), (2, "A bus leaves at 9 and drives 120 miles until it stops after 3 hours"), (3, "When Anna sells 25 red boxes of green apples to the neighbour"), (4, "the cook gives 3 apples to a girl and later gives 3 apples to a boy")]
+    rows = [
+        (1, "Tom buys 4 apples at the market and eats them all within 5 days of coming home"),
+        (2, "A bus leaves at 5 and drives 120 miles until it stops after 5 hours"),
+        (3, "When Mary Ann sells twenty five red boxes of green apples to the neighbour"),
+        (4, "When Anna sells two hundred and six red boxes of green apples to the neighbour"),
+        (5, "the cook gives 4 apples to a girl and later gives 5 apples to a boy"),
+        (6, "the cook gives 4 apples to a girl and later gives 4 apples to a boy"),
+    ]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["reparameterised"]) for r in got} == {(1, 1, True), (2, 2, True), (3, 3, True), (4, 3, True), (6, 4, True)}
+
+
 def test_contaminated_documents_go_and_others_stay(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     bad = {r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()}

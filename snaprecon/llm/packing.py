@@ -27,18 +27,19 @@ from pyspark.sql import DataFrame
 from snaprecon.llm._common import id_and_text
 
 WINDOW = 1024
+END = "<|endoftext|>"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def byte_bpe(rank_file: str) -> Callable[[str], np.ndarray]:
-    """Encoder for a byte-level BPE rank file; strings of special tokens are ordinary text."""
+    """Encoder for a byte-level BPE rank file; ``END`` in a text is the special token after the last rank, as it is to `tokenizers`."""
     import public_tokenizers
     import tiktoken
 
     with open(rank_file, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    coder = tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: np.array(coder.encode_ordinary(text), np.uint32)
+    coder = tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={END: max(ranks.values()) + 1})
+    return lambda text: np.array(coder.encode(text, allowed_special="all"), np.uint32)
 
 
 class Packer:

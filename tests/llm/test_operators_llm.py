@@ -236,6 +236,15 @@ def test_pack_holds_every_id_once(request, which):
         assert list(s["offset"]) == [0, *np.cumsum(s["length"])[:-1]] and s["length"].sum() <= 1024
 
 
+def test_special_strings_are_encoded_as_by_tokenizers():
+    from tokenizers import Tokenizer
+
+    t, encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.byte_bpe(RANKS)
+    assert encode("a<|endoftext|>b").tolist() == [64, 50256, 65]
+    for text in ("<|endoftext|>", "one  <|endoftext|>  two<|endoftext|><|endoftext|>", "<|endoftext", "a \n<|endoftext|>\n\n b", "plain ✓ text"):
+        assert encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 # ---- merging runs, repeated bytes, language model
 
 

@@ -1,7 +1,10 @@
 """Secret scan with a random forest that removes false positives.
 
-Candidates are runs of 16 and more letters, digits and + / _ - =. Each is
-described by its length, its changes between character classes, its shares of
+Candidates are runs of 16 and more letters, digits and + / _ -, with the parts
+that dots join to them and = as padding; after a name and a sign of assignment
+also shorter values: 8 and more characters with a digit, 4 and more after a
+name that says key, token, password and the like. The name and the sign belong
+to the neighbouring text, not to the candidate. Each candidate is described by its length, its changes between character classes, its shares of
 digits and distinct characters, the share that words of the corpus's own
 dictionary cover, its document's path (source) and the words beside it. The
 forest is trained on labelled findings and scores every candidate.
@@ -22,12 +25,21 @@ from pyspark.sql import functions as F
 
 from snaprecon.llm._common import cut
 
-CANDIDATE = "[A-Za-z0-9+/_=-]{16,}"
+KEY_NAMES = "(?i)(api|token|secret|passw|pwd|auth|bearer|credential|private|access|key)"
+_RUN = "[A-Za-z0-9+/_-]"
+_SIGN = "[\"']?[ \\t]{0,4}[=:][ \\t]{0,4}[\"']?"
+_SHORT = rf"{_RUN}++(?:\.{_RUN}++)*+"
+#: a run of 16 with what dots join to it, or a value assigned to a name (the first look behind is the quick one)
+CANDIDATE = (
+    rf"(?<!{_RUN})(?:(?:{_RUN}++\.)*{_RUN}{{16,}}+(?:\.{_RUN}++)*+"
+    rf"|(?<=[=:][ \t]{{0,4}}[\"']?)(?:(?<=[A-Za-z0-9_-]{_SIGN})(?=[A-Za-z+/_.-]*+[0-9])(?={_RUN}[A-Za-z0-9+/_.-]{{7}}){_SHORT}"
+    rf"|(?<={KEY_NAMES}[A-Za-z0-9_-]{{0,24}}{_SIGN})(?-i:(?={_RUN}[A-Za-z0-9+/_.-]{{3}}){_SHORT})))"
+    rf"(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?+"
+)
 RUN = "[a-z]{3,}"
 MIN_DOCS = 5
 TRAIN_ROWS = 20_000
 NEAR = 48
-KEY_NAMES = "(?i)(api|token|secret|passw|pwd|auth|bearer|credential|private|access|key)"
 FEATURES = ["length", "changes", "digits", "uppers", "distinct", "hex", "covered", "path", "assigned", "quoted", "named", "word_before", "word_after"]
 
 
@@ -35,12 +47,15 @@ def candidates(docs: DataFrame) -> DataFrame:
     """One row per candidate: doc_id, ordinal (in the text), candidate, before, after, source.
 
     ``before`` and ``after`` are the text beside it, as far as the next
-    candidate and ``NEAR`` characters at most. Null and empty texts have none.
+    candidate and ``NEAR`` characters at most; where only a sign of assignment
+    lies before it, the name is the candidate before, and ``before`` has its
+    end too. Null and empty texts have none.
     """
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), source.alias("source"))
     found = rows.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", "source", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE, -1).alias("parts"))
-    before = F.transform("parts", lambda p: F.right(p, F.lit(NEAR)))
+    named = lambda p, k: F.when((k > 0) & p.rlike(f"^{_SIGN}$"), F.concat(F.get("found", k - 1), p)).otherwise(p)
+    before = F.transform("parts", lambda p, k: F.right(named(p, k), F.lit(NEAR)))
     after = F.transform("parts", lambda p: F.left(p, F.lit(NEAR)))
     zipped = F.arrays_zip(F.col("found").alias("found"), before.alias("before"), F.slice(after, 2, F.size("found")).alias("after"))
     each = found.select("doc_id", "source", F.posexplode(F.slice(zipped, 1, F.size("found"))).alias("ordinal", "c"))
@@ -82,14 +97,16 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
 def seed_labels(found: DataFrame) -> DataFrame:
     """Labelled findings where nobody has reviewed any: doc_id, ordinal, secret.
 
-    1 for a quoted value assigned to a name that says key, token, password and
-    the like and mixing letters with digits; 0 for a candidate without digits
-    or without any name or sign of assignment before it; the rest stays
-    unlabelled.
+    1 for a value assigned to a name that says key, token, password and the
+    like, in quotes or right after =, and mixing letters with digits; 0 for a
+    candidate that is not assigned to such a name and has no digits, no
+    letters or no sign of assignment before it; the rest stays unlabelled.
     """
     mixed = F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
-    sign = F.col("before").rlike(KEY_NAMES + "\\w*\\s*[\"']?\\s*[=:]\\s*[\"']$")
-    label = F.when(mixed & sign, 1).when(~mixed | ~F.col("before").rlike("[=:]\\s*[\"']?$"), 0)
+    key = KEY_NAMES + "[\\w-]*\\s*[\"']?\\s*"
+    sign = F.col("before").rlike(key + "([=:]\\s*[\"']|=)$")
+    assigned = F.col("before").rlike(key + "[=:]\\s*[\"']?$")
+    label = F.when(mixed & sign, 1).when(assigned, None).when(~mixed | ~F.col("before").rlike("[=:]\\s*[\"']?$"), 0)
     return found.select("doc_id", "ordinal", label.alias("secret")).filter("secret is not null")
 
 

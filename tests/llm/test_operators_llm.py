@@ -471,6 +471,26 @@ def test_candidates_lie_between_their_neighbours(spark):
     assert got == [(0, "key=AAAAAAAAAAAAAAAA1", "aa ", " mid "), (1, "BBBBBBBBBBBBBBBB2", " mid ", " end")] or got[0][1].endswith("A1")
 
 
+def test_unquoted_and_short_secrets(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N-XgL0n3I9P"
+    rows = ["API_KEY=abcd1234efgh5678", 'password = "hunter42x"', "PASSWORD=hunter2", f"Authorization: Bearer {jwt} end", "https://h.io/p?token=abcd1234efgh5678&page=2", "MY_SERVICE_API_TOKEN=ab12cd34", "colour: plain, size=3", "padded QUJDREVGR0hJSktMTU5P== end", "id=abc12345x"]
+    want = ["abcd1234efgh5678", "hunter42x", "hunter2", jwt, "abcd1234efgh5678", "ab12cd34", None, "QUJDREVGR0hJSktMTU5P==", "abc12345x"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = secret_scan.candidates(df)
+    got = {r["doc_id"]: (r["candidate"], r["ordinal"], r["before"]) for r in found.orderBy("ordinal").collect()}
+    assert [got.get(i, (None,))[0] for i in range(len(rows))] == want
+    assert got[0][2] == "API_KEY=" and got[5][2] == "MY_SERVICE_API_TOKEN="
+    marks = {(r["doc_id"], r["ordinal"]): r["secret"] for r in secret_scan.seed_labels(found).collect()}
+    assert all(marks.get((i, got[i][1])) == 1 for i in (0, 1, 2, 4, 5)) and marks.get((7, 0)) == 0
+
+
+def test_unquoted_secrets_are_learned(spark):
+    rows = [(i, f"export API_KEY={hashlib.sha1(str(i).encode()).hexdigest()[:20]} in the file") for i in range(60)]
+    rows += [(100 + i, f"a plain {'verylongwordwithoutend' * (1 + i % 2)} in a sentence of words {i}") for i in range(60)]
+    got = secret_scan.secret_scan(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    assert set(got[got["secret"]]["doc_id"]) == set(range(60)) and len(got) == 120
+
+
 # ---- token rollups
 
 

@@ -22,12 +22,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
-    return exact_dedup.drop_copies(docs)
+    """Of equal texts one row stays, that with the largest id."""
+    return exact_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest id stays."""
+    """Of each SimHash component one row stays, that with the smallest id."""
     return simhash.drop_near_copies(docs, words=4, max_bits=4)
 
 

@@ -46,6 +46,23 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def digest(docs: DataFrame):
+    """The binary SHA-256 of each whole text (null: empty)."""
+    return F.unhex(F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")), 256))
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """``docs`` by a decision (doc_id, digest, kept) for each of its rows; rows equal in doc_id and text keep one.
+
+    Rows that are kept only once, nearly all, do not move for it.
+    """
+    keys = decided.groupBy("doc_id", "digest").agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    keys = keys.filter("not kept or n > 1").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "kept")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (digest(docs) == F.col("__digest"))
+    again = docs.join(keys.filter("kept").withColumnRenamed("kept", "__kept"), same).dropDuplicates(["__id", "__digest"])
+    return docs.join(keys, same, "left_anti").unionByName(again.select(*[again[c] for c in docs.columns]))
+
+
 def blocks(texts: Iterable[str | None], limit: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
     """The texts as UTF-8 bytes, in lists of about ``limit`` bytes (one longer text makes its own list)."""
     block, size = [], 0

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaprecon.llm._common import SpanHasher, blocks, id_and_text, joined, mix, runs
+from snaprecon.llm._common import SpanHasher, blocks, digest, id_and_text, joined, mix, runs
 
 WIDTH = 13
 MIN_TOKENS = 5
@@ -257,25 +257,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, leas
     row; an item whose windows repeat in a text counts each. Other columns are
     ignored. Either table may be empty.
     """
+    return _hits(id_and_text(docs).filter("doc_id is not null and text <> ''"), benchmark, width, least)
+
+
+def _hits(rows: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: int = MIN_TOKENS) -> DataFrame:
+    """The rows of :func:`contaminated` for ``rows`` (doc_id of any type, text)."""
     from pyspark.sql import types as T
 
-    spark = docs.sparkSession
+    spark = rows.sparkSession
+    schema = T.StructType.fromDDL(_HITS)
+    schema["doc_id"].dataType = rows.schema["doc_id"].dataType
     windows = benchmark_windows(benchmark, width, least)
     sizes = windows.count()
     parts = max(1, -(-sizes // BLOCK_WINDOWS))
-    rows = id_and_text(docs).filter("doc_id is not null and text <> ''")
     found = []
     if sizes:
         windows = windows.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(parts)))
         for k in range(parts):
             block = windows.filter(F.col("part") == k).drop("part").toPandas()
             if len(block):
-                found.append(rows.mapInPandas(_scan(spark.sparkContext.broadcast(block), width), _HITS))
-    hits = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], T.StructType.fromDDL(_HITS))
+                found.append(rows.mapInPandas(_scan(spark.sparkContext.broadcast(block), width), schema))
+    hits = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
     return hits.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.min("first_start").alias("first_start"), F.max("last_end").alias("last_end"), F.max("reparameterised").alias("reparameterised"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage; rows without a doc_id stay."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long") == F.col("__bad"), "left_anti")
+    """``docs`` without the rows that hold a benchmark passage; each is judged by its text, whatever its doc_id."""
+    rows = docs.select(digest(docs).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter("text <> ''")
+    bad = _hits(rows, benchmark).select(F.col("doc_id").alias("__bad")).distinct()
+    return docs.join(bad, digest(docs) == F.col("__bad"), "left_anti")

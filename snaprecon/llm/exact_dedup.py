@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaprecon.llm._common import id_and_text
+from snaprecon.llm._common import id_and_text, keep_rows
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -174,6 +174,12 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     return docs.join(dropped, same, "left_anti")
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with exactly one row of each text, that of the largest doc_id; one of rows that share it or have none."""
+    decided = exact_dedup(docs).select("doc_id", F.unhex("text_sha256").alias("digest"), "kept")
+    return keep_rows(docs, decided)
+
+
 def _apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     index = DigestIndex()
     for frame in frames:

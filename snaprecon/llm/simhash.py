@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from snaprecon.llm._common import cut, id_and_text
+from snaprecon.llm._common import cut, digest, id_and_text, keep_rows
 from snaprecon.llm._components import components
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -59,15 +59,16 @@ def fingerprint_of(text: str, words: int = 4) -> int:
     return sum(1 << b for b in set_bits.tolist())
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, words: int = 4, with_digest: bool = False) -> DataFrame:
+    """doc_id, fp (the fingerprint's 64 bits as a signed long), and the text's digest if asked for."""
 
     @pandas_udf("long")
     def fp(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
             yield pd.Series(np.array([fingerprint_of(t, words) for t in texts], np.uint64).view(np.int64))
 
-    return id_and_text(docs).select("doc_id", fp("text").alias("fp"))
+    rows = id_and_text(docs)
+    return rows.select("doc_id", fp("text").alias("fp"), *([digest(rows).alias("digest")] if with_digest else []))
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -188,6 +189,14 @@ def near_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInPandas(_links(max_bits), "a long, b long").distinct()
 
 
+def _rooted(docs: DataFrame, words: int, max_bits: int, with_digest: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows' :func:`fingerprints`, and of each fp the root of its component and the least doc_id."""
+    marks = cut(fingerprints(docs, words, with_digest))
+    classes = cut(marks.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = components(near_links(classes, max_bits))
+    return marks, classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+
+
 def simhash_dedup(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for every row of ``docs``.
 
@@ -197,10 +206,7 @@ def simhash_dedup(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFra
     component of null ids alone has a null id). Repeated rows and other
     columns change nothing; an empty table gives no rows.
     """
-    marks = cut(fingerprints(docs, words))
-    classes = cut(marks.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(near_links(classes, max_bits))
-    rooted = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    marks, rooted = _rooted(docs, words, max_bits)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
@@ -208,6 +214,11 @@ def simhash_dedup(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFra
 
 
 def drop_near_copies(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with one document (the smallest doc_id) of each component; rows without a doc_id stay."""
-    extra = simhash_dedup(docs, words, max_bits).filter("doc_id <> component_id").select(F.col("doc_id").alias("__extra")).distinct()
-    return docs.join(extra, docs["doc_id"].cast("long") == F.col("__extra"), "left_anti")
+    """``docs`` with exactly one row of each component: the smallest doc_id (null last), then the smallest digest."""
+    marks, rooted = _rooted(docs, words, max_bits, with_digest=True)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    # the smallest of a fingerprint first, so a hot fingerprint or component is one row
+    best = marks.groupBy("fp").agg(F.min(rank).alias("best")).join(rooted.select("fp", "root"), "fp")
+    chosen = best.select("fp", "root").join(best.groupBy("root").agg(F.min("best").alias("best")), "root").select("fp", "best")
+    kept = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("digest") == F.col("best.digest"))
+    return keep_rows(docs, marks.join(chosen, "fp").select("doc_id", "digest", kept.alias("kept")))

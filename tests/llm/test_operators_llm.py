@@ -558,6 +558,21 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, docs, labels):
     assert set(got["doc_id"]) == set(rows) - bad
 
 
+def test_stages_keep_one_row_of_each_group(spark):
+    schema = "doc_id long, text string, lang string"
+    a, b = "one text of some words that is here again and again", "another text"
+    df = spark.createDataFrame([(1, a, "x"), (1, a, "x"), (None, a, "x"), (None, b, "y"), (None, b, "y"), (2, "two", "z"), (2, "quite different", "z"), (3, None, "n"), (3, "", "n")], schema)
+    left = corpus_pipeline.drop_copies(spark, df, SF)
+    assert left.columns == df.columns
+    want = [(1, a), (None, b), (2, "two"), (2, "quite different"), (3, "")]
+    assert sorted(map(str, texts(left))) == sorted(map(str, want))
+    assert sorted(map(str, texts(corpus_pipeline.drop_near_copies(spark, df, SF)))) == sorted(map(str, want))
+    leak = BENCH[0][1]
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    rows = spark.createDataFrame([(1, leak, "x"), (1, "clean", "x"), (None, leak, "x"), (None, "clean too", "x")], schema)
+    assert sorted(map(str, texts(decontaminate.drop_contaminated(rows, bench)))) == sorted(map(str, [(1, "clean"), (None, "clean too")]))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_says_the_same(spark, name):
     import duckdb

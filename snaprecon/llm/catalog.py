@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaprecon.llm import decontaminate, exact_dedup, lm_score, packing, quality, secret_scan, simhash, suffix_dedup, token_rollup, toxicity
+from snaprecon.llm import decontaminate, exact_dedup, lm_score, merkle, packing, quality, secret_scan, simhash, suffix_dedup, token_rollup, toxicity, whitening
 from snaprecon.llm._common import cut, read_table
 from snaprecon.session import fresh_path
 
@@ -78,7 +78,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_suffix_dedup, op3_lm_score, op4_simhash, op5_packing, op6_token_rollup, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_exact_dedup)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), 16)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof against the root, and the root that its copy (every other one without line breaks) comes to."""
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = read_table(spark, sf_dir, "documents").select(*columns)
+    values = [F.col(c) for c in columns]
+    stripped = F.replace("text", F.lit("\n"), F.lit(""))
+    tampered = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    leaves = docs.select("doc_id", "source", merkle.leaf(*values).alias("leaf"), F.when(tampered, merkle.leaf(*values[:-1], stripped)).alias("tampered"))
+    proofs = merkle.manifest(leaves, "source", ["doc_id", "leaf"], ["doc_id", "leaf", "tampered"])
+    folded = proofs.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_suffix_dedup, op3_lm_score, op4_simhash, op5_packing, op6_token_rollup, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_exact_dedup, op11_whitening, op12_merkle_manifest)}
 
 ORACLES = {
     "op10_exact_dedup": """
@@ -87,4 +104,58 @@ ORACLES = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, text_sha256
         FROM marked WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op12_merkle_manifest": """
+        WITH RECURSIVE fields AS (
+            SELECT doc_id, source, text, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+            FROM documents
+        ),
+        sums AS (  -- crc32 of the decimal doc_id, bit by bit
+            SELECT doc_id, list_reduce(list_prepend(4294967295::BIGINT, flatten([[ord(c)::BIGINT + 256, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')])),
+                   lambda r, b: CASE WHEN b >= 0 THEN xor(r, b - 256) WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END) AS crc
+            FROM (SELECT DISTINCT doc_id FROM documents)
+        ),
+        leaves AS (
+            SELECT f.doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) END AS tampered
+            FROM fields f LEFT JOIN sums s ON f.doc_id IS NOT DISTINCT FROM s.doc_id
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, row_number() OVER () AS row_id, count(*) OVER (PARTITION BY source) AS n FROM leaves
+        ),
+        tree AS (
+            SELECT source, 0 AS depth, pos, n, leaf AS h FROM placed
+            UNION ALL
+            SELECT source, any_value(depth) + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM tree WHERE n > 1 GROUP BY source, pos // 3
+        ),
+        subroots AS (
+            SELECT source, depth, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1
+        ),
+        top AS (
+            SELECT 0 AS depth, pos, n, subroot AS h FROM subroots
+            UNION ALL
+            SELECT any_value(depth) + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY pos // 3
+        ),
+        ways AS (  -- of each row, level by level, what stands left and right of its node
+            SELECT p.row_id, t.depth, coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos < p.pos // (3 ** t.depth)::BIGINT), '') AS l,
+                   coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos > p.pos // (3 ** t.depth)::BIGINT), '') AS r
+            FROM placed p JOIN tree t ON t.source IS NOT DISTINCT FROM p.source AND t.n > 1 AND t.pos // 3 = p.pos // (3 ** (t.depth + 1))::BIGINT
+            GROUP BY p.row_id, t.depth
+            UNION ALL
+            SELECT p.row_id, s.depth + t.depth, coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos < s.pos // (3 ** t.depth)::BIGINT), ''),
+                   coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos > s.pos // (3 ** t.depth)::BIGINT), '')
+            FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN top t ON t.n > 1 AND t.pos // 3 = s.pos // (3 ** (t.depth + 1))::BIGINT
+            GROUP BY p.row_id, s.depth, t.depth
+        ),
+        folds AS (
+            SELECT row_id, 0 AS depth, coalesce(tampered, leaf) AS h FROM placed
+            UNION ALL
+            SELECT f.row_id, f.depth + 1, sha256(l || h || r) FROM folds f JOIN ways w ON w.row_id = f.row_id AND w.depth = f.depth
+        ),
+        proofs AS (SELECT row_id, sha256(string_agg(l || r, '' ORDER BY depth)) AS proof_sha256 FROM ways GROUP BY row_id),
+        ends AS (SELECT row_id, max_by(h, depth) AS folded_root FROM folds GROUP BY row_id)
+        SELECT doc_id, leaf, subroot, (SELECT h FROM top WHERE n = 1) AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+               folded_root = (SELECT h FROM top WHERE n = 1) AS verified
+        FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN ends e ON e.row_id = p.row_id LEFT JOIN proofs q ON q.row_id = p.row_id
+    """,
 }

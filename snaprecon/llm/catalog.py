@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaprecon.llm import decontaminate, exact_dedup, lm_score, merkle, packing, quality, secret_scan, simhash, suffix_dedup, token_rollup, toxicity, whitening
+from snaprecon.llm import decontaminate, exact_dedup, lm_score, merkle, packing, quality, secret_scan, simhash, suffix_dedup, token_rollup, topk, toxicity, whitening
 from snaprecon.llm._common import cut, read_table
 from snaprecon.session import fresh_path
 
@@ -95,7 +95,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_suffix_dedup, op3_lm_score, op4_simhash, op5_packing, op6_token_rollup, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_exact_dedup, op11_whitening, op12_merkle_manifest)}
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_suffix_dedup, op3_lm_score, op4_simhash, op5_packing, op6_token_rollup, op7_secret_scan, op8_decontaminate, op9_toxicity, op10_exact_dedup, op11_whitening, op12_merkle_manifest, op13_topk)}
 
 ORACLES = {
     "op10_exact_dedup": """
@@ -158,4 +162,16 @@ ORACLES = {
                folded_root = (SELECT h FROM top WHERE n = 1) AS verified
         FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN ends e ON e.row_id = p.row_id LEFT JOIN proofs q ON q.row_id = p.row_id
     """,
+    "op13_topk": """
+        WITH whole AS (
+            SELECT row_number() OVER () AS row_id, vec_id, [floor(256 * c::DOUBLE) FOR c IN embedding] AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        ),
+        pairs AS (
+            SELECT q.row_id, q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+            FROM whole q JOIN whole c ON c.vec_id IS DISTINCT FROM q.vec_id WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY row_id ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank, vec_id, score
+        FROM pairs QUALIFY rank <= 5
+    """,
 }

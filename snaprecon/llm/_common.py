@@ -56,10 +56,11 @@ def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
     Rows that are kept only once, nearly all, do not move for it.
     """
-    keys = decided.groupBy("doc_id", "digest").agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    keys = keys.filter("not kept or n > 1").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "kept")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (digest(docs) == F.col("__digest"))
-    again = docs.join(keys.filter("kept").withColumnRenamed("kept", "__kept"), same).dropDuplicates(["__id", "__digest"])
+    own_id, own_digest, mark = (free_name(docs, name) for name in ("__id", "__digest", "__kept"))
+    keys = decided.groupBy("doc_id", "digest").agg(F.first("kept").alias(mark), F.count(F.lit(1)).alias("n"))
+    keys = keys.filter(f"not {mark} or n > 1").select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest), mark)
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(own_id)) & (digest(docs) == F.col(own_digest))
+    again = docs.join(keys.filter(mark), same).dropDuplicates([own_id, own_digest])
     return docs.join(keys, same, "left_anti").unionByName(again.select(*[again[c] for c in docs.columns]))
 
 

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaprecon.llm._common import SpanHasher, blocks, digest, id_and_text, joined, mix, runs
+from snaprecon.llm._common import SpanHasher, blocks, cut, digest, free_name, id_and_text, joined, mix, runs
 
 WIDTH = 13
 MIN_TOKENS = 5
@@ -276,7 +276,9 @@ def _hits(rows: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: int
         for k in range(parts):
             block = windows.filter(F.col("part") == k).drop("part").toPandas()
             if len(block):
-                found.append(rows.mapInPandas(_scan(spark.sparkContext.broadcast(block), width), schema))
+                sent = spark.sparkContext.broadcast(block)
+                found.append(cut(rows.mapInPandas(_scan(sent, width), schema)))
+                sent.destroy()
     hits = reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
     return hits.groupBy("doc_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.min("first_start").alias("first_start"), F.max("last_end").alias("last_end"), F.max("reparameterised").alias("reparameterised"))
 
@@ -284,5 +286,6 @@ def _hits(rows: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: int
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a benchmark passage; each is judged by its text, whatever its doc_id."""
     rows = docs.select(digest(docs).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter("text <> ''")
-    bad = _hits(rows, benchmark).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, digest(docs) == F.col("__bad"), "left_anti")
+    name = free_name(docs, "__bad")
+    bad = _hits(rows, benchmark).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, digest(docs) == F.col(name), "left_anti")

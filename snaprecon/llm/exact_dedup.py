@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaprecon.llm._common import id_and_text, keep_rows
+from snaprecon.llm._common import digest, free_name, id_and_text, keep_rows
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -169,8 +169,9 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the copies that :func:`exact_dedup` drops; all columns stay."""
-    dropped = exact_dedup(docs).filter("not kept").select(F.col("doc_id").alias("__dropped"), F.unhex("text_sha256").alias("__digest"))
-    same = (docs["doc_id"].cast("long").eqNullSafe(F.col("__dropped"))) & (F.unhex(F.sha2(F.coalesce(docs["text"], F.lit("")), 256)) == F.col("__digest"))
+    own_id, own_digest = free_name(docs, "__dropped"), free_name(docs, "__digest")
+    dropped = exact_dedup(docs).filter("not kept").select(F.col("doc_id").alias(own_id), F.unhex("text_sha256").alias(own_digest))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(own_id)) & (digest(docs) == F.col(own_digest))
     return docs.join(dropped, same, "left_anti")
 
 
@@ -181,23 +182,27 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def _apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Balances by digest through one index: a digest enters it with its first row and leaves it when its balance is nought."""
     index = DigestIndex()
     for frame in frames:
-        for digest, refs in zip(frame["digest"], frame["refs"].tolist(), strict=True):
-            digest = bytes(digest)
-            left = (index.get(digest) or 0) + refs
-            index.delete(digest) if left == 0 else index.insert(digest, left)
-    rows = [(k, v) for k, v in index.items() if v > 0]
+        for key, refs in zip(frame["digest"], frame["refs"].tolist(), strict=True):
+            key = bytes(key)
+            balance = (index.get(key) or 0) + refs
+            index.insert(key, balance) if balance else index.delete(key)
+    rows = list(index.items())
     yield pd.DataFrame({"digest": [k for k, _ in rows], "refs": [v for _, v in rows]})
 
 
 def update_live(live: DataFrame, changes: DataFrame) -> DataFrame:
     """Next state of a live-digest table (digest, refs) after signed changes (digest, refs).
 
-    Positive refs insert, negative delete; a digest leaves the index when its
-    last reference goes. Changes are summed per digest before the shuffle, so
-    their order and a hot digest do not matter. Null digests are ignored.
+    Positive refs insert, negative delete. The index of a digest bucket holds
+    the state's digests; each one's changes, summed before the shuffle (so
+    their order and a hot digest do not matter), are then applied: a digest
+    leaves the index when its last reference goes. A negative balance stays in
+    the state, so a delete that comes before its insert is not lost; the live
+    digests are those with positive refs. Null digests are ignored.
     """
-    rows = live.select("digest", "refs").unionByName(changes.select("digest", "refs")).filter("digest is not null")
-    summed = rows.groupBy("digest").agg(F.sum(F.col("refs").cast("long")).alias("refs"))
-    return summed.mapInPandas(_apply, "digest binary, refs long")
+    summed = changes.groupBy("digest").agg(F.sum(F.col("refs").cast("long")).alias("refs"))
+    rows = live.select("digest", F.col("refs").cast("long").alias("refs")).unionByName(summed).filter("digest is not null")
+    return rows.repartition("digest").mapInPandas(_apply, "digest binary, refs long")

@@ -139,23 +139,37 @@ def run_windows(run_dates: DataFrame, date_col: str = "run_date") -> DataFrame:
     return run_dates.select(F.col(date_col).alias("run_date"), lo.alias("window_from"), hi.alias("window_to"))
 
 
-def rolling_counts(items: DataFrame, date_col: str, windows: DataFrame) -> DataFrame:
-    """Items per run window (window_from <= date <= window_to).
+def rolling_counts(items: DataFrame, date_col: str, windows: DataFrame, keep: tuple[str, ...] = ("run_date",)) -> DataFrame:
+    """Items per window (window_from <= date <= window_to), windows of any length.
 
-    Items are counted per day first; a window's days, 31 at most, are joined to
-    those few rows by equality and summed. Windows without items have no row.
+    Items are counted per day, the days of the calendar between the first and
+    the last item get running totals, and a window is the difference of two of
+    them, looked up by equality. What is joined is two rows a window, however
+    long it is, to one row a calendar day. Windows without items have no row.
     """
-    daily = items.groupBy(F.col(date_col).alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
-    days = windows.select("run_date", "window_from", "window_to", F.explode(F.sequence("window_from", "window_to")).alias("__day"))
-    return days.join(daily, "__day").groupBy("run_date", "window_from", "window_to").agg(F.sum("__n").alias("n_tickets"))
-
-
-def rolling_membership(items: DataFrame, date_col: str, windows: DataFrame) -> DataFrame:
-    """J5 row by row: items x runs where window_from <= item date <= window_to (counts: ``rolling_counts``).
-
-    A plain range join plans as a nested loop. Each window spans at most 31
-    days, so windows become one row per day and join on equality; the plan
-    chooses the join's strategy.
+    daily = items.where(F.col(date_col).isNotNull()).groupBy(F.col(date_col).alias("__day")).agg(F.count(F.lit(1)).alias("__n"))
+    first, last = daily.agg(F.min("__day")), daily.agg(F.max("__day"))
+    # a calendar: as many rows as days between the first and the last item, whatever the items
+    calendar = daily.agg(F.min("__day").alias("lo"), F.max("__day").alias("hi")).where("lo is not null").select(F.explode(F.sequence("lo", "hi")).alias("__day"))
+    whole = Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, 0)
+    totals = calendar.join(daily, "__day", "left").select("__day", F.sum(F.coalesce("__n", F.lit(0))).over(whole).alias("__total"))
+    upto = totals.select(F.col("__day").alias("__to"), F.col("__total").alias("__upto"))
+    before = totals.select(F.col("__day").alias("__from"), F.col("__total").alias("__before"))
+    asked = windows.select(*keep, "window_from", "window_to").where("window_from <= window_to").where(F.col("window_from") <= last.scalar())
+    ends = asked.withColumn("__to", F.least("window_to", last.scalar())).withColumn("__from", F.date_sub("window_from", 1))
+    counted = ends.where(F.col("__to") >= first.scalar()).join(upto, "__to").join(before, "__from", "left")
+    n = F.col("__upto") - F.coalesce("__before", F.lit(0))
+    return counted.select(*keep, "window_from", "window_to", n.alias("n_tickets")).where("n_tickets > 0")
+
+
+def rolling_membership(items: DataFrame, date_col: str, windows: DataFrame, days: int = 32) -> DataFrame:
+    """J5 row by row: items x windows where window_from <= item date <= window_to, windows of any length.
+
+    An interval join by bins of ``days`` days: a window has one row for each
+    bin it touches, an item has one, and both ends are checked. The plan
+    chooses the join's strategy; no nested loop.
     """
-    days = windows.select("run_date", "window_from", "window_to", F.explode(F.sequence("window_from", "window_to")).alias("__day"))
-    return items.join(days, items[date_col] == days["__day"], "inner").drop("__day")
+    bin_of = lambda c: F.floor(F.unix_date(c) / days)
+    spread = windows.where("window_from <= window_to").select("*", F.explode(F.sequence(bin_of(F.col("window_from")), bin_of(F.col("window_to")))).alias("__bin"))
+    near = items.withColumn("__bin", bin_of(F.col(date_col).cast("date"))).join(spread, "__bin")
+    return near.where(F.col(date_col).between(F.col("window_from"), F.col("window_to"))).drop("__bin")

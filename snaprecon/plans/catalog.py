@@ -927,3 +927,69 @@ def stream_current_state(spark: SparkSession, sf: str) -> DataFrame:
     events = _event_stream(spark, sf).select("user_id", "ts", "event_id", "event_type")
     st.drain(events, sink, transform=lambda batch: st.newest(batch, keys, order))
     return st.newest(spark.read.parquet(sink), keys, order).select("user_id", "event_id", "event_type")
+
+
+# ---------------------------------------------------------------- page chains by token, ordinals, windows of any length
+
+from snaprecon.operators import chains as ch  # noqa: E402
+from snaprecon.operators import ordinals as od  # noqa: E402
+
+
+def _landed_chains(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The pages landed as files and parsed once, and their ranks."""
+    path = fresh_path(spark, "page-chains")
+    fx.page_chains(spark, sf).write.parquet(path)
+    parsed = pg.parse_pages(spark.read.parquet(path))
+    ranked = ch.rank_pages(parsed, "chain", "asked", "next_token", F.size("issues") == 0, F.col("landed"))
+    return parsed, ranked
+
+
+@query
+def page_chain_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages that know only the next page's token, landed out of order: the issues of each page in order, and its place."""
+    parsed, ranked = _landed_chains(spark, sf)
+    placed = ch.in_order(parsed, ranked, "chain", "asked", F.col("landed"))
+    key = F.try_variant_get(F.try_element_at("issues", F.lit(1)), "$.key", "string")
+    return placed.select("chain", "position", F.size("issues").cast("bigint").alias("n_issues"), key.alias("first_issue"))
+
+
+@query
+def page_chain_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Per chain, whether its pages come to an end, break off, run in a circle or lack a start; orphans and repeated pages."""
+    _, ranked = _landed_chains(spark, sf)
+    return ch.chain_report(ranked)
+
+
+@query
+def extract_ordinals(spark: SparkSession, sf: str) -> DataFrame:
+    """One window's extract with gapless arrival numbers in remote order (created descending, key)."""
+    rows = fx.contract_rows(spark, sf).where(F.col("periodo_inicio") == F.lit("1998-01-01").cast("date"))
+    numbered = od.with_ordinals(rows.select("o_orderkey", "issue_key", "base_origem", "created"), [F.desc("created"), F.asc("o_orderkey")])
+    return numbered.select("issue_key", "base_origem", "created", "ordinal")
+
+
+_LENGTHS = {"day": 1, "week": 7, "quarter": 91, "year": 365, "five_years": 1826}
+
+
+def _any_windows(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Tickets by reference date, and windows of five lengths that end at each month's first ticket date."""
+    t = fx.tickets(spark, sf).select("o_orderkey", F.to_date("o_orderdate").alias("ref_date"))
+    ends = t.groupBy(F.trunc("ref_date", "month").alias("m")).agg(F.min("ref_date").alias("window_to"))
+    lengths = F.explode(F.array(*[F.struct(F.lit(n).alias("length"), F.lit(d).alias("days")) for n, d in _LENGTHS.items()]))
+    windows = ends.select("window_to", lengths.alias("l")).select("l.length", F.date_sub("window_to", F.col("l.days") - 1).alias("window_from"), "window_to")
+    return t, windows
+
+
+@query
+def rolling_windows_any(spark: SparkSession, sf: str) -> DataFrame:
+    """Tickets in windows from a day to five years: two running totals a window, whatever its length."""
+    t, windows = _any_windows(spark, sf)
+    return sn.rolling_counts(t, "ref_date", windows, keep=("length",))
+
+
+@query
+def window_membership(spark: SparkSession, sf: str) -> DataFrame:
+    """The same windows row by row (interval join by bins): tickets, and the least and greatest key of each."""
+    t, windows = _any_windows(spark, sf)
+    members = sn.rolling_membership(t, "ref_date", windows)
+    return members.groupBy("length", "window_from", "window_to").agg(F.count(F.lit(1)).alias("n_tickets"), F.min("o_orderkey").alias("least_key"), F.max("o_orderkey").alias("greatest_key"))

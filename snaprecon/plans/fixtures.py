@@ -15,17 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaprecon.session import table as scan
+from snaprecon.session import table
 from snaprecon.sinks.files import CSV
 
-_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "documents": "doc_id", "conversations": "conv_id", "events": "event_id"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Rows of a driver table, dealt out by key before the generated columns are made (a table is one file here)."""
-    rows = scan(spark, sf_dir, name)
-    return rows.repartition(_KEYS[name]) if name in _KEYS else rows
-
 
 # status code -> base name, and its SQL twin used by the oracles
 BASE_OF_STATUS = {"F": "encerradas", "O": "analisadas", "P": "ingressadas"}
@@ -431,6 +423,31 @@ def issue_pages(spark: SparkSession, sf: str) -> DataFrame:
     return pages.select(F.when(F.col("page") % 50 == 49, bad).otherwise(body).alias("value"))
 
 
+CHAIN_PAGES = 16
+
+
+def page_chains(spark: SparkSession, sf: str) -> DataFrame:
+    """Search pages as they are landed: (chain, asked, value, landed), the payload without a page number, dealt out of order.
+
+    Sixteen pages of :func:`issue_pages`' issues make a chain, whose last page
+    names no token. Faults by chain c and place i: c % 5 = 4 lacks page 6;
+    c % 3 = 1 has an empty page 9; c % 7 = 3 names page 2 on page 12 (a
+    cycle); c % 4 = 2 landed page 4 twice; c % 11 = 5 lacks its first page.
+    """
+    issues = issue_json(spark, sf).select((F.col("o_orderkey") / PAGE_SIZE).cast("bigint").alias("page"), "o_orderkey", "json")
+    pages = issues.groupBy("page").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "json"))).alias("items"))
+    c, i = F.floor(F.col("page") / CHAIN_PAGES), F.col("page") % CHAIN_PAGES
+    token = lambda at: F.substring(F.md5(F.concat_ws("/", c.cast("string"), at.cast("string"))), 1, 16)
+    asked = F.when(i > 0, token(i))
+    then = F.when((c % 7 == 3) & (i == 12), token(F.lit(2))).when(i < CHAIN_PAGES - 1, token(i + 1))
+    body = F.when((c % 3 == 1) & (i == 9), F.lit("")).otherwise(F.array_join(F.transform("items", lambda x: x["json"]), ","))
+    value = F.concat(F.lit('{"issues":['), body, F.lit("]"), F.coalesce(F.concat(F.lit(',"nextPageToken":"'), then, F.lit('"')), F.lit("")), F.lit("}"))
+    kept = pages.where(~((c % 5 == 4) & (i == 6)) & ~((c % 11 == 5) & (i == 0)))
+    copies = F.when((c % 4 == 2) & (i == 4), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    landed = kept.select(c.alias("chain"), asked.alias("asked"), value.alias("value"), F.explode(copies).alias("landed"))
+    return landed.repartition(F.md5("value"))
+
+
 # texts of business_predicates: name -> (every how many order keys the text changes, texts)
 PREDICATE_VALUES = {
     "status": (1, ("ENCERRADO", "Encerrado ", "ANÁLISE", "analise", "Reiteradas  em aberto", "em verificacao", "FECHADO")),

@@ -740,3 +740,57 @@ ORACLES["stream_window_counts"] = "SELECT CAST(ts AS DATE) AS day, event_type, c
 ORACLES["stream_current_state"] = """
 SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1
 """
+
+# ---------------------------------------------------------------- page chains by token, ordinals, windows of any length
+
+# the faults of a chain's pages, by arithmetic on the order keys; cutoff: the last place that is reached
+_CHAINS = f"""
+WITH pages AS (
+  SELECT o_orderkey // 100 // 16 AS c, o_orderkey // 100 % 16 AS i, count(*) AS n, 'TCK-' || CAST(min(o_orderkey) AS VARCHAR) AS first_issue
+  FROM ({TICKETS}) GROUP BY ALL
+), landed AS (
+  SELECT c, i, CASE WHEN c % 3 = 1 AND i = 9 THEN 0 ELSE n END AS n, CASE WHEN c % 3 = 1 AND i = 9 THEN NULL ELSE first_issue END AS first_issue
+  FROM pages WHERE NOT (c % 5 = 4 AND i = 6) AND NOT (c % 11 = 5 AND i = 0)
+), gaps AS (
+  SELECT c, min(i) FILTER (i <> rn) AS gap, max(i) AS top FROM (SELECT c, i, row_number() OVER (PARTITION BY c ORDER BY i) - 1 AS rn FROM landed) GROUP BY c
+), runs AS (  -- contiguous pages from the first
+  SELECT c, (SELECT coalesce(min(k), 16) - 1 FROM range(17) r(k) WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.c = gaps.c AND l.i = k)) AS solid FROM gaps
+), cut AS (
+  SELECT c, solid, least(solid, CASE WHEN c % 3 = 1 THEN 9 ELSE 99 END, CASE WHEN c % 7 = 3 THEN 12 ELSE 99 END) AS cutoff FROM runs
+)
+"""
+
+ORACLES["page_chain_order"] = _CHAINS + """
+SELECT c AS chain, i AS position, n AS n_issues, first_issue FROM landed JOIN cut USING (c) WHERE i <= cutoff
+"""
+
+ORACLES["page_chain_report"] = _CHAINS + """
+SELECT c AS chain,
+       CASE WHEN cutoff < 0 THEN 'headless' WHEN c % 3 = 1 AND cutoff = 9 THEN 'whole' WHEN c % 7 = 3 AND cutoff = 12 THEN 'cyclic'
+            WHEN cutoff = 15 THEN 'whole' ELSE 'broken' END AS chain_state,
+       count(*) FILTER (i <= cutoff) AS n_pages, count(*) FILTER (i > cutoff) AS n_orphans, count(*) FILTER (c % 4 = 2 AND i = 4) AS n_repeated
+FROM landed JOIN cut USING (c) GROUP BY c, cutoff
+"""
+
+ORACLES["extract_ordinals"] = f"""
+SELECT {_CONTRACT_KEY} AS issue_key, base AS base_origem, strftime(o_orderdate, {TS}) AS created,
+       row_number() OVER (ORDER BY strftime(o_orderdate, {TS}) DESC, o_orderkey) - 1 AS ordinal
+FROM ({TICKETS}) WHERE year(o_orderdate) = 1998
+"""
+
+_WINDOWS = f"""
+WITH t AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS ref_date FROM ({TICKETS})),
+w AS (
+  SELECT length, window_to - days + 1 AS window_from, window_to
+  FROM (SELECT min(ref_date) AS window_to FROM t GROUP BY date_trunc('month', ref_date)), (VALUES ('day', 1), ('week', 7), ('quarter', 91), ('year', 365), ('five_years', 1826)) l(length, days)
+)
+"""
+
+ORACLES["rolling_windows_any"] = _WINDOWS + """
+SELECT length, window_from, window_to, count(*) AS n_tickets FROM w JOIN t ON ref_date BETWEEN window_from AND window_to GROUP BY ALL
+"""
+
+ORACLES["window_membership"] = _WINDOWS + """
+SELECT length, window_from, window_to, count(*) AS n_tickets, min(o_orderkey) AS least_key, max(o_orderkey) AS greatest_key
+FROM w JOIN t ON ref_date BETWEEN window_from AND window_to GROUP BY ALL
+"""

@@ -12,7 +12,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _OWN_ROOT: str | None = None
 
@@ -81,3 +81,9 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """Scan one driver table; how it is split is a matter of ``spark.sql.files.maxPartitionBytes``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and forget its lineage (survives lost executors)."""
+    shared_root(df.sparkSession)
+    return df.checkpoint(eager=True)

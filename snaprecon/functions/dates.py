@@ -7,8 +7,9 @@ The same text is read three ways (they differ near midnight for offsets):
 * ``utc_date`` (X7): the UTC date of the instant.
 * ``comparison_date`` (X8): Excel serials 30000..70000, else ``local_date``, else a bare year.
 
-ANSI mode is on, so everything uses ``try_`` forms. ``try_cast`` alone reads
-``12345`` as year 12345, hence the ``_ISO`` guard on the ISO branch.
+ANSI mode is on, so everything uses ``try_`` forms. A text is brought to one
+ISO form first (:func:`iso_text`) and then cast once. Most texts are ISO
+already and cost one regex; the rewrites run for the others only.
 """
 
 from __future__ import annotations
@@ -16,37 +17,81 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ISO = r"^\d{4}-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?\s*([zZ]|UTC|[+-]\d{1,2}(:?\d{2})?)?)?)?$"
 _EXCEL_EPOCH = "1899-12-30"
+_MINUTE = r"([01]?\d|2[0-3]):[0-5]?\d"
+_SECOND = r":[0-5]?\d(\.\d+)?"
+_ZONE = r"\s*([zZ]|UTC|GMT|[+-]\d{1,2}(:?\d{2})?)"
+# a time with an offset has its seconds, as the cast wants it
+_ISO = rf"^\d{{4}}-\d{{1,2}}(-\d{{1,2}}([ T]{_MINUTE}({_SECOND}({_ZONE})?)?)?)?$"
+# fixed values: month names as exports write them, their usual endings
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_ENDINGS = ("uary", "ruary", "ch", "il", "", "e", "y", "ust", "t(?:ember)?", "ober", "ember", "ember")
+_NAME = "(?i:(" + "|".join(_MONTHS) + ")(?:" + "|".join(e for e in _ENDINGS if e) + r")?\.?)"
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _instant(c: Column) -> Column:
-    """The forms without an offset, as a timestamp of the session's zone; month first, then day first."""
-    any_of = lambda *forms: F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in forms])
-    return F.coalesce(
-        F.when(c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}"), any_of("M/d/yyyy[ H:mm[:ss]]", "M/d/yyyy h:mm[:ss] a", "d/M/yyyy[ H:mm[:ss]]", "d/M/yyyy h:mm[:ss] a")),
-        F.when(c.rlike(r"^\d{1,2}-\d{1,2}-\d{4}"), any_of("M-d-yyyy[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]")),
-        F.when(c.rlike(r"^\d{4}/\d{1,2}/\d{1,2}"), any_of("yyyy/M/d[ H:mm[:ss]]")),
-        F.when(c.rlike(r"^\d{1,2}/[A-Za-z]{3}/\d{2}( |$)"), any_of("d/MMM/yy[ H:mm]", "d/MMM/yy h:mm a")),
-        F.when(c.rlike(r"^\d{1,2}/[A-Za-z]{3}/\d{4}"), any_of("d/MMM/yyyy[ H:mm]", "d/MMM/yyyy h:mm a")),
-        F.when(c.rlike(r"^\d{8}$"), any_of("yyyyMMdd")),
+def _named_month(c: Column) -> Column:
+    """``3 Mar 2026``, ``03-Mar-26`` and ``March 3, 2026`` with the month as a number, year first."""
+    ordered = F.regexp_replace(c, rf"^{_NAME}[ -]+(\d{{1,2}}),?[ -]+(\d{{4}})(?!\d)", "$3-$1-$2")
+    for year, form in ((r"(\d{4})", "$3-$2-$1"), (r"([0-5]\d|6[0-8])", "20$3-$2-$1"), (r"(\d{2})", "19$3-$2-$1")):
+        ordered = F.regexp_replace(ordered, rf"^(\d{{1,2}})[-/ .]+{_NAME}[-/ .,]+{year}(?!\d)", form)
+    number = F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), F.lower(F.regexp_extract(ordered, r"^\d+-([A-Za-z]{3})-", 1)))
+    named = ordered.rlike(r"^\d+-[A-Za-z]{3}-")
+    return F.when(named, F.concat(F.regexp_extract(ordered, r"^\d+-", 0), number.cast("string"), F.regexp_extract(ordered, r"-\d{1,2}(?=$|\D).*$", 0))).otherwise(ordered)
+
+
+def _year_first(c: Column) -> Column:
+    """Compact, dotted and slashed dates as ``y-m-d``; month first where both readings are dates; years of two digits are 1969 to 2068."""
+    steps = (
+        (r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3"),
+        (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})(?!\d)", "$1-$2-$3"),
+        (r"^(1[3-9]|2\d|3[01])[-/.](\d{1,2})[-/.](\d{4}|\d{2})(?!\d)", "$3-$2-$1"),
+        (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})(?!\d)", "$3-$1-$2"),
+        (r"^([0-5]\d|6[0-8])-", "20$1-"),
+        (r"^(\d{2})-", "19$1-"),
     )
+    for pattern, form in steps:
+        c = F.regexp_replace(c, pattern, form)
+    return c
+
+
+def _clock(c: Column) -> Column:
+    """Compact and bare hours, and the twelve-hour clock, as ``h:mm[:ss]``."""
+    c = F.regexp_replace(c, r"(?<=-\d{1,2}[T ])(\d{2})(\d{2})(\d{2})?(?=$|[zZ+-])", "$1:$2:$3")
+    c = F.regexp_replace(c, r":(?=$|[zZ+-])", "")
+    c = F.regexp_replace(c, r"(?<=-\d{1,2}[T ])(\d{1,2})(?=$|[zZ+-]|\s*[AaPp][Mm])", "$1:00")
+    half = r"[T ](0?[1-9]|1[0-2])(:\d{1,2}(?::\d{1,2})?)\s*([AaPp])[Mm]"
+    hour = F.regexp_extract(c, half, 1).try_cast("int") % 12 + F.when(F.lower(F.regexp_extract(c, half, 3)) == "p", 12).otherwise(0)
+    day = F.regexp_extract(c, r"^[^T ]+", 0)
+    zone = F.regexp_extract(c, r"[AaPp][Mm](.*)$", 1)
+    full = F.when(c.rlike(half), F.concat(day, F.lit("T"), hour.cast("string"), F.regexp_extract(c, half, 2), zone)).otherwise(c)
+    return F.regexp_replace(full, rf"(?<=[T ]\d{{1,2}}:\d{{1,2}})(?={_ZONE}$)", ":00")
+
+
+def iso_text(c: Column | str) -> Column:
+    """The text of a date or date and time in ISO form, its own offset kept; null if the whole text is neither.
+
+    Read are ISO forms (also compact, with slashes or dots, with the hour
+    alone), day and month numbers in either order, month names, the
+    twelve-hour clock, and offsets as numbers, Z, UTC or GMT.
+    """
+    c = F.trim(_c(c).cast("string"))
+    plain = c.rlike(_ISO)
+    other = F.when(~plain & c.rlike(r"\d"), _clock(_year_first(_named_month(c))))
+    return F.when(plain, c).when(other.rlike(_ISO), other)
 
 
 def parse_timestamp(c: Column | str) -> Column:
     """Text -> TIMESTAMP (instant); offsets like +0000 and -03:00 accepted; the whole text must be a date."""
-    c = F.trim(_c(c).cast("string"))
-    return F.coalesce(F.when(c.rlike(_ISO), c.try_cast("timestamp")), _instant(c))
+    return iso_text(c).try_cast("timestamp")
 
 
 def local_date(c: Column | str) -> Column:
     """The date as written (own offset kept), not via the UTC instant; null where the instant is."""
-    c = F.trim(_c(c).cast("string"))
-    return F.coalesce(F.when(c.rlike(_ISO) & c.try_cast("timestamp").isNotNull(), c.try_cast("date")), F.to_date(_instant(c)))
+    return iso_text(c).try_cast("date")
 
 
 def utc_date(c: Column | str) -> Column:

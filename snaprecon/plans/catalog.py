@@ -162,6 +162,15 @@ def excel_serial_dates(spark: SparkSession, sf: str) -> DataFrame:
     return fx.serial_texts(spark, sf).select("o_orderkey", dt.comparison_date("raw").alias("d"))
 
 
+@query
+def date_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates and times in the forms that exports hold: instant, written date, UTC date and comparison date."""
+    return fx.date_form_texts(spark, sf).select(
+        "o_orderkey", dt.parse_timestamp("raw").cast("timestamp_ntz").alias("ts_utc"), dt.local_date("raw").alias("local_date"),
+        dt.utc_date("raw").alias("utc_date"), dt.comparison_date("raw").alias("comparison_date"),
+    )
+
+
 @query
 def month_volume(spark: SparkSession, sf: str) -> DataFrame:
     """Tickets per (base, month of reference date)."""

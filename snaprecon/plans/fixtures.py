@@ -127,6 +127,24 @@ def offset_texts(spark: SparkSession, sf: str) -> DataFrame:
     return o.select("o_orderkey", text.alias("raw"))
 
 
+#: forms of a date and time that exports hold: the pattern, the hours east of UTC it says, and what of the time it keeps (s, m, h or d)
+DATE_FORMS = (
+    ("yyyy-MM-dd h:mm a", 0, "m"), ("dd/MMM/yy HH:mm:ss", 0, "s"), ("yyyy-MM-dd'T'HH", 0, "h"), ("yyyy-MM-dd HH:mm:ss 'GMT'", 0, "s"),
+    ("dd-MMM-yyyy", 0, "d"), ("d MMM yyyy", 0, "d"), ("MM.dd.yyyy", 0, "d"), ("M/d/yy", 0, "d"), ("yyyyMMdd'T'HHmmss", 0, "s"), ("MMMM d, yyyy", 0, "d"),
+    ("yyyy-MM-dd'T'HH:mm'+02:00'", 2, "m"), ("dd/MMM/yy h:mm a", 0, "m"), ("MM/dd/yyyy HH:mm", 0, "m"), ("yyyy/MM/dd HH:mm:ss", 0, "s"), ("yyyy-MM-dd h:mm:ss a '-0300'", -3, "s"), ("'due' yyyy", 0, ""),
+)
+
+
+def date_form_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """A date and time per order (order date, plus key hours and a few minutes) written in one of the forms, by key."""
+    k = F.col("o_orderkey")
+    at = F.expr("timestampadd(SECOND, CAST(o_orderkey % 24 * 3600 + o_orderkey % 60 * 60 + o_orderkey % 59 AS INT), o_orderdate)")
+    written = F.lit(None).cast("string")
+    for n, (pattern, _, _) in enumerate(DATE_FORMS):
+        written = F.when(k % len(DATE_FORMS) == n, F.date_format(at, pattern)).otherwise(written)
+    return table(spark, sf, "orders").select("o_orderkey", written.alias("raw"))
+
+
 def serial_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Reference-workbook date cells: Excel serials (with fractions), ISO text, out-of-range numbers."""
     o = table(spark, sf, "orders")

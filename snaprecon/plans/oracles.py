@@ -7,6 +7,8 @@ FULL JOIN / window SQL over the driver tables, with the fixture rules of
 
 from __future__ import annotations
 
+from snaprecon.plans.fixtures import DATE_FORMS
+
 ORACLES: dict[str, str] = {}
 
 # canonical text of a SQL expression (NFKD/strip accents, lower, trim, collapse whitespace)
@@ -175,6 +177,15 @@ ORACLES["excel_serial_dates"] = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 1, 2) THEN CAST(o_orderdate AS DATE) END AS d FROM orders
 """
 
+_AT = "CAST(o_orderdate AS DATE) + to_hours(o_orderkey % 24) + to_minutes(o_orderkey % 60)"
+_KEPT = {"s": f"{_AT} + to_seconds(o_orderkey % 59)", "m": _AT, "h": "CAST(o_orderdate AS DATE) + to_hours(o_orderkey % 24)", "d": "CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)", "": "CAST(NULL AS TIMESTAMP)"}
+_FORMS = " ".join(f"WHEN {n} THEN {_KEPT[kept]}" for n, (_, _, kept) in enumerate(DATE_FORMS))
+_EAST = " ".join(f"WHEN {n} THEN {east}" for n, (_, east, _) in enumerate(DATE_FORMS) if east)
+ORACLES["date_forms"] = f"""
+SELECT o_orderkey, wall - to_hours(east) AS ts_utc, CAST(wall AS DATE) AS local_date, CAST(wall - to_hours(east) AS DATE) AS utc_date, CAST(wall AS DATE) AS comparison_date
+FROM (SELECT o_orderkey, CASE o_orderkey % {len(DATE_FORMS)} {_FORMS} END AS wall, CASE o_orderkey % {len(DATE_FORMS)} {_EAST} ELSE 0 END AS east FROM orders)
+"""
+
 ORACLES["month_volume"] = f"""
 SELECT base, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n_tickets FROM ({TICKETS}) GROUP BY ALL
 """

@@ -14,6 +14,8 @@ already and cost one regex; the rewrites run for the others only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,14 +35,24 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _named_month(c: Column) -> Column:
     """``3 Mar 2026``, ``03-Mar-26`` and ``March 3, 2026`` with the month as a number, year first."""
     ordered = F.regexp_replace(c, rf"^{_NAME}[ -]+(\d{{1,2}}),?[ -]+(\d{{4}})(?!\d)", "$3-$1-$2")
     for year, form in ((r"(\d{4})", "$3-$2-$1"), (r"([0-5]\d|6[0-8])", "20$3-$2-$1"), (r"(\d{2})", "19$3-$2-$1")):
         ordered = F.regexp_replace(ordered, rf"^(\d{{1,2}})[-/ .]+{_NAME}[-/ .,]+{year}(?!\d)", form)
-    number = F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), F.lower(F.regexp_extract(ordered, r"^\d+-([A-Za-z]{3})-", 1)))
-    named = ordered.rlike(r"^\d+-[A-Za-z]{3}-")
-    return F.when(named, F.concat(F.regexp_extract(ordered, r"^\d+-", 0), number.cast("string"), F.regexp_extract(ordered, r"-\d{1,2}(?=$|\D).*$", 0))).otherwise(ordered)
+    months = F.array(*[F.lit(m) for m in _MONTHS])
+
+    def numbered(text: Column) -> Column:
+        number = F.array_position(months, F.lower(F.regexp_extract(text, r"^\d+-([A-Za-z]{3})-", 1)))
+        named = F.concat(F.regexp_extract(text, r"^\d+-", 0), number.cast("string"), F.regexp_extract(text, r"-\d{1,2}(?=$|\D).*$", 0))
+        return F.when(number > 0, named).otherwise(text)
+
+    return _let(ordered, numbered)
 
 
 def _year_first(c: Column) -> Column:
@@ -64,11 +76,13 @@ def _clock(c: Column) -> Column:
     c = F.regexp_replace(c, r":(?=$|[zZ+-])", "")
     c = F.regexp_replace(c, r"(?<=-\d{1,2}[T ])(\d{1,2})(?=$|[zZ+-]|\s*[AaPp][Mm])", "$1:00")
     half = r"[T ](0?[1-9]|1[0-2])(:\d{1,2}(?::\d{1,2})?)\s*([AaPp])[Mm]"
-    hour = F.regexp_extract(c, half, 1).try_cast("int") % 12 + F.when(F.lower(F.regexp_extract(c, half, 3)) == "p", 12).otherwise(0)
-    day = F.regexp_extract(c, r"^[^T ]+", 0)
-    zone = F.regexp_extract(c, r"[AaPp][Mm](.*)$", 1)
-    full = F.when(c.rlike(half), F.concat(day, F.lit("T"), hour.cast("string"), F.regexp_extract(c, half, 2), zone)).otherwise(c)
-    return F.regexp_replace(full, rf"(?<=[T ]\d{{1,2}}:\d{{1,2}})(?={_ZONE}$)", ":00")
+
+    def full(text: Column) -> Column:
+        hour = F.regexp_extract(text, half, 1).try_cast("int") % 12 + F.when(F.lower(F.regexp_extract(text, half, 3)) == "p", 12).otherwise(0)
+        day, zone = F.regexp_extract(text, r"^[^T ]+", 0), F.regexp_extract(text, r"[AaPp][Mm](.*)$", 1)
+        return F.when(text.rlike(half), F.concat(day, F.lit("T"), hour.cast("string"), F.regexp_extract(text, half, 2), zone)).otherwise(text)
+
+    return F.regexp_replace(_let(c, full), rf"(?<=[T ]\d{{1,2}}:\d{{1,2}})(?={_ZONE}$)", ":00")
 
 
 def iso_text(c: Column | str) -> Column:
@@ -79,9 +93,8 @@ def iso_text(c: Column | str) -> Column:
     twelve-hour clock, and offsets as numbers, Z, UTC or GMT.
     """
     c = F.trim(_c(c).cast("string"))
-    plain = c.rlike(_ISO)
-    other = F.when(~plain & c.rlike(r"\d"), _clock(_year_first(_named_month(c))))
-    return F.when(plain, c).when(other.rlike(_ISO), other)
+    rewritten = _let(_clock(_year_first(_named_month(c))), lambda text: F.when(text.rlike(_ISO), text))
+    return F.when(c.rlike(_ISO), c).when(c.rlike(r"\d"), rewritten)
 
 
 def parse_timestamp(c: Column | str) -> Column:

@@ -59,24 +59,44 @@ def _canonical_exact(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else _canonical_py(v))
 
 
+# Python's whitespace among the native characters, as a set to trim by
+_BLANKS = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0"
+
+
+def _collapsed(c: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(c), _WS, " "))
+
+
 def _canonical_latin(c: Column) -> Column:
     # the few letters that expand to two characters (e.g. a ligature) are replaced only where present
     expanded = c
     for ch, rep in _FOLD_MULTI:
         expanded = F.replace(expanded, F.lit(ch), F.lit(rep))
     pre = F.when(c.rlike(_MULTI_CLASS), expanded).otherwise(c)
-    folded = F.translate(pre, _TRANSLATE_SRC, _FOLD_DST)
-    return F.trim(F.regexp_replace(F.lower(folded), _WS, " "))
+    return _collapsed(F.translate(pre, _TRANSLATE_SRC, _FOLD_DST))
 
 
 def canonical_text(c: Column | str, exact_fallback: bool = True) -> Column:
     """Accent-insensitive canonical form of a text column (null stays null)."""
     c = F.col(c) if isinstance(c, str) else c
-    native = _canonical_latin(c)
+    # as many bytes as characters: ASCII, in which nothing folds
+    ascii_only = F.octet_length(c) == F.length(c)
     if not exact_fallback:
-        return native
-    outside = c.rlike(_OUTSIDE_LATIN)
-    return F.coalesce(F.when(~outside, native), _canonical_exact(F.when(outside, c)))
+        return F.when(ascii_only, _collapsed(c)).otherwise(_canonical_latin(c))
+    outside = ~ascii_only & c.rlike(_OUTSIDE_LATIN)
+    return F.when(ascii_only, _collapsed(c)).when(outside, _canonical_exact(F.when(outside, c))).otherwise(_canonical_latin(c))
+
+
+def equality_key(c: Column | str) -> Column:
+    """A key for joins and filters that ignores case, accents and runs of white space, compared by collation.
+
+    Only its equality is meant: the text keeps its letters, and nothing of it
+    runs in Python, whatever the script. Equal canonical texts (X1) have equal
+    keys in Latin text; beyond that a collation is wider in places (``ß`` and
+    ``ss``, full-width forms) and the Turkish dotless i stays apart.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.collate(F.trim(F.regexp_replace(c, _WS, " ")), "UNICODE_CI_AI")
 
 
 def canonical_column(c: Column | str) -> Column:
@@ -90,14 +110,14 @@ def canonical_column(c: Column | str) -> Column:
 def comparison_scalar(c: Column | str) -> Column:
     """Null -> '', trimmed, a trailing '.0' after an all-digit value dropped."""
     c = F.col(c) if isinstance(c, str) else c
-    trimmed = F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"^[\s\x{1C}-\x{1F}\x{85}\x{A0}]+|[\s\x{1C}-\x{1F}\x{85}\x{A0}]+$", "")
-    return F.regexp_replace(trimmed, r"^([0-9]+)\.0$", "$1")
+    trimmed = F.btrim(F.coalesce(c.cast("string"), F.lit("")), F.lit(_BLANKS))
+    return F.when(F.endswith(trimmed, F.lit(".0")), F.regexp_replace(trimmed, r"^([0-9]+)\.0$", "$1")).otherwise(trimmed)
 
 
 def table_text(c: Column | str) -> Column:
     """Trimmed text, empty -> null."""
     c = F.col(c) if isinstance(c, str) else c
-    trimmed = F.regexp_replace(c.cast("string"), r"^[\s\x{1C}-\x{1F}\x{85}\x{A0}]+|[\s\x{1C}-\x{1F}\x{85}\x{A0}]+$", "")
+    trimmed = F.btrim(c.cast("string"), F.lit(_BLANKS))
     return F.when(trimmed != "", trimmed)
 
 

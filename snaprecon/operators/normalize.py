@@ -139,13 +139,12 @@ def normalize_api_bases(records: DataFrame, base_col: str, specs: dict[str, Base
     (in first-seen order). Cheaper than one filtered pass per base.
     """
     v = F.col("v")
-    f = vx.path(v, "$.fields")
     picks: dict[str, Column] = {
-        "summary": vx.field(f, "summary"),
-        "created": vx.field(f, "created"),
-        "updated": vx.field(f, "updated"),
-        "espaco": vx.field(f, "project"),
-        "tipo_ticket": vx.field(f, "issuetype"),
+        "summary": vx.member(v, "fields", "summary"),
+        "created": vx.member(v, "fields", "created"),
+        "updated": vx.member(v, "fields", "updated"),
+        "espaco": vx.member(v, "fields", "project"),
+        "tipo_ticket": vx.member(v, "fields", "issuetype"),
     }
     owners: dict[str, list[str]] = {}
     ref_by_base = {}
@@ -153,7 +152,7 @@ def normalize_api_bases(records: DataFrame, base_col: str, specs: dict[str, Base
         date_id = ids.get(spec.date_field)
         if date_id:
             key = f"__ref_{date_id}"
-            picks.setdefault(key, vx.field(f, date_id))
+            picks.setdefault(key, vx.member(v, "fields", date_id))
             ref_by_base[b] = key
         for cf in spec.custom_fields if custom else ():
             fid = ids.get(cf.display_name)
@@ -161,12 +160,14 @@ def normalize_api_bases(records: DataFrame, base_col: str, specs: dict[str, Base
             if b not in owners[cf.column]:
                 owners[cf.column].append(b)
             if fid:
-                picks.setdefault(cf.column, vx.field(f, fid))
+                picks.setdefault(cf.column, vx.member(v, "fields", fid))
     direct = [
         F.try_variant_get(v, "$.key", "string").alias("issue_key"),
-        vx.status_name(vx.field(f, "status")).alias("status"),
+        vx.status_name(vx.member(v, "fields", "status")).alias("status"),
     ]
-    staged = vx.pick_scalars(records.select(*keep, base_col, "v", *direct), picks, keep=[*keep, base_col, "issue_key", "status"])
+    # whole paths and no ``v`` beyond this select: of a shredded landing only the requested paths are read
+    picked = records.select(*keep, base_col, *direct, *[c.alias(f"__p{i}") for i, c in enumerate(picks.values())])
+    staged = vx.pick_scalars(picked, {name: F.col(f"__p{i}") for i, name in enumerate(picks)}, keep=[*keep, base_col, "issue_key", "status"])
     b = F.col(base_col)
     ref = F.lit(None).cast("string")
     for base, key in ref_by_base.items():
@@ -196,17 +197,17 @@ def header_for(columns: list[str], wanted: tuple[str, ...]) -> str | None:
 NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def _cell(df_cols: list[str], *wanted: str) -> Column:
-    hit = header_for(df_cols, wanted)
+def _cell(columns: dict[str, str], *wanted: str) -> Column:
+    hit = header_for(list(columns), wanted)
     if hit is None:
         return F.lit(None).cast("string")
-    c = F.col("`" + hit.replace("`", "``") + "`").cast("string")
+    c = F.col("`" + columns[hit].replace("`", "``") + "`").cast("string")
     return F.when(~c.isin(*NULL_TOKENS), c)
 
 
-def normalize_fallback(export: DataFrame, spec: BaseSpec, run: Run, keep: tuple[str, ...] = ()) -> DataFrame:
-    """S4 + P5: an export read as text -> the same text contract."""
-    cols = export.columns
+def normalize_fallback(export: DataFrame, spec: BaseSpec, run: Run, keep: tuple[str, ...] = (), headers: list[str] | None = None) -> DataFrame:
+    """S4 + P5: an export read as text -> the same text contract; ``headers`` are its columns' names, by position, if not their own."""
+    cols = dict(zip(headers or export.columns, export.columns))
     date_candidates = (spec.date_field,) + ((INGRESSADAS_EXTRA_DATE_HEADER,) if spec.base == "ingressadas" else ())
     core = [
         _cell(cols, *HEADER_CANDIDATES["issue_key"]).alias("issue_key"),

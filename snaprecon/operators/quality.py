@@ -8,7 +8,7 @@ break instead of aborting the run.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,11 +78,26 @@ def verify_load(expected: int, staged: DataFrame) -> tuple[int, bool]:
     return loaded, loaded == expected
 
 
-def verify_groups(built: DataFrame, staged: DataFrame, key: str) -> DataFrame:
-    """V5/A4 per key: rows built, rows loaded and whether they agree, also for keys on one side only."""
-    sides = built.select(key, F.lit(1).alias("b"), F.lit(0).alias("l")).unionByName(staged.select(key, F.lit(0).alias("b"), F.lit(1).alias("l")))
-    counts = sides.groupBy(key).agg(F.sum("b").alias("expected"), F.sum("l").alias("loaded"))
-    return counts.withColumn("ok", F.col("expected") == F.col("loaded"))
+def counted(df: DataFrame, key: str, values: list[str]) -> tuple[DataFrame, Observation]:
+    """``df`` and what a write of it will count on the way: its rows, in all and of each of ``values`` in ``key``."""
+    seen = Observation("load")
+    counts = [F.count_if(F.col(key) == v).alias(f"n{i}") for i, v in enumerate(values)]
+    return df.observe(seen, F.count(F.lit(1)).alias("n"), *counts), seen
+
+
+def verify_groups(expected: dict[str, int], total: int, staged: DataFrame, key: str) -> DataFrame:
+    """V5/A4 per key: the rows built, as the write counted them, the rows found, and whether they agree.
+
+    Keys on one side only have a row, too; rows built under other keys than
+    the expected are summed under null. The plan that built them is not run
+    again: what is read is the staged output.
+    """
+    spark = staged.sparkSession
+    other = total - sum(expected.values())
+    built = spark.createDataFrame([*expected.items(), *([(None, other)] if other else [])], f"{key} string, expected bigint")
+    sides = built.unionByName(staged.select(key, F.lit(1).alias("found")), allowMissingColumns=True)
+    counts = sides.groupBy(key).agg(F.coalesce(F.sum("expected"), F.lit(0)).alias("expected"), F.coalesce(F.sum("found"), F.lit(0)).cast("bigint").alias("loaded"))
+    return counts.where("expected > 0 or loaded > 0").withColumn("ok", F.col("expected") == F.col("loaded"))
 
 
 # ------------------------------------------------------------------ schema evolution

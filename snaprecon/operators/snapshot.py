@@ -114,6 +114,17 @@ def rules_filter(df: DataFrame, rules: DataFrame, base_col: str, status_col: str
     return keyed.join(allowed, (F.col(base_col) == F.col("__rb")) & (F.col("__s") == F.col("__rs")), "left_semi").drop("__s")
 
 
+def rules_filter_collated(df: DataFrame, rules: DataFrame, base_col: str, status_col: str) -> DataFrame:
+    """F2/J4 by collation: rows whose status equals one allowed for their base, case, accents and spacing aside.
+
+    The join compares collation keys, so no row is canonicalised and no Python
+    worker is in the plan. ``rules`` is bounded by configuration and broadcast.
+    """
+    allowed = F.broadcast(rules.select(F.col("base").alias("__rb"), tx.equality_key("status").alias("__rs")))
+    keyed = df.withColumn("__s", tx.equality_key(status_col))
+    return keyed.join(allowed, (F.col(base_col) == F.col("__rb")) & (F.col("__s") == F.col("__rs")), "left_semi").drop("__s")
+
+
 def predicates_filter(df: DataFrame, rules: DataFrame, base_col: str, attributes: list[str]) -> DataFrame:
     """Keep rows that satisfy every rule of their base.
 

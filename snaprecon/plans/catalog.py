@@ -507,14 +507,26 @@ def table_full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return _read_current(spark, root).select("chave_ticket", "base_origem", "status", "data_referencia")
 
 
+def _verified_load(spark: SparkSession, sf: str, lost=None) -> DataFrame:
+    """Write the typed rows of all bases to a stage, counted on the way, and compare; ``lost`` rows go missing between."""
+    typed, seen = qa.counted(_typed(fx.contract_rows(spark, sf), BASE_ORDER), "base_origem", list(BASE_ORDER))
+    stage = fresh_path(spark, "stage")
+    (typed if lost is None else typed.where(~lost)).write.mode("errorifexists").parquet(stage)
+    n = seen.get
+    report = qa.verify_groups({base: n[f"n{i}"] for i, base in enumerate(BASE_ORDER)}, n["n"], spark.read.parquet(stage), "base_origem")
+    return report.withColumnRenamed("base_origem", "base")
+
+
 @query
 def load_verification(spark: SparkSession, sf: str) -> DataFrame:
-    """A4/V5: per base, rows built vs rows found in the staged output: one staged write of all bases, one keyed comparison."""
-    rows = fx.contract_rows(spark, sf)
-    typed = _typed(rows, BASE_ORDER)
-    stage = fresh_path(spark, "stage")
-    typed.write.mode("errorifexists").parquet(stage)
-    return qa.verify_groups(typed, spark.read.parquet(stage), "base_origem").withColumnRenamed("base_origem", "base")
+    """A4/V5: per base, rows built (counted by the write itself) vs rows found in the staged output."""
+    return _verified_load(spark, sf)
+
+
+@query
+def load_loss(spark: SparkSession, sf: str) -> DataFrame:
+    """A4/V5: a sink that loses one base's keys that end in 7 is caught, and only that base."""
+    return _verified_load(spark, sf, lost=(F.col("base_origem") == "analisadas") & F.endswith("chave_ticket", F.lit("7")))
 
 
 # ---------------------------------------------------------------- audit analytics, windows, rules
@@ -665,13 +677,16 @@ def ordered_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- fallback exports, snapshots, report, evolution
 
+from snaprecon.sources import exports as ex  # noqa: E402
+
+
 def _fallback_contract(spark: SparkSession, sf: str) -> DataFrame:
     """S4 + P5: every base's export read as text and mapped to its own contract, aligned to the union."""
     paths = fx.write_exports(spark, sf, fresh_path(spark, "export"))
     out = None
     for base, path in paths.items():
-        export = spark.read.options(**sk.CSV).csv(path)
-        part = nz.normalize_fallback(export, SPECS[base], RUN)
+        export, headers = ex.read_export(spark, path)
+        part = nz.normalize_fallback(export, SPECS[base], RUN, headers=headers)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -1002,3 +1017,84 @@ def window_membership(spark: SparkSession, sf: str) -> DataFrame:
     t, windows = _any_windows(spark, sf)
     members = sn.rolling_membership(t, "ref_date", windows)
     return members.groupBy("length", "window_from", "window_to").agg(F.count(F.lit(1)).alias("n_tickets"), F.min("o_orderkey").alias("least_key"), F.max("o_orderkey").alias("greatest_key"))
+
+
+# ---------------------------------------------------------------- shredded landing, incremental state, late rows, collation
+
+from snaprecon.operators import state as ss  # noqa: E402
+from snaprecon.streaming import late as lt  # noqa: E402
+
+
+def _landed_shredded(spark: SparkSession, sf: str) -> str:
+    """K1: the well-formed issues as VARIANT Parquet by base and yearly window."""
+    issues = nz.parse_raw(fx.issue_json(spark, sf), "json")
+    good, _ = nz.split_malformed(issues)
+    period = sk.period_token(F.trunc("o_orderdate", "year"), F.date_sub(F.add_months(F.trunc("o_orderdate", "year"), 12), 1))
+    path = fresh_path(spark, "shredded")
+    sk.write_shredded(good.select(F.col("base").alias("base_origem"), period.alias("periodo"), "v"), path)
+    return path
+
+
+@query
+def normalize_shredded(spark: SparkSession, sf: str) -> DataFrame:
+    """P1 from a shredded landing: the core contract; the scan reads the requested paths only."""
+    landed = spark.read.parquet(_landed_shredded(spark, sf))
+    return nz.normalize_api_bases(landed, "base_origem", SPECS, _id_map(spark, sf), RUN, custom=False).select(*CORE_COLUMNS)
+
+
+@query
+def shredded_volume(spark: SparkSession, sf: str) -> DataFrame:
+    """A5 from a shredded landing: issues, distinct summaries and named statuses per base, from three paths."""
+    landed = spark.read.parquet(_landed_shredded(spark, sf))
+    summary, status = (F.try_variant_get("v", p, "string") for p in ("$.fields.summary", "$.fields.status.name"))
+    return landed.groupBy("base_origem").agg(F.count(F.lit(1)).alias("n_issues"), F.count_distinct(summary).alias("n_summaries"), F.count(status).alias("n_named_status"))
+
+
+def _state_batches(spark: SparkSession, sf: str) -> tuple[DataFrame, list[DataFrame]]:
+    """The versions as a state's rows, and in four batches by part number."""
+    v = fx.versions(spark, sf).select("issue_key", "periodo_fim", "summary", "status", "ordinal")
+    return v, [v.where(F.col("ordinal.l_partkey") % 4 == b) for b in range(4)]
+
+
+@query
+def current_state_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest version per issue, kept up to date over four batches of which one is delivered again."""
+    root = fresh_path(spark, "state")
+    v, batches = _state_batches(spark, sf)
+    for b in (0, 1, 2, 3, 2):
+        ss.merge_batch(batches[b], root, ["issue_key"], ["periodo_fim", "ordinal"], b, buckets=16)
+    return ss.read_state(spark, root, v.schema).select("issue_key", "periodo_fim", "summary", "status")
+
+
+@query
+def stream_state_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest event per user from a stream whose batches are merged into the bucketed state."""
+    root = fresh_path(spark, "stream-buckets")
+    events = _event_stream(spark, sf).select("user_id", "ts", "event_id", "event_type")
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        ss.merge_batch(batch, root, ["user_id"], ["ts", "event_id"], epoch, buckets=16)
+
+    events.writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}.checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return ss.read_state(spark, root, events.schema).select("user_id", "event_id", "event_type")
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Events delivered in five batches, some a batch late and some twice: what each batch kept, had too late, and had again."""
+    landing, sink = fresh_path(spark, "deliveries"), fresh_path(spark, "stream-late")
+    deliveries = fx.event_deliveries(spark, sf)
+    schema = deliveries.drop("batch").schema
+    for batch in range(5):
+        deliveries.where(F.col("batch") == batch).drop("batch").write.mode("append").parquet(landing)
+        lt.drain(spark.readStream.schema(schema).parquet(landing), sink, ["event_id"], "ts", "1 DAY")
+    read = lambda table: spark.read.schema(lt.numbered_schema(schema)).parquet(f"{sink}/{table}").select("batch_id", F.lit(table).alias("side"))
+    rows = reduce(DataFrame.unionByName, map(read, lt.TABLES))
+    return rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_landed"), *[F.count_if(F.col("side") == t).alias(f"n_{t}") for t in lt.TABLES])
+
+
+@query
+def rules_by_collation(spark: SparkSession, sf: str) -> DataFrame:
+    """Allowed statuses matched by collation, case and accents aside, without canonical text."""
+    t = fx.tickets(spark, sf).select(F.concat(F.lit("TCK-"), F.col("o_orderkey").cast("string")).alias("issue_key"), "base", F.col("o_orderpriority").alias("status"))
+    return sn.rules_filter_collated(t, _status_rules(spark), "base", "status")

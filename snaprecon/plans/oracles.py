@@ -805,3 +805,34 @@ ORACLES["window_membership"] = _WINDOWS + """
 SELECT length, window_from, window_to, count(*) AS n_tickets, min(o_orderkey) AS least_key, max(o_orderkey) AS greatest_key
 FROM w JOIN t ON ref_date BETWEEN window_from AND window_to GROUP BY ALL
 """
+
+ORACLES["load_loss"] = f"""
+SELECT base, count(*) AS expected, count(*) FILTER (NOT lost) AS loaded, count(*) FILTER (lost) = 0 AS ok
+FROM (SELECT base, base = 'analisadas' AND o_orderkey % 10 = 7 AS lost FROM ({TICKETS}) WHERE o_orderkey % 31 <> 0) GROUP BY base
+"""
+
+ORACLES["normalize_shredded"] = ORACLES["normalize_core"]
+ORACLES["current_state_incremental"] = ORACLES["current_state"]
+ORACLES["stream_state_incremental"] = ORACLES["stream_current_state"]
+ORACLES["rules_by_collation"] = ORACLES["business_rules_filter"]
+
+ORACLES["shredded_volume"] = f"""
+SELECT base AS base_origem, count(*) AS n_issues, count(DISTINCT c_name) FILTER (has_fields) AS n_summaries, count(*) FILTER (has_fields AND o_orderkey % 11 <> 0) AS n_named_status
+FROM (SELECT *, o_orderkey % 89 <> 0 AS has_fields FROM ({TICKETS}) WHERE o_orderkey % 97 <> 0) GROUP BY base
+"""
+
+ORACLES["stream_late_rows"] = """
+WITH due AS (
+  SELECT event_id, ts, greatest(0, least(3, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 8)) + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS b FROM events
+), d AS (
+  SELECT event_id, ts, b FROM due UNION ALL SELECT event_id, ts, b + 1 FROM due WHERE event_id % 13 = 0 AND b < 4
+), marks AS (
+  SELECT n AS b, (SELECT max(ts) FROM d WHERE d.b < n) - INTERVAL 1 DAY AS mark FROM range(5) r(n)
+), judged AS (
+  SELECT d.*, coalesce(ts < mark, false) AS late FROM d JOIN marks USING (b)
+), ranked AS (
+  SELECT *, CASE WHEN NOT late THEN row_number() OVER (PARTITION BY event_id, late ORDER BY b) END AS nth FROM judged
+)
+SELECT b AS batch_id, count(*) AS n_landed, count(*) FILTER (nth = 1) AS n_kept, count(*) FILTER (late) AS n_late, count(*) FILTER (nth > 1) AS n_repeated
+FROM ranked GROUP BY b
+"""

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from snaprecon.session import fresh_path
 from snaprecon.functions.dates import month_token  # noqa: F401  (re-exported for callers)
 
 
@@ -47,6 +48,22 @@ def write_raw(issues: DataFrame, path: str, text_col: str = "json", partition_co
     )
 
 
+def write_shredded(parsed: DataFrame, path: str, partition_cols: tuple[str, ...] = ("base_origem", "periodo")) -> None:
+    """K1 beside the lines: well-formed parsed issues (column ``v``) as VARIANT Parquet.
+
+    Spark shreds the paths that most rows agree on into typed columns of their
+    own, file by file, and keeps the rest as it is; a scan that asks for some
+    paths reads the columns of those.
+    """
+    (
+        parsed.select(*partition_cols, "v")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_cols)
+        .parquet(path)
+    )
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """S1 scan of a raw landing: text lines + partition columns (never schema inference on JSON)."""
     return spark.read.option("basePath", path).text(path)
@@ -61,24 +78,31 @@ def write_snapshot(
 ) -> dict:
     """K2 + K3: snapshot in the requested formats, counted on the way.
 
-    Parquet is written first and the CSV side is made from it, so the plan of
-    ``df`` runs once; the count is an ``Observation`` on that write. Unknown
-    formats are ignored. An empty input leaves one readable empty file with all
-    columns. ``mode='static'`` replaces every partition below ``path`` (K7).
+    Each format gets the partitions of ``df`` and no other: what was written
+    for other windows stays as it is, file by file. For two formats the rows
+    are staged once, so the plan of ``df`` runs once; the count is an
+    ``Observation`` on its first write. Unknown formats are ignored. An empty
+    input leaves one readable empty file with all columns where there is none.
+    ``mode='static'`` replaces every partition below ``path`` (K7).
     """
+    spark, wanted = df.sparkSession, sorted({"csv", "parquet"} & set(formats), reverse=True)
+    if not wanted:
+        return {"record_count": df.count(), "formats": list(formats), "written": []}
     obs = Observation("snapshot")
-    source, count, written = df.observe(obs, F.count(F.lit(1)).alias("record_count")), None, []
-    for fmt in sorted({"csv", "parquet"} & set(formats), reverse=True):
+    source = df.observe(obs, F.count(F.lit(1)).alias("record_count"))
+    if len(wanted) > 1:
+        stage = fresh_path(spark, "snapshot-stage")
+        source.write.parquet(stage)
+        source = spark.read.schema(df.schema).parquet(stage)
+    for fmt in wanted:
         options = CSV if fmt == "csv" else {}
-        target = f"{path}/{fmt}"
-        source.write.mode("overwrite").format(fmt).options(**options).option("partitionOverwriteMode", mode).partitionBy(*partition_cols).save(target)
-        count = int(obs.get["record_count"]) if count is None else count
-        if not count:
-            df.limit(0).coalesce(1).write.mode("overwrite").format(fmt).options(**options).save(target)
-        elif fmt == "parquet":
-            source = df.sparkSession.read.schema(df.schema).parquet(target)
-        written.append(fmt)
-    return {"record_count": df.count() if count is None else count, "formats": list(formats), "written": sorted(written)}
+        source.write.mode("overwrite").format(fmt).options(**options).option("partitionOverwriteMode", mode).partitionBy(*partition_cols).save(f"{path}/{fmt}")
+    count = int(obs.get["record_count"])
+    if not count:
+        for fmt in wanted:
+            options = CSV if fmt == "csv" else {}
+            df.limit(0).coalesce(1).write.mode("overwrite" if mode == "static" else "append").format(fmt).options(**options).save(f"{path}/{fmt}")
+    return {"record_count": count, "formats": list(formats), "written": sorted(wanted)}
 
 
 def manifest_rows(snapshot: DataFrame, formats: tuple[str, ...], generated_at: str) -> DataFrame:

@@ -466,28 +466,12 @@ def _stage_verify_swap(spark: SparkSession, df: DataFrame, table_root: str) -> t
     loaded, ok = qa.verify_load(expected, spark.read.parquet(stage))
     if not ok:
         raise RuntimeError(f"load verification failed: expected {expected}, found {loaded}")
-    spark.createDataFrame([(_pointer(spark, table_root)[0] + 1, stage)], POINTER).coalesce(1).write.mode("append").json(f"{table_root}/pointers")
+    sk.publish(spark, table_root, stage)
     return stage, expected, loaded
 
 
-POINTER = "version bigint, path string"
-
-
-def _pointer(spark: SparkSession, table_root: str) -> tuple[int, str | None]:
-    """The highest committed (version, path) of a table; (0, None) before its first refresh."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        last = spark.read.schema(POINTER).json(f"{table_root}/pointers").agg(F.max(F.struct("version", "path")).alias("p")).first()["p"]
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = None
-    return (last["version"], last["path"]) if last else (0, None)
-
-
 def _read_current(spark: SparkSession, table_root: str) -> DataFrame:
-    return spark.read.parquet(_pointer(spark, table_root)[1])
+    return spark.read.parquet(sk.pointer(spark, table_root)[1])
 
 
 def _typed(rows: DataFrame, bases) -> DataFrame:
@@ -632,6 +616,14 @@ def rolling_windows(spark: SparkSession, sf: str) -> DataFrame:
     return sn.rolling_counts(t, "ref_date", sn.run_windows(runs))
 
 
+@query
+def zone_run_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """X11: each run's default window by the calendar of its zone: instants before 03:00 UTC belong to the day before."""
+    runs = fx.audit_events(spark, sf).select("event_id", dt.run_date_in_zone("ts", "America/Bahia").alias("run_date"))
+    lo, hi = dt.default_window("run_date")
+    return runs.select("event_id", "run_date", lo.alias("window_from"), hi.alias("window_to"))
+
+
 @query
 def window_filter(spark: SparkSession, sf: str) -> DataFrame:
     """F1/F8: all bases, window 1997-01-01..1997-12-31 on the raw date column (pushed to the scan)."""
@@ -1098,3 +1090,43 @@ def rules_by_collation(spark: SparkSession, sf: str) -> DataFrame:
     """Allowed statuses matched by collation, case and accents aside, without canonical text."""
     t = fx.tickets(spark, sf).select(F.concat(F.lit("TCK-"), F.col("o_orderkey").cast("string")).alias("issue_key"), "base", F.col("o_orderpriority").alias("status"))
     return sn.rules_filter_collated(t, _status_rules(spark), "base", "status")
+
+
+# ---------------------------------------------------------------- tables in several layouts
+
+from snaprecon.operators import layouts as ly  # noqa: E402
+
+
+def _layered_table(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """A table by yearly window in three layouts: dates as text until 1994, no ``tema`` until 1996, then the current one."""
+    typed = sn.typed_projection(fx.contract_rows(spark, sf), SPECS["encerradas"], "1995-01-01", "2001-12-31", RUN_TS, LOAD_TS, keep=("o_orderkey",))
+    rows = typed.select("chave_ticket", "resumo", "status", "base_origem", "data_referencia", "tema", F.year("data_criacao").alias("ano"), "o_orderkey")
+    path = fresh_path(spark, "layers")
+    as_text = F.when(F.col("o_orderkey") % 9 == 0, "pendente").otherwise(F.date_format("data_referencia", "dd/MMM/yyyy"))
+    rows.where("ano <= 1994").withColumn("data_referencia", as_text).drop("tema", "o_orderkey").write.partitionBy("ano").parquet(path)
+    rows.where("ano between 1995 and 1996").drop("tema", "o_orderkey").write.mode("append").partitionBy("ano").parquet(path)
+    rows.where("ano > 1996").drop("o_orderkey").write.mode("append").partitionBy("ano").parquet(path)
+    return rows, path
+
+
+_LAYERED = ("chave_ticket", "resumo", "status", "base_origem", "data_referencia", "tema")
+
+
+def _expected_layer(rows: DataFrame):
+    return rows.select(*_LAYERED).schema
+
+
+@query
+def layouts_read(spark: SparkSession, sf: str) -> DataFrame:
+    """M1-M3: a table whose partitions have three layouts read as one, each file as it was written."""
+    rows, path = _layered_table(spark, sf)
+    return ly.read_layouts(spark, path, _expected_layer(rows), ["ano"]).select("ano", *_LAYERED)
+
+
+@query
+def layouts_migrate(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: the partitions that hold dates as text are rewritten, the others not; rows, dates and themes per year afterwards, by one plain scan."""
+    rows, path = _layered_table(spark, sf)
+    ly.migrate(spark, path, _expected_layer(rows), ["ano"])
+    back = spark.read.schema(ly.with_parts(_expected_layer(rows), ["ano"], ["int"])).parquet(path)
+    return back.groupBy("ano").agg(F.count(F.lit(1)).alias("n_rows"), F.count("data_referencia").alias("n_dates"), F.count("tema").alias("n_themes"))

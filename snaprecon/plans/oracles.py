@@ -836,3 +836,18 @@ WITH due AS (
 SELECT b AS batch_id, count(*) AS n_landed, count(*) FILTER (nth = 1) AS n_kept, count(*) FILTER (late) AS n_late, count(*) FILTER (nth > 1) AS n_repeated
 FROM ranked GROUP BY b
 """
+
+ORACLES["zone_run_windows"] = f"""
+SELECT event_id, run_date, CAST((run_date - 1) - INTERVAL 1 MONTH AS DATE) AS window_from, run_date - 1 AS window_to
+FROM (SELECT event_id, CAST(ts - INTERVAL 3 HOUR AS DATE) AS run_date FROM ({AUDIT}))
+"""
+
+_LAYERS = f"""
+SELECT year(o_orderdate) AS ano, {_CONTRACT_KEY} AS chave_ticket, CASE WHEN o_orderkey % 7 <> 0 THEN c_name END AS resumo,
+       CASE WHEN o_orderkey % 37 <> 0 THEN o_orderpriority END AS status, base AS base_origem,
+       CASE WHEN o_orderkey % 43 = 0 OR (year(o_orderdate) <= 1994 AND o_orderkey % 9 = 0) THEN NULL ELSE CAST(o_orderdate AS DATE) END AS data_referencia,
+       CASE WHEN year(o_orderdate) > 1996 THEN c_mktsegment END AS tema
+FROM ({TICKETS}) WHERE o_orderkey % 31 <> 0
+"""
+ORACLES["layouts_read"] = f"SELECT CAST(ano AS VARCHAR) AS ano, * EXCLUDE (ano) FROM ({_LAYERS})"
+ORACLES["layouts_migrate"] = f"SELECT CAST(ano AS INTEGER) AS ano, count(*) AS n_rows, count(data_referencia) AS n_dates, count(tema) AS n_themes FROM ({_LAYERS}) GROUP BY ano"

@@ -7,6 +7,9 @@ below the shared folder of the session (``session.fresh_path``).
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,3 +145,50 @@ def overwrite_base(df: DataFrame, table_path: str, base: str,
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_cols).parquet(
         f"{table_path}/base_origem={base}"
     )
+
+
+# ------------------------------------------------------------------ versions of a table
+
+def _claim(spark: SparkSession, path: str, text: str) -> bool:
+    """Create the file ``path`` with ``text`` unless it is there already (the file system's own put-if-absent)."""
+    from py4j.protocol import Py4JJavaError
+
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+POINTER = "version bigint, path string"
+
+
+def pointer(spark: SparkSession, table_root: str) -> tuple[int, str | None]:
+    """The highest committed (version, path) of a table; (0, None) before its first refresh."""
+    try:
+        last = spark.read.schema(POINTER).json(f"{table_root}/pointers").where("path is not null").agg(F.max(F.struct("version", "path")).alias("p")).first()["p"]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    return (last["version"], last["path"]) if last else (0, None)
+
+
+def publish(spark: SparkSession, table_root: str, path: str) -> int:
+    """Make ``path`` the table's current version and return its number.
+
+    A version is one file, created only if absent: of two refreshes at once
+    one gets the number and the other the next, so each is a version and the
+    later one is current; none is lost in silence.
+    """
+    version = pointer(spark, table_root)[0] + 1
+    while not _claim(spark, f"{table_root}/pointers/{version:012d}.json", json.dumps({"version": version, "path": path})):
+        version += 1
+    return version

@@ -851,3 +851,19 @@ FROM ({TICKETS}) WHERE o_orderkey % 31 <> 0
 """
 ORACLES["layouts_read"] = f"SELECT CAST(ano AS VARCHAR) AS ano, * EXCLUDE (ano) FROM ({_LAYERS})"
 ORACLES["layouts_migrate"] = f"SELECT CAST(ano AS INTEGER) AS ano, count(*) AS n_rows, count(data_referencia) AS n_dates, count(tema) AS n_themes FROM ({_LAYERS}) GROUP BY ano"
+
+ORACLES["stream_day_alerts"] = f"""
+WITH ev AS (SELECT base, CAST(ts AS DATE) AS day, CASE WHEN event_id % 3 > 0 THEN total_records ELSE 0 END AS volume, source_mode <> 'api' AS fallback, ts FROM ({AUDIT})),
+daily AS (SELECT base, day, sum(volume) AS volume, bool_or(fallback) AS fallback FROM ev GROUP BY ALL),
+cal AS (
+  SELECT base, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day
+  FROM (SELECT base, min(day) AS lo FROM daily GROUP BY base), (SELECT CAST(max(ts) - INTERVAL 2 DAY AS DATE) AS hi FROM ev)
+),
+f AS (SELECT base, day, coalesce(volume, 0) AS volume, coalesce(fallback, false) AS fallback FROM cal LEFT JOIN daily USING (base, day)),
+w AS (
+  SELECT *, avg(volume) OVER (PARTITION BY base ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS a,
+         count(*) FILTER (NOT fallback) OVER (PARTITION BY base ORDER BY day) AS grp FROM f
+)
+SELECT base, day, CAST(volume AS BIGINT) AS volume, round(a, 6) AS trailing_avg, (volume = 0 AND coalesce(a > 0, false)) AS alert, fallback,
+       CAST(CASE WHEN fallback THEN count(*) FILTER (fallback) OVER (PARTITION BY base, grp ORDER BY day) ELSE 0 END AS INTEGER) AS streak FROM w
+"""

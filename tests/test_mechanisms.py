@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from snaprecon.functions import dates
 from snaprecon.functions import text as tx
 from snaprecon.operators import chains as ch
+from snaprecon.operators import layouts as ly
 from snaprecon.operators import normalize as nz
 from snaprecon.operators import ordinals as od
 from snaprecon.operators import quality as qa
@@ -22,6 +23,7 @@ from snaprecon.operators import state as ss
 from snaprecon.plans.spec import SPECS
 from snaprecon.sinks import files as sk
 from snaprecon.sources import exports as ex
+from snaprecon.streaming import alerts as al
 from snaprecon.streaming import late as lt
 
 
@@ -274,3 +276,56 @@ def test_rules_by_collation_run_without_python(spark):
 @pytest.mark.parametrize("text,want", [("Ação  Ω", "acao ω"), ("plain ASCII\t", "plain ascii"), ("ﬃ", "ffi"), ("Ａ", "a")])
 def test_canonical_text_on_every_path(spark, text, want):
     assert spark.createDataFrame([(text,)], "t string").select(tx.canonical_text("t").alias("c")).first().c == want
+
+
+# ---- day alerts
+
+
+def test_days_without_events_alert_and_a_restart_goes_on(spark, tmp_path):
+    schema = "base string, ts timestamp, total_records long, source_mode string"
+    landing, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    at = lambda day, hour=12: dt.datetime(2026, 3, day, hour)
+    deliveries = [
+        [("a", at(1), 10, "api"), ("a", at(1, 13), 5, "api"), ("b", at(2), 4, "playwright_fallback"), (None, at(1), 1, "api"), ("a", None, 1, "api")],
+        [("b", at(3), None, "playwright_fallback"), ("a", at(6), 7, "api")],
+        [("b", at(1), 99, "api"), ("b", at(9), 1, "api")],
+    ]
+    for rows in deliveries:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        al.drain(spark.readStream.schema(schema).parquet(landing), sink, "1 day")
+    got = sorted((r.base, r.day.day, r.volume, r.trailing_avg, r.alert, r.streak) for r in spark.read.schema(al.RESULT).parquet(sink).collect())
+    # the watermark ends on the 8th at noon; b's row of the 1st came behind it
+    assert got == [
+        ("a", 1, 15, None, False, 0), ("a", 2, 0, 15.0, True, 0), ("a", 3, 0, 7.5, True, 0), ("a", 4, 0, 5.0, True, 0), ("a", 5, 0, 3.75, True, 0), ("a", 6, 7, 3.0, False, 0), ("a", 7, 0, 3.666667, True, 0),
+        ("b", 2, 4, None, False, 1), ("b", 3, 0, 4.0, True, 2), ("b", 4, 0, 2.0, True, 0), ("b", 5, 0, 1.333333, True, 0), ("b", 6, 0, 1.0, True, 0), ("b", 7, 0, 0.8, True, 0),
+    ]
+
+
+# ---- versions and layouts
+
+
+def test_two_refreshes_at_once_are_two_versions(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "table")
+    assert sk.pointer(spark, root) == (0, None)
+    assert sk.publish(spark, root, "first") == 1
+    monkeypatch.setattr(sk, "pointer", lambda *_: (0, None))  # both saw the table before the first was there
+    assert sk.publish(spark, root, "second") == 2
+    monkeypatch.undo()
+    assert sk.pointer(spark, root) == (2, "second")
+
+
+def test_only_stale_partitions_are_rewritten(spark, tmp_path):
+    path, expected = str(tmp_path / "t"), spark.createDataFrame([], "k string, d date, extra string").schema
+    put = lambda rows, schema, year: spark.createDataFrame(rows, schema).write.parquet(f"{path}/year={year}")
+    put([("a", "01-Mar-2026"), ("b", "pendente")], "k string, d string", 2024)
+    put([("c", dt.date(2026, 3, 2))], "k string, d date", 2025)
+    put([("d", dt.date(2026, 3, 3), "x")], "k string, d date, extra string", 2026)
+    rows = lambda df: sorted((r.k, r.d, r.extra, str(r.year)) for r in df.collect())
+    want = [("a", dt.date(2026, 3, 1), None, "2024"), ("b", None, None, "2024"), ("c", dt.date(2026, 3, 2), None, "2025"), ("d", dt.date(2026, 3, 3), "x", "2026")]
+    before = files_below(path)
+    assert rows(ly.read_layouts(spark, path, expected, ["year"])) == want and files_below(path) == before
+    assert [os.path.basename(f) for f in ly.migrate(spark, path, expected, ["year"])] == ["year=2024"]
+    after = files_below(path)
+    assert {f: t for f, t in after.items() if "year=2024" not in f} == {f: t for f, t in before.items() if "year=2024" not in f}
+    assert rows(spark.read.schema(ly.with_parts(expected, ["year"], ["int"])).parquet(path)) == want
+    assert ly.migrate(spark, path, expected, ["year"]) == []

@@ -97,13 +97,20 @@ def day_alerts(events: DataFrame, delay: str, trailing: int = 7) -> DataFrame:
     )
 
 
-def drain(events: DataFrame, sink: str, delay: str, trailing: int = 7) -> None:
-    """Judge what days the events that have arrived close (availableNow); the judged days are appended to ``sink`` once each."""
-    conf, setting = events.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
-    before = conf.get(setting)
-    conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+def drain(events: DataFrame, sink: str, delay: str, trailing: int = 7, partitions: int = 8) -> None:
+    """Judge what days the events that have arrived close (availableNow); the judged days are appended to ``sink`` once each.
+
+    ``partitions`` is the number of state partitions, fixed with the first
+    call: there is one state a base, and bases are few.
+    """
+    conf = events.sparkSession.conf
+    own = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.shuffle.partitions": str(partitions)}
+    before = {name: conf.get(name) for name in own}
     try:
+        for name, value in own.items():
+            conf.set(name, value)
         query = day_alerts(events, delay, trailing).writeStream.format("parquet").option("path", sink).option("checkpointLocation", f"{sink}.checkpoint").outputMode("append").trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        conf.set(setting, before)
+        for name, value in before.items():
+            conf.set(name, value)

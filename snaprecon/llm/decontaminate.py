@@ -129,34 +129,38 @@ def rolling(tokens: np.ndarray, width: int) -> np.ndarray:
     return mix(out + np.uint64(width))
 
 
-def _literal_enough(t: dict, width: int, least: int) -> np.ndarray:
-    """Windows of which at least half are literal words: of others, slots alone say nothing, and only an exact copy counts."""
+def _literals(t: dict, width: int) -> np.ndarray:
+    """The literal words of every window."""
     total = np.concatenate(([0], np.cumsum(t["slot"] == LITERAL)))
-    return 2 * (total[width:] - total[:-width]) >= max(width, least)
+    return total[width:] - total[:-width]
 
 
 def _item_windows(items: list[tuple[int, bytes]], width: int, least: int) -> pd.DataFrame:
-    """Every window of every item: hash, form, width, item_id, position, and the item's slots and values (as bytes)."""
+    """Every window of every item: hash, form, width, item_id, position, the item's slots and values (as bytes), whether it is poor in literals, and the windows of its form."""
     rows = []
     for item_id, raw in items:
         forms = template([raw])
-        if forms["plain"]["raw"].sum() < least:
-            continue
+        short = forms["plain"]["raw"].sum() < least
         for form, t in forms.items():
             w = min(width, len(t["hash"]))
-            # what is too poor in literals to be known by its template is known by its values
-            keep = _literal_enough(t, w, min(least, width)) != (form == "value")
+            if not w:
+                continue
+            words = _literals(t, w)
+            poor = 2 * words < max(w, min(least, width))
+            # what is too poor in literals to be known by its template is known by its values, too
+            keep = poor | short if form == "value" else ~poor | (words > 0) & ((t["slot"] == LITERAL).sum() >= 2)
+            keep &= (form == "value") | (not short)
             for at in np.flatnonzero(keep).tolist():
-                rows.append((int(rolling(t["hash"][at : at + w], w)[0].view(np.int64)), form, w, item_id, at, t["slot"][at : at + w].astype(np.int8).tobytes(), t["value"][at : at + w].tobytes()))
-    return pd.DataFrame(rows, columns=["hash", "form", "width", "item_id", "position", "slots", "values"])
+                rows.append((int(rolling(t["hash"][at : at + w], w)[0].view(np.int64)), form, w, item_id, at, t["slot"][at : at + w].astype(np.int8).tobytes(), t["value"][at : at + w].tobytes(), bool(poor[at]), int(keep.sum())))
+    return pd.DataFrame(rows, columns=["hash", "form", "width", "item_id", "position", "slots", "values", "poor", "total"])
 
 
-_WINDOWS = "hash long, form string, width int, item_id long, position int, slots binary, values binary"
+_WINDOWS = "hash long, form string, width int, item_id long, position int, slots binary, values binary, poor boolean, total int"
 _HITS = "doc_id long, item_id long, n_windows long, first_start long, last_end long, reparameterised boolean"
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WIDTH, least: int = MIN_TOKENS) -> DataFrame:
-    """All template windows of the benchmark items; null or short items (fewer than ``least`` tokens) have none."""
+    """All windows of the benchmark items; null ones have none, short ones (fewer than ``least`` tokens) one, known by its values."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -202,14 +206,14 @@ def _scan(shared, width: int):
             part, keys = part.iloc[order].reset_index(drop=True), keys[order]
             gate = np.zeros(1 << 20, bool)
             gate[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-            index[form, int(w)] = (keys, gate, part["item_id"].tolist(), part["position"].tolist(), [np.frombuffer(s, np.int8) for s in part["slots"]], [np.frombuffer(v, np.uint64) for v in part["values"]])
+            index[form, int(w)] = (keys, gate, part["item_id"].tolist(), part["position"].tolist(), [np.frombuffer(s, np.int8) for s in part["slots"]], [np.frombuffer(v, np.uint64) for v in part["values"]], part["poor"].tolist(), part["total"].tolist())
         for frame in frames:
             ids, rows, at = frame["doc_id"].tolist(), [], 0
             for block in blocks(frame["text"]):
                 own, at = ids[at : at + len(block)], at + len(block)
                 forms = template(block)
                 found: dict[tuple[int, int], dict] = {}
-                for (form, w), (keys, gate, item_of, position_of, slots_of, values_of) in index.items():
+                for (form, w), (keys, gate, item_of, position_of, slots_of, values_of, poor_of, total_of) in index.items():
                     t = forms[form]
                     if len(t["hash"]) < w:
                         continue
@@ -221,20 +225,22 @@ def _scan(shared, width: int):
                     for p, a, b in zip(maybe[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
                         for k in range(a, b):
                             aligned = found.setdefault((int(t["text"][p]), item_of[k]), {})
-                            aligned.setdefault((form, p - position_of[k]), []).append((p, w, slots_of[k], values_of[k]))
+                            aligned.setdefault((form, p - position_of[k]), []).append((p, w, slots_of[k], values_of[k], poor_of[k], total_of[k]))
                 for (n, item), aligned in found.items():
                     good, changed, spans = set(), False, []
                     for (form, _), matches in aligned.items():
                         t = forms[form]
-                        same = [bool((values == t["value"][p : p + w]).all()) for p, w, _, values in matches]
+                        same = [bool((values == t["value"][p : p + w]).all()) for p, w, _, values, _, _ in matches]
                         bad: set[int] = set()
                         if not all(same):
-                            at_all = np.concatenate([np.arange(p, p + w) for p, w, _, _ in matches])
+                            at_all = np.concatenate([np.arange(p, p + w) for p, w, *_ in matches])
                             own_at, once = np.unique(at_all, return_index=True)
                             bad = clashes(own_at, np.concatenate([m[2] for m in matches])[once], np.concatenate([m[3] for m in matches])[once], t["value"][own_at], matches[0][1])
-                        for (p, w, _, _), copied in zip(matches, same, strict=True):
+                        # every window of the item, and no slot against another
+                        whole = not bad and len({m[0] for m in matches}) == matches[0][5]
+                        for (p, w, _, _, poor, _), copied in zip(matches, same, strict=True):
                             # what is copied word for word counts all the same
-                            if copied or bad.isdisjoint(range(p, p + w)):
+                            if copied or (bad.isdisjoint(range(p, p + w)) and (whole or not poor)):
                                 # by its place in the text, so a window found in both forms counts once
                                 good.add(int(t["start"][p]))
                                 changed |= not copied

@@ -354,14 +354,33 @@ def test_contamination(spark):
     names = BENCH[3][1].replace("Anna", "Maria").replace("Robert", "Peter")
     mixed = names.replace("harbour Maria", "harbour Clara")  # one name of the item would stand for two
     hits = found(spark, (1, "Intro words here. " + BENCH[0][1].upper() + "!!"), (2, again), (3, "Some text. " + names), (4, "Some text. " + mixed), (5, None), (6, ""), (7, "too short"), (None, BENCH[0][1]), (8, " ".join(BENCH[0][1].split()[3:18])), (9, "a b c d e f g h i j k l m n"))
-    assert hits == {(1, 1): False, (2, 1): True, (3, 4): True, (8, 1): False}
+    assert hits == {(1, 1): False, (2, 1): True, (3, 4): True, (7, 3): False, (8, 1): False}
+
+
+def test_short_items_are_matched_whole_as_copies(spark):
+    bench = spark.createDataFrame([(1, "what is seven squared"), (2, "")], "item_id long, text string")
+    rows = [(1, "so What is seven squared? It is 49"), (2, "what is eight squared"), (3, "what is seven"), (4, "")]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert [(r["doc_id"], r["item_id"], r["reparameterised"]) for r in got] == [(1, 1, False)]
 
 
 def test_contamination_by_items_of_numbers(spark):
     bench = spark.createDataFrame([(1, "12 + 7 + 33 - 5 = what number"), (2, "2 3 5 7 11 13 17 19 23 29 31 37 41 43 47 and then")], "item_id long, text string")
     rows = [(1, "Solve this. 12 + 7 + 33 - 5 = what number, please"), (2, "13 + 8 + 34 - 6 = what number"), (3, "primes 3 5 7 11 13 17 19 23 29 31 37 41 43 follow"), (4, "4 6 8 10 12 14 16 18 20 22 24 26 28 30 32")]
     got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
-    assert {(r["doc_id"], r["item_id"], r["reparameterised"]) for r in got} == {(1, 1, False), (3, 2, False)}
+    assert {(r["doc_id"], r["item_id"], r["reparameterised"]) for r in got} == {(1, 1, False), (2, 1, True), (3, 2, False)}
+
+
+def test_items_rich_in_numbers_count_when_whole_and_consistent(spark):
+    bench = spark.createDataFrame([(1, "add 3 to 4 and 3 to 5 then 9 9 9 9 9 9 9 9 9 9 9 9 make what sum")], "item_id long, text string")
+    rows = [
+        (1, "add 6 to 4 and 6 to 5 then 8 8 8 8 8 8 8 8 8 8 8 8 make what sum"),
+        (2, "add 6 to 4 and 7 to 5 then 8 8 8 8 8 8 8 8 8 8 8 8 make what sum"),
+        (3, "then 8 8 8 8 8 8 8 8 8 8 8 8 make what sum"),
+        (4, "then 9 9 9 9 9 9 9 9 9 9 9 9 make what sum"),
+    ]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(r["doc_id"], r["reparameterised"]) for r in got} == {(1, True), (4, False)}
 
 
 def test_contamination_with_values_changed_apart(spark):
@@ -479,7 +498,7 @@ def test_secret_scan(spark):
 def test_candidates_lie_between_their_neighbours(spark):
     df = spark.createDataFrame([(1, "aa key=AAAAAAAAAAAAAAAA1 mid BBBBBBBBBBBBBBBB2 end")], "doc_id long, text string")
     got = [(r["ordinal"], r["candidate"], r["before"], r["after"]) for r in secret_scan.candidates(df).orderBy("ordinal").collect()]
-    assert got == [(0, "key=AAAAAAAAAAAAAAAA1", "aa ", " mid "), (1, "BBBBBBBBBBBBBBBB2", " mid ", " end")] or got[0][1].endswith("A1")
+    assert got == [(0, "AAAAAAAAAAAAAAAA1", "aa key=", " mid "), (1, "BBBBBBBBBBBBBBBB2", " mid ", " end")]
 
 
 def test_unquoted_and_short_secrets(spark):

@@ -11,13 +11,12 @@ receives a null, so the Python side is nearly free.
 
 from __future__ import annotations
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snaprecon.plans.spec import FOLD
 from snaprecon.plans.spec import canonical as _canonical_py
 
 # Latin, combining accents, Vietnamese and other extended Latin, typographic punctuation, currency signs, f-ligatures
@@ -28,7 +27,7 @@ def _latin_fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
     src, dst, multi = [], [], []
     for cp in (cp for first, last in _NATIVE for cp in range(max(first, 0x80), last + 1)):
         ch = chr(cp)
-        folded = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        folded = FOLD[cp]
         if folded == ch or not folded:
             continue
         if len(folded) == 1:
@@ -41,8 +40,7 @@ def _latin_fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
 
 def _combining_chars() -> str:
     """The native characters that fold to nothing (deleted by ``translate``)."""
-    every = (chr(cp) for first, last in _NATIVE for cp in range(first, last + 1))
-    return "".join(ch for ch in every if all(unicodedata.combining(c) for c in unicodedata.normalize("NFKD", ch)))
+    return "".join(chr(cp) for first, last in _NATIVE for cp in range(first, last + 1) if not FOLD[cp])
 
 
 _FOLD_SRC, _FOLD_DST, _FOLD_MULTI = _latin_fold_tables()

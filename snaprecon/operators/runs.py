@@ -14,28 +14,6 @@ def volume_and_dedup(raw: DataFrame, base_col: str, key_cols: list[str]) -> Data
     ).withColumn("discarded_share", F.round(1 - F.col("kept_rows") / F.col("raw_rows"), 6))
 
 
-def exact_median(df: DataFrame, key: str, value: str, width: int = 1024) -> DataFrame:
-    """(key, median) of an integer column without holding a key's values in one task.
-
-    Distinct values are counted, then counts per range of ``width`` values say
-    which range holds the middle ranks; only those ranges are ranked value by
-    value. Keys without a value have no row.
-    """
-    counts = df.where(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("slot", F.floor(F.col("v") / F.lit(width)))
-    slots = counts.groupBy(key, "slot").agg(F.sum("n").alias("n"))
-    whole = Window.partitionBy(key)
-    upto = whole.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = slots.select(key, "slot", (F.sum("n").over(upto) - F.col("n")).alias("before"), F.sum("n").over(upto).alias("upto"), F.sum("n").over(whole).alias("total"))
-    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
-    middle = ranked.where((F.col("before") <= high) & (F.col("upto") > low)).select(F.col(key).alias("k"), F.col("slot").alias("s"), "before", "total")
-    inside = counts.join(middle, counts[key].eqNullSafe(F.col("k")) & (counts["slot"] == F.col("s")))
-    last = F.col("before") + F.sum("n").over(Window.partitionBy(key, "slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    placed = inside.select(key, "v", "n", last.alias("last"), low.alias("low"), high.alias("high"))
-    hits = sum(((F.col("last") - F.col("n") <= F.col(r)) & (F.col("last") > F.col(r))).cast("double") for r in ("low", "high"))
-    return placed.groupBy(key).agg((F.sum(F.col("v") * hits) / 2).alias("median"))
-
-
 def rollup(events: DataFrame, width: int = 1024) -> DataFrame:
     """A6 + X13: runs, latency min / median / max, records per second, fallback and success rates.
 

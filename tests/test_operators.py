@@ -134,12 +134,11 @@ def test_rolling_membership(spark):
     assert got == 2
 
 
-def test_exact_median_equals_percentile(spark):
+def test_rollup_median_equals_percentile(spark):
     rows = [(k, v) for k, vs in {"a": [5], "b": [1, 4000], "c": [-3000, -1, 7, 7, 90000], "d": [2, 2, 2, 9, 9, 9], None: [1, 2, 3, 1024], "e": [None]}.items() for v in vs]
-    df = spark.createDataFrame(rows, "base string, ms bigint")
-    got = {r.base: r["median"] for r in rs.exact_median(df, "base", "ms").collect()}
-    want = {r.base: r.m for r in df.groupBy("base").agg(F.percentile("ms", F.lit(0.5)).alias("m")).collect() if r.m is not None}
-    assert got == want
+    df = spark.createDataFrame(rows, "base string, duration_ms bigint").selectExpr("*", "1L AS total_records", "'api' AS source_mode", "'success' AS status")
+    got = {r.base: r.median_ms for r in rs.rollup(df).collect()}
+    assert got == {r.base: r.m for r in df.groupBy("base").agg(F.percentile("duration_ms", F.lit(0.5)).alias("m")).collect()}
 
 
 def test_latest_window_by_run_date(spark):

@@ -120,11 +120,11 @@ def interleave(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Merge sorted runs of symbol tuples by refining one interleave, symbol by symbol.
 
     The interleave starts as the runs one after the other. Pass h brings the
-    tuples into the order of their symbols h and later by one stable merge on
-    symbol h: the runs are ordered already, so a pass merges and never sorts
-    anew, and after the last pass (the first symbol) the order is that of the
-    whole tuples. Returns the order, and at each place the common prefix, in
-    symbols, with the tuple before it.
+    tuples into the order of their symbols h and later by one stable sort on
+    symbol h (numpy's, which takes advantage of ordered runs); after the last
+    pass (the first symbol) the order is that of the whole tuples. Returns the
+    order, and at each place the common prefix, in symbols, with the tuple
+    before it.
     """
     symbols = np.concatenate(runs, axis=1)
     order = np.arange(symbols.shape[1])

@@ -16,10 +16,11 @@ values: of them only exact copies count.
 A name is a capitalised word inside a sentence, which copies in another case
 lose; so each side is hashed twice, with and without the name slot.
 
-The benchmark's windows are joined in blocks of at most ``BLOCK_WINDOWS``: a
-block is a sorted hash array of a few MB that is broadcast, so a benchmark of
-any size is worked through without one large broadcast and without moving any
-document text.
+The benchmark's windows are joined in blocks of about ``BLOCK_WINDOWS``, dealt
+out by item: a block is a sorted hash array of a few MB that is broadcast, so a
+benchmark of any number of items is worked through without one large broadcast
+and without moving any document text. One item is not split: an item of more
+than ``BLOCK_WINDOWS`` words (some MB of text) makes a larger block.
 """
 
 from __future__ import annotations

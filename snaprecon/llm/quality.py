@@ -170,8 +170,3 @@ def quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column, thre
     inside = F.least(F.greatest(F.col("path_score"), F.lit(1e-4)), F.lit(1 - 1e-4))
     score = 1 / (1 + F.exp(-(odds(own) + odds(inside) - float(logit(mean)))))
     return out.select("doc_id", "host", "path", own.alias("doc_score"), F.round("host_score", 6).alias("host_score"), F.round("path_score", 6).alias("path_score"), F.round(score, 6).alias("score"), (score >= threshold).alias("kept"))
-
-
-def site_of(url: Column) -> tuple[Column, Column]:
-    """Host and first path segment of a URL column, for tables that have URLs; null where there is none."""
-    return F.lower(F.try_parse_url(url, F.lit("HOST"))), F.regexp_extract(F.try_parse_url(url, F.lit("PATH")), "^/([^/]*)", 1)

@@ -1,9 +1,9 @@
-"""Removal of repeated byte strings by merging the suffix runs of text shards.
+"""Removal of repeated byte strings by merging runs of sampled suffixes of text shards.
 
 Every byte covered by a string of ``LENGTH`` (400) bytes that also starts
 elsewhere goes. A Burrows-Wheeler transform of all bytes needs 400 refinement
-passes over all of them; here the transforms are those of the sampled suffixes
-that can matter, over an alphabet of hashed strings:
+passes over all of them; none is built here. What is merged are runs of the
+sampled suffixes that can matter, over an alphabet of hashed strings:
 
 * Each 400-byte string has 201 substrings of 200 bytes; the one with the least
   hash (the last of equals) is its anchor. Equal strings have equal anchors at
@@ -11,7 +11,7 @@ that can matter, over an alphabet of hashed strings:
   stretch; the bytes they cover are the anchor's context.
 * A shard's run holds, for each anchor, the suffix (anchor, context) as two
   symbols in suffix order. Bucket by bucket the runs of all shards are merged
-  by interleave refinement, never sorted anew, which gives common prefixes:
+  by one stable pass a symbol, which gives common prefixes:
   0 symbols - the anchor is unique, none of its strings repeats; 2 - the whole
   context occurs elsewhere, all its strings repeat; 1 - equal anchors in
   different contexts, which the second round decides.

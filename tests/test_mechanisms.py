@@ -24,6 +24,7 @@ from snaprecon.plans.spec import SPECS
 from snaprecon.sinks import files as sk
 from snaprecon.sources import exports as ex
 from snaprecon.streaming import alerts as al
+from snaprecon.streaming import ingest
 from snaprecon.streaming import late as lt
 
 
@@ -233,6 +234,21 @@ def test_late_and_repeated_rows_are_kept_beside_the_sink(spark, tmp_path):
     assert (read("kept"), read("late"), read("repeated")) == ([0, 1, 2, 4, 6, 8, 9], [3, 5, 7], [0, 1, 1, 6])
 
 
+def test_every_batch_and_late_row_is_counted(spark, tmp_path):
+    """More batches than a query keeps reports of."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        schema, landing, sink = "id int, ts timestamp", str(tmp_path / "in"), str(tmp_path / "out")
+        for i in range(5):
+            spark.createDataFrame([(i, dt.datetime(2026, 3, 10 + i)), (100 + i, dt.datetime(2026, 3, 1))], schema).coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        seen = ingest.drain(ingest.dedup_events(stream, ["id"], "1 hour"), sink)
+        kept = spark.read.schema(schema).parquet(sink).count()
+        assert seen["batches"] >= 5 and seen["late_rows"] + kept == 10 and seen["late_rows"] >= 3
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
 # ---- shredded landing
 
 

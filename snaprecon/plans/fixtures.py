@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from snaprecon.session import table as scan
 
-_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "documents": "doc_id", "conversations": "conv_id", "events": "event_id"}
+_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey", "documents": "doc_id", "conversations": "conv_id"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

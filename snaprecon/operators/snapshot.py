@@ -88,17 +88,19 @@ def drop_blank_rows(df: DataFrame, cells: list[str]) -> DataFrame:
 def latest_window(snapshots: DataFrame, base_col: str, end_col: str, run_date: str | None = None) -> DataFrame:
     """Per base, the rows of the window that ends last (not after ``run_date``, when given).
 
-    The ends come from the partition values, one row per base; as literals they
-    prune the second scan. Without any such window this raises LookupError.
+    The ends come from the partition values, one per base (bounded by
+    configuration), as a scalar subquery of the same plan: nothing is
+    collected, the choice is made when the query runs, and where both columns
+    are partition columns it prunes the files before they are opened. Only
+    whether there is any such window is asked at once; if not, LookupError.
     """
     windows = snapshots if run_date is None else snapshots.where(F.col(end_col) <= F.lit(run_date).cast("date"))
-    chosen = windows.groupBy(base_col).agg(F.max(end_col).alias("end")).collect()
-    if not chosen:
+    if windows.where(F.col(end_col).isNotNull()).select(end_col).isEmpty():
         raise LookupError("no snapshot" + (f" up to {run_date}" if run_date else ""))
-    kept = F.lit(False)
-    for row in chosen:
-        kept = kept | (F.col(base_col).eqNullSafe(F.lit(row[base_col])) & (F.col(end_col) == F.lit(row["end"])))
-    return snapshots.where(kept)
+    ends = windows.groupBy(F.col(base_col).alias("base")).agg(F.max(end_col).alias("end")).where("end is not null")
+    chosen = ends.agg(F.collect_list(F.struct("base", "end"))).scalar()
+    own = F.struct(F.col(base_col).alias("base"), F.col(end_col).alias("end"))
+    return snapshots.where(F.array_contains(chosen, own))  # structs compare field by field, null equal to null
 
 
 def rules_filter(df: DataFrame, rules: DataFrame, base_col: str, status_col: str) -> DataFrame:

@@ -12,6 +12,7 @@ from snaprecon.operators import reconcile as rc
 from snaprecon.operators import runs as rs
 from snaprecon.operators import snapshot as sn
 from snaprecon.plans.spec import SPECS, resolve_bases
+from snaprecon.sinks import files as sk
 from snaprecon.sources import pages as pg
 
 
@@ -149,6 +150,29 @@ def test_latest_window_by_run_date(spark):
         sn.latest_window(snap, "base", "day", "2023-12-31")
 
 
+def test_latest_window_reads_footers_and_prunes(spark, tmp_path):
+    rows = [(k, base, day) for k, (base, day) in enumerate([("a", "2024-01-31"), ("a", "2024-02-29"), ("b", "2024-01-31"), (None, "2024-01-31"), (None, "2024-03-31"), ("c", None)])]
+    path = str(tmp_path / "snap")
+    spark.createDataFrame(rows, "id int, base string, day string").withColumn("day", F.to_date("day")).write.partitionBy("base", "day").parquet(path)
+    snap = spark.read.schema("id int, base string, day date").parquet(path)
+    chosen = sn.latest_window(snap, "base", "day")
+    assert sorted(r.id for r in chosen.collect()) == [1, 2, 4]
+    plan = spark._jvm.PythonSQLUtils.explainString(chosen._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [array_contains(Subquery" in plan
+    assert plan.count("Scan parquet") >= 2 and "ReadSchema: struct<>" in plan  # the choice itself opens no column
+    files = {r.f for r in chosen.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(files) == 3
+
+
+def test_manifest_rows_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    rows = spark.range(40).selectExpr("id", "string(id % 2) AS base_origem", "date'2024-01-01' AS periodo_inicio", "date'2024-01-31' AS periodo_fim")
+    sk.write_snapshot(rows, path, ("parquet",))
+    got = sk.manifest_rows(spark.read.parquet(f"{path}/parquet"), ("parquet",), "2026-03-03 20:27:05")
+    assert "ReadSchema: struct<>" in spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    assert sorted(r.record_count for r in got.collect()) == [20, 20]
+
+
 def test_verify_groups_reports_lost_and_extra_rows(spark):
     staged = spark.createDataFrame([("a",), ("b",), ("c",)], "base string")
     got = {r.base: (r.expected, r.loaded, r.ok) for r in qa.verify_groups({"a": 2, "b": 1}, 3, staged, "base").collect()}

@@ -3,11 +3,16 @@
 Candidates are runs of 16 and more letters, digits and + / _ -, with the parts
 that dots join to them and = as padding; after a name and a sign of assignment
 also shorter values: 8 and more characters with a digit, 4 and more after a
-name that says key, token, password and the like. The name and the sign belong
-to the neighbouring text, not to the candidate. Each candidate is described by its length, its changes between character classes, its shares of
-digits and distinct characters, the share that words of the corpus's own
-dictionary cover, its document's path (source) and the words beside it. The
-forest is trained on labelled findings and scores every candidate.
+name that says key, token, password and the like, and there also after the
+word "is" if they hold a digit. Between quotes such a value may hold any
+character but blanks and quotes. Names and the blanks around a sign may be of any length. The
+name and the sign belong to the neighbouring text, not to the candidate. Each
+candidate is described by its length, its changes between character classes,
+its shares of digits and distinct characters, the share that words of the
+corpus's own dictionary cover, its document's path (source) and the words
+beside it, beyond the name and the sign. The forest is trained on labelled
+findings and scores every candidate. Where the labels are made by a rule over
+the name and the sign, the forest sees neither, so it cannot learn the rule back.
 
 Only DataFrame and ML expressions: a text is split at its candidates, so the
 parts between them are the neighbouring words without a second search. The
@@ -25,46 +30,64 @@ from pyspark.sql import functions as F
 
 from snaprecon.llm._common import cut
 
-KEY_NAMES = "(?i)(api|token|secret|passw|pwd|auth|bearer|credential|private|access|key)"
+KEY_NAMES = "(?i:api|token|secret|passw|pwd|auth|bearer|credential|private|access|key)"
 _RUN = "[A-Za-z0-9+/_-]"
-_SIGN = "[\"']?[ \\t]{0,4}[=:][ \\t]{0,4}[\"']?"
-_SHORT = rf"{_RUN}++(?:\.{_RUN}++)*+"
-#: a run of 16 with what dots join to it, or a value assigned to a name (the first look behind is the quick one)
+_NAME = "[A-Za-z0-9_-]"
+_SIGN = "[\"']?+[ \\t]*+(?:={1,2}>?|:=?)[ \\t]*+[\"']?+"
+_QUOTED = "[^\"'\\s]"
+_DIGIT = rf"(?=(?<=[\"']){_QUOTED}*?[0-9]|[A-Za-z+/_.-]*+[0-9])"
+
+
+def _value(least: int) -> str:
+    """Look ahead: a value of ``least`` characters or more, between quotes or as a run."""
+    return rf"(?=(?<=[\"']){_QUOTED}{{{least},}}+[\"']|{_RUN}[A-Za-z0-9+/_.-]{{{least - 1}}})"
+
+
+#: the name and sign before a value (a key's name, or any), or the start of a bare run: group 1; then the value itself
 CANDIDATE = (
-    rf"(?<!{_RUN})(?:(?:{_RUN}++\.)*{_RUN}{{16,}}+(?:\.{_RUN}++)*+"
-    rf"|(?<=[=:][ \t]{{0,4}}[\"']?)(?:(?<=[A-Za-z0-9_-]{_SIGN})(?=[A-Za-z+/_.-]*+[0-9])(?={_RUN}[A-Za-z0-9+/_.-]{{7}}){_SHORT}"
-    rf"|(?<={KEY_NAMES}[A-Za-z0-9_-]{{0,24}}{_SIGN})(?-i:(?={_RUN}[A-Za-z0-9+/_.-]{{3}}){_SHORT})))"
-    rf"(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?+"
+    rf"((?<!{_NAME})(?={_NAME}++[\"']?+[ \t]*+[=:iI])(?:"
+    rf"(?={_NAME}*?{KEY_NAMES}){_NAME}++(?:{_SIGN}(?!{_NAME}*?{KEY_NAMES}{_NAME}*+{_SIGN}{_RUN}){_value(4)}|[ \t]++(?i:is)[ \t]++[\"']?+{_DIGIT}{_value(4)})"
+    rf"|{_NAME}++{_SIGN}(?!{_NAME}*?{KEY_NAMES}{_NAME}*+{_SIGN}{_RUN}){_DIGIT}{_value(8)})"
+    rf"|(?<!{_RUN})(?<!{_RUN}\.)(?=(?:{_RUN}{{1,15}}+\.)*+{_RUN}{{16}}))"
+    rf"(?:(?<=[\"']){_QUOTED}{{4,}}+(?=[\"'])|{_RUN}++(?:\.{_RUN}++)*+(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?+)"
 )
 RUN = "[a-z]{3,}"
 MIN_DOCS = 5
 TRAIN_ROWS = 20_000
-NEAR = 48
+#: what the rule of ``seed_labels`` looks at
+RULED = ["assigned", "quoted", "named"]
+HASHED = ["path", "word_before", "word_after"]
+CELLS = 32
 FEATURES = ["length", "changes", "digits", "uppers", "distinct", "hex", "covered", "path", "assigned", "quoted", "named", "word_before", "word_after"]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """One row per candidate: doc_id, ordinal (in the text), candidate, before, after, source.
+    """One row per candidate: doc_id, ordinal (in the text), candidate, before, after, source, sign.
 
     ``before`` and ``after`` are the text beside it, as far as the next
-    candidate and ``NEAR`` characters at most; where only a sign of assignment
-    lies before it, the name is the candidate before, and ``before`` has its
-    end too. Null and empty texts have none.
+    candidate and to the far end of the nearest word; ``sign`` is the name and
+    the sign of assignment before it (empty: none), with which ``before`` ends.
+    Where only a sign lies between two candidates, the first is the second's
+    name. Null and empty texts have none.
     """
     source = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), source.alias("source"))
-    found = rows.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", "source", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split("text", CANDIDATE, -1).alias("parts"))
-    named = lambda p, k: F.when((k > 0) & p.rlike(f"^{_SIGN}$"), F.concat(F.get("found", k - 1), p)).otherwise(p)
-    before = F.transform("parts", lambda p, k: F.right(named(p, k), F.lit(NEAR)))
-    after = F.transform("parts", lambda p: F.left(p, F.lit(NEAR)))
-    zipped = F.arrays_zip(F.col("found").alias("found"), before.alias("before"), F.slice(after, 2, F.size("found")).alias("after"))
-    each = found.select("doc_id", "source", F.posexplode(F.slice(zipped, 1, F.size("found"))).alias("ordinal", "c"))
-    return each.select("doc_id", "source", "ordinal", F.col("c.found").alias("candidate"), F.coalesce("c.before", F.lit("")).alias("before"), F.coalesce("c.after", F.lit("")).alias("after"))
+    every = lambda group: F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(group))
+    found = rows.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", "source", every(0).alias("whole"), every(1).alias("sign"), F.split("text", CANDIDATE, -1).alias("parts"))
+    near = r"^\P{L}*+\p{L}*+\P{L}?+"
+    each = found.select("doc_id", "source", F.posexplode(F.transform("whole", lambda w, k: F.struct(
+        F.substring(w, F.length(F.get("sign", k)) + 1, F.length(w)).alias("candidate"),
+        F.reverse(F.regexp_extract(F.reverse(F.get("parts", k)), near, 0)).alias("gap"),
+        F.when((k > 0) & (F.get("sign", k) == "") & F.get("parts", k).rlike(f"^{_SIGN}$"), F.concat(F.get("whole", k - 1), F.get("parts", k))).alias("chained"),
+        F.get("sign", k).alias("sign"),
+        F.concat(F.regexp_extract(F.get("parts", k + 1), near, 0), F.coalesce(F.get("sign", k + 1), F.lit(""))).alias("after"),
+    ))).alias("ordinal", "c"))
+    return each.select("doc_id", "source", "ordinal", F.col("c.candidate").alias("candidate"), F.coalesce("c.chained", F.concat("c.gap", "c.sign")).alias("before"), F.col("c.after").alias("after"), F.coalesce("c.chained", "c.sign").alias("sign"))
 
 
 def dictionary(docs: DataFrame, least: int = MIN_DOCS) -> DataFrame:
     """Words (lower-case letter runs of three and more) that ``least`` documents or more hold, over all documents."""
-    text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), CANDIDATE, " ")
+    text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), CANDIDATE, "$1 ")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(RUN), F.lit(0)))).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select("word")
 
@@ -73,7 +96,9 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
     """The candidates with their features, each a double."""
     c, size = F.col("candidate"), F.length("candidate").cast("double")
     share = lambda pattern: F.regexp_count(c, F.lit(pattern)) / size
-    last = F.regexp_extract("before", r"(\p{L}+)\P{L}*$", 1)
+    beyond = F.substring("before", F.lit(1), F.length("before") - F.length("sign"))
+    last = F.regexp_extract(beyond, r"(\p{L}++)\P{L}*+$", 1)
+    name = F.regexp_extract("before", rf"({_NAME}++)[^A-Za-z0-9_-]*+$", 1)
     first = F.regexp_extract("after", r"^\P{L}*(\p{L}+)", 1)
     runs = found.select("candidate").distinct().select("candidate", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("candidate"), F.lit(RUN), F.lit(0)))).alias("word"))
     covered = runs.join(words, "word").groupBy("candidate").agg(F.sum(F.length("word")).alias("letters"))
@@ -85,12 +110,12 @@ def described(found: DataFrame, words: DataFrame) -> DataFrame:
         (F.size(F.array_distinct(F.split(c, ""))) / size).alias("distinct"),
         share("[0-9a-fA-F]").alias("hex"),
         F.least(F.lit(1.0), F.coalesce(F.col("letters"), F.lit(0)) / size).alias("covered"),
-        F.pmod(F.xxhash64("source"), F.lit(32)).cast("double").alias("path"),
-        F.col("before").rlike("[=:]\\s*[\"']?$").cast("double").alias("assigned"),
+        F.pmod(F.xxhash64("source"), F.lit(CELLS)).cast("double").alias("path"),
+        (F.col("sign") != "").cast("double").alias("assigned"),
         F.col("before").rlike("[\"']$").cast("double").alias("quoted"),
-        F.lower(last).rlike(KEY_NAMES).cast("double").alias("named"),
-        F.pmod(F.xxhash64(F.lower(last)), F.lit(32)).cast("double").alias("word_before"),
-        F.pmod(F.xxhash64(F.lower(first)), F.lit(32)).cast("double").alias("word_after"),
+        name.rlike(KEY_NAMES).cast("double").alias("named"),
+        F.pmod(F.xxhash64(F.lower(last)), F.lit(CELLS)).cast("double").alias("word_before"),
+        F.pmod(F.xxhash64(F.lower(first)), F.lit(CELLS)).cast("double").alias("word_after"),
     )
 
 
@@ -110,20 +135,26 @@ def seed_labels(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "ordinal", label.alias("secret")).filter("secret is not null")
 
 
-def train(featured: DataFrame, labels: DataFrame, trees: int = 24, depth: int = 6, bound: int = TRAIN_ROWS):
-    """A forest fitted on at most ``bound`` labelled findings of each class (smallest hash first); none without both classes."""
+def _vectors(rows: DataFrame, features: list[str]) -> DataFrame:
+    """``rows`` with the vector ``features``; hashed columns are marked as categories, which have no order."""
+    nominal = {"ml_attr": {"type": "nominal", "num_vals": CELLS}}
+    return VectorAssembler(inputCols=features, outputCol="features").transform(rows.withColumns({c: F.coalesce(c, F.lit(0.0)).alias(c, metadata=nominal) for c in HASHED}))
+
+
+def train(featured: DataFrame, labels: DataFrame, features: list[str] = FEATURES, trees: int = 24, depth: int = 6, bound: int = TRAIN_ROWS):
+    """A forest over ``features`` fitted on at most ``bound`` labelled findings of each class (smallest hash first); none without both classes."""
     marked = featured.join(labels.select("doc_id", "ordinal", F.col("secret").cast("double").alias("label")).filter("label in (0, 1)").dropDuplicates(["doc_id", "ordinal"]), ["doc_id", "ordinal"])
     order = [F.xxhash64("doc_id", "ordinal", "candidate"), F.col("doc_id"), F.col("ordinal")]
     rows = None
     for k in (0.0, 1.0):
         part = marked.filter(F.col("label") == k).orderBy(*order).limit(bound)
         rows = part if rows is None else rows.unionByName(part)
-    rows = cut(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows.select("label", *FEATURES)).select("label", "features"))
+    rows = _vectors(cut(rows.select("label", *FEATURES)), features).select("label", "features")
     classes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(classes) < 2:
         return None, (1.0 if 1.0 in classes else 0.0)
     even = rows.withColumn("weight", F.when(F.col("label") == 1, 1.0 / classes[1.0]).otherwise(1.0 / classes[0.0]) * F.lit(float(min(classes.values()))))
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=32, seed=11, featureSubsetStrategy="sqrt", weightCol="weight")
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=CELLS, seed=11, featureSubsetStrategy="sqrt", weightCol="weight")
     # a copy carries no training summary, whose session cannot be sent to tasks once a query has been observed
     return forest.fit(even).copy(), None
 
@@ -132,18 +163,19 @@ def secret_scan(docs: DataFrame, labels: DataFrame | None = None, threshold: flo
     """One row per candidate: doc_id, ordinal, length, the features, probability, secret, and the candidate's SHA-256.
 
     ``labels`` are findings (doc_id, ordinal, secret); without them
-    :func:`seed_labels` makes them. If they hold one class only, every
+    :func:`seed_labels` makes them, and the forest does without the features
+    that its rule looks at (``RULED``). If they hold one class only, every
     candidate has that class; with none, 0. Repeated rows give their
     candidates each; null ids are scanned but train nothing; other columns do
     not matter, ``source`` may be missing. An empty table gives no rows.
     """
     found = cut(candidates(docs))
     featured = cut(described(found, dictionary(docs)))
-    model, sole = train(featured, seed_labels(found) if labels is None else labels)
+    features = [f for f in FEATURES if labels is not None or f not in RULED]
+    model, sole = train(featured, seed_labels(found) if labels is None else labels, features)
     if model is None:
         scored = featured.withColumn("probability", F.lit(float(sole)))
     else:
-        vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(featured)
-        scored = model.transform(vectors.withColumnRenamed("probability", "probability_") if "probability" in vectors.columns else vectors)
+        scored = model.transform(_vectors(featured, features))
         scored = scored.withColumn("probability", F.round(vector_to_array("probability").getItem(1), 6))
     return scored.select("doc_id", "ordinal", *[F.round(f, 6).alias(f) for f in FEATURES], "probability", (F.col("probability") >= threshold).alias("secret"), F.sha2("candidate", 256).alias("candidate_sha256"))

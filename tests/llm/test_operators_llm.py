@@ -614,3 +614,47 @@ def test_sql_says_the_same(spark, name):
     got = QUERIES[name](spark, SF).toPandas()[list(want.columns)]
     key = list(want.columns)
     assert got.sort_values(key).reset_index(drop=True).astype(str).equals(want.sort_values(key).reset_index(drop=True).astype(str))
+
+
+# ---- secret scans: names, signs and values of any length
+
+
+def test_values_behind_long_names_blanks_and_quotes(spark):
+    rows = ["password =" + " " * 600 + "hunter2", "SECRET_" + "abcdefghijklmnopqrstuvwxyz" * 40 + "=hunter2", 'password="p@ss!w0rd#9"', "the password is hunter42x9 today", "the password is required here", "token: password=hunter2", "a.b.c." * 20_000 + "end", 'x = "" key: \'\'']
+    found = secret_scan.candidates(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    got: dict = {}
+    for r in found.orderBy("doc_id", "ordinal").collect():
+        got.setdefault(r["doc_id"], []).append(r["candidate"])
+    assert got == {0: ["hunter2"], 1: ["hunter2"], 2: ["p@ss!w0rd#9"], 3: ["hunter42x9"], 5: ["hunter2"]}
+
+
+def test_neighbouring_words_lie_beyond_the_sign_at_any_distance(spark):
+    far = "." * 300
+    row = secret_scan.candidates(spark.createDataFrame([(1, f"use it{far}  api_key = 'abcd1234efgh5678'{far}now and then")], "doc_id long, text string")).collect()
+    assert [(r["candidate"], r["sign"]) for r in row] == [("abcd1234efgh5678", "api_key = '")]
+    assert row[0]["before"].strip().startswith("it.") and row[0]["after"].strip().endswith("now")
+
+
+def test_forest_finds_secrets_without_the_rule(spark):
+    """Recall on secrets in plain words, which the rule takes for harmless, and false alarms on long words and numbers."""
+    value = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    word = lambda i: "we log keep in with at the some once call number plain".split()[value(-i)[0].encode()[0] % 12]
+    rows = [(i, f"{word(i)} token = \"{value(i)}\" {word(i + 7)}", "a") for i in range(120)]
+    rows += [(1000 + i, f"{word(i)} {value(1000 + i)} {word(i + 7)}", "a") for i in range(20)]
+    rows += [(2000 + i, f"{word(i)} {'verylongwordwithoutend' * (1 + i % 3)} {word(i + 7)}", "a") for i in range(80)]
+    rows += [(3000 + i, f"{word(i)} {4000000000000000 + i * 7919} {word(i + 7)}", "a") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = secret_scan.secret_scan(docs).toPandas()
+    bare = got[got["doc_id"].between(1000, 1999)]
+    assert len(bare) == 20 and bare["secret"].mean() >= 0.9
+    assert got[got["doc_id"] < 1000]["secret"].mean() >= 0.95 and got[got["doc_id"] >= 2000]["secret"].mean() <= 0.05
+    marks = spark.createDataFrame([(i, 0, int(i < 2000)) for i, _, _ in rows if i % 2], "doc_id long, ordinal int, secret int")
+    reviewed = secret_scan.secret_scan(docs, marks).toPandas()
+    assert (reviewed["secret"] == (reviewed["doc_id"] < 2000)).mean() >= 0.98
+
+
+def test_secret_scan_on_awkward_rows(awkward, spark):
+    got = secret_scan.secret_scan(awkward).toPandas()
+    assert set(got.columns) >= {"doc_id", "ordinal", "secret"} and got["secret"].notna().all()
+    twice = spark.createDataFrame([(1, "token = \"abcd1234efgh5678\" x"), (1, "token = \"abcd1234efgh5678\" x"), (None, None)], "doc_id long, text string")
+    assert len(secret_scan.secret_scan(twice).toPandas()) == 2

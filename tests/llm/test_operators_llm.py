@@ -211,6 +211,31 @@ def test_packer_fills_windows(lengths):
     assert all(n.bit_count() == 1 for n in sizes.values())
 
 
+@pytest.mark.parametrize(("lengths", "most"), [([600] * 5000, 64), ([600, 1024, 1, 999, 3000] * 400, 1), ([700, 20, 40] * 700, 1024)])
+def test_packer_holds_a_bounded_number_of_windows(lengths, most):
+    packer, out, widest = packing.Packer(1024, most), [], 0
+    for k, n in enumerate(lengths):
+        out += packer.add(k, np.arange(n, dtype=np.uint32))
+        widest = max(widest, sum(map(len, packer.levels.values())))
+        assert packer.open == packer.counts.sum() == sum(map(len, packer.levels.values()))
+    assert widest <= most
+    placed = len(out)
+    out += packer.close()
+    assert placed >= 0.9 * len(out) or most == 1024  # nearly all is placed by the level array
+    seen, sizes = collections.defaultdict(list), collections.Counter()
+    for doc, start, ids, total, sequence, offset in out:
+        assert total == lengths[doc] and list(ids[[0, -1]]) == [start, start + len(ids) - 1]
+        seen[doc].append((start, len(ids)))
+        sizes[sequence] += len(ids)
+    for doc, n in enumerate(lengths):
+        at = 0
+        for start, length in sorted(seen[doc]):
+            assert start == at
+            at += length
+        assert at == n
+    assert all(n.bit_count() == 1 and n <= 1024 for n in sizes.values()) and sum(n < 1024 for n in sizes.values()) <= 10
+
+
 def test_level_takes_the_least_sum_of_squares():
     packer = packing.Packer(8)
     packer.counts[[2, 5]] = [3, 1]
@@ -231,7 +256,6 @@ def test_pack_holds_every_id_once(request, which):
 
     df = request.getfixturevalue(which).filter("doc_id is null or doc_id <> 6")
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     ids = {i: [*t.encode(x, add_special_tokens=False).ids, 0] for i, x in texts(df)}
     got = packing.pack(df, RANKS).toPandas()
     for doc, pieces in got.groupby("doc_id", dropna=False):

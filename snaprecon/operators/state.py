@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from snaprecon.session import cut
 from snaprecon.streaming.ingest import newest
 
 COMMIT = "version bigint, bucket int, at bigint, batch_id bigint"
@@ -61,7 +61,10 @@ def merge_batch(batch: DataFrame, root: str, keys: list[str], order: list[str],
     if batch_id <= last_batch:
         return version
     own = batch.columns
-    incoming = cut(newest(batch, keys, order).select(*own, bucket_of(keys, buckets).alias("bucket")))
+    # columns on disk: a checkpoint of rows would be several times the state it goes into
+    landed = f"{root}/incoming/version={version + 1}"
+    newest(batch, keys, order).select(*own, bucket_of(keys, buckets).alias("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(landed)
+    incoming = spark.read.schema(StructType([*batch.schema, StructField("bucket", IntegerType())])).parquet(landed)
     touched = [r["bucket"] for r in incoming.select("bucket").distinct().collect()]  # at most ``buckets``
     before = _buckets(spark, root, batch.schema, {b: v for b, v in current.items() if b in set(touched)})
     merged = newest(before.unionByName(incoming.drop("bucket")), keys, order).select(*own)

@@ -61,9 +61,9 @@ def merge_batch(batch: DataFrame, root: str, keys: list[str], order: list[str],
     if batch_id <= last_batch:
         return version
     own = batch.columns
-    # columns on disk: a checkpoint of rows would be several times the state it goes into
+    # set aside as it came and read from there: its newest rows are found in the merge, so a batch is shuffled once
     landed = f"{root}/incoming/version={version + 1}"
-    newest(batch, keys, order).select(*own, bucket_of(keys, buckets).alias("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(landed)
+    batch.select(*own, bucket_of(keys, buckets).alias("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(landed)
     incoming = spark.read.schema(StructType([*batch.schema, StructField("bucket", IntegerType())])).parquet(landed)
     touched = [r["bucket"] for r in incoming.select("bucket").distinct().collect()]  # at most ``buckets``
     before = _buckets(spark, root, batch.schema, {b: v for b, v in current.items() if b in set(touched)})

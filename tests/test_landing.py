@@ -58,5 +58,5 @@ def test_a_batch_is_set_aside_in_columns(spark, tmp_path):
     root = str(tmp_path / "state")
     batch = spark.createDataFrame([("k", 1, "old"), ("k", 2, "new")], "key string, at int, text string")
     ss.merge_batch(batch, root, ["key"], ["at"], 0, buckets=2)
-    assert spark.read.parquet(f"{root}/incoming/version=1").count() == 1
+    assert spark.read.parquet(f"{root}/incoming/version=1").count() == 2
     assert [r.text for r in ss.read_state(spark, root, batch.schema).collect()] == ["new"]
